@@ -3,7 +3,7 @@
 from hydrolake.functions.cells import clean_cell
 from hydrolake.functions.dates import (
     cell_date, date_shift, epoch_ms_to_date, month_day_candidates, monday_of, pad_month,
-    parse_date_any, parse_dmy, parse_period, parse_text_date, parse_ymd_loose,
+    let, parse_date_any, parse_dmy, parse_period, parse_text_date, parse_ymd_loose,
     printed_date, resolve_year,
 )
 from hydrolake.functions.measures import fmt_number, pct_full, volume_from_pct

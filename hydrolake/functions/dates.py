@@ -15,23 +15,38 @@ from hydrolake.functions._base import col, extract, literal_map
 from hydrolake.functions.text import clean_text, strip, strip_accents
 
 
-def _try_date(text: Column, fmt: str) -> Column:
-    parsed = F.to_date(F.try_to_timestamp(text, F.lit(fmt)))
-    if "yy" in fmt and "yyyy" not in fmt:
-        # two-digit years 69-99 belong to the last century
-        parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
-    return parsed
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def parse_date_any(c: Column | str, formats: Iterable[str] = fixed.DATE_FORMATS_DAY_FIRST,
-                   words: bool = True) -> Column:
-    """First format that parses. ``words`` loosens commas and hyphens between words."""
-    text = strip(c)
+def _loosen(text: Column, words: bool, two_digit_years: bool) -> Column:
     if words:
         text = F.replace(text, F.lit(","), F.lit(" "))
         text = F.when(text.rlike("[A-Za-z]"), F.replace(text, F.lit("-"), F.lit(" "))).otherwise(text)
         text = F.trim(F.regexp_replace(text, r"\s+", " "))
-    return F.coalesce(*[_try_date(text, f) for f in formats])
+    if two_digit_years:
+        # two-digit years 69-99 belong to the last century
+        head = r"^(?<head>\d{1,2}[/-]\d{1,2}[/-])"
+        text = F.regexp_replace(text, head + r"(?<yy>69|[7-9]\d)$", "${head}19${yy}")
+        text = F.regexp_replace(text, head + r"(?<yy>\d\d)$", "${head}20${yy}")
+    return text
+
+
+def _parse_tokens(tokens: Column, formats: Iterable[str], words: bool) -> Column:
+    """Dates of an array of texts; each text is prepared once, then tried per format."""
+    formats = list(formats)
+    short = [f for f in formats if "yy" in f and "yyyy" not in f]
+    full = list(dict.fromkeys(f.replace("yy", "yyyy") if f in short else f for f in formats))
+    ready = F.transform(tokens, lambda x: _loosen(strip(x), words, bool(short)))
+    return F.transform(ready, lambda x: F.coalesce(
+        *[F.to_date(F.try_to_timestamp(x, F.lit(f))) for f in full]))
+
+
+def parse_date_any(c: Column | str, formats: Iterable[str] = fixed.DATE_FORMATS_DAY_FIRST,
+                   words: bool = True) -> Column:
+    """First format that parses. ``words`` loosens commas and hyphens between words."""
+    return F.get(_parse_tokens(F.array(col(c)), formats, words), F.lit(0))
 
 
 def _ymd(year: Column, month: Column, day: Column) -> Column:
@@ -75,8 +90,10 @@ def parse_text_date(c: Column | str, months: dict[str, int], order: str = "dmy",
 def printed_date(c: Column | str, patterns: Iterable[str] = fixed.AS_AT_PATTERNS,
                  formats: Iterable[str] = fixed.DATE_FORMATS_DAY_FIRST) -> Column:
     """The date a page prints: first pattern that matches *and* parses."""
-    c = col(c)
-    return F.coalesce(*[parse_date_any(extract(c, "(?i)" + p), formats) for p in patterns])
+    tokens = let(col(c), lambda t: F.array(*[extract(t, "(?i)" + p) for p in patterns]))
+    found = F.filter(tokens, lambda x: x.isNotNull())
+    dates = F.filter(_parse_tokens(found, formats, True), lambda d: d.isNotNull())
+    return F.get(dates, F.lit(0))
 
 
 def cell_date(c: Column | str) -> Column:

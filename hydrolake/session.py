@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 #: Settings every operator relies on. Joins carry no broadcast hints: Spark
 #: compares each side with spark.sql.autoBroadcastJoinThreshold, and AQE does
@@ -52,3 +55,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder, never reused."""
     return f"{checkpoint_root(spark)}/hydrolake/{name}-{uuid.uuid4().hex}"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A hand-kept table of a few rows as a local relation.
+
+    Its exact size is known to the optimizer, so joins on it need no hint.
+    """
+    types = to_arrow_schema(_parse_datatype_string(schema))
+    columns = list(zip(*rows)) if rows else [[] for _ in types]
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, types)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=types))
