@@ -101,45 +101,50 @@ HEADER_LABELS = ("station_id", "reservoir", "river", "wss", "district_mun", "wma
                  "fsc_mcm", "water_mcm", "pct_last_year", "pct_last_week", "pct_full")
 
 
-def header_columns(cells: DataFrame, table: list[str], as_of: Column) -> DataFrame:
-    """Which column of a table means what: ``header_row, col_no, label``.
+def header_columns(header: Column, as_of: Column) -> Column:
+    """Meaning of each header cell: array of ``label, score, col_no``.
 
-    The header is the first of 40 rows that names both station and reservoir.
-    Of several "% full" columns one is kept: today's before the one dated as the
-    bulletin before any other, the rightmost of equals.
+    Of several "% full" columns today's scores over the one dated as the
+    bulletin, and that one over any other.
     """
-    text = F.lower(clean_text(F.coalesce("text", F.lit(""))))
-    cells = cells.withColumn("__h", text)
-    rows = cells.where("row_no < 40").groupBy(*table, "row_no").agg(
-        F.max(F.col("__h").contains("station")).alias("__s"),
-        F.max(F.col("__h").contains("reservoir")).alias("__r"))
-    header = (rows.where("__s and __r").groupBy(*table)
-              .agg(F.min("row_no").alias("header_row")))
-    labels = (cells.join(header, table).where("row_no = header_row")
-              .withColumn("label", _canonical_label(F.col("__h"))).where("label is not null"))
-    stamp = F.concat_ws("", *[F.regexp_extract("__h", _HEADER_DATE, i) for i in (1, 2, 3)])
-    score = (F.when(F.col("__h").contains("today"), 100)
-             .when(stamp == F.date_format(as_of, "yyyyMMdd"), 90).otherwise(10))
-    labels = labels.withColumn("__score", F.when(F.col("label") == "pct_full", score).otherwise(0))
-    # other labels may repeat (each column keeps its own), "% full" must be one
-    rival = F.when(F.col("label") == "pct_full", F.lit(-1)).otherwise(F.col("col_no"))
-    best = F.max_by(F.struct("header_row", "col_no"), F.struct("__score", "col_no"))
-    return (labels.groupBy(*table, "label", rival.alias("__rival")).agg(best.alias("__b"))
-            .select(*table, "label", "__b.*"))
+    stamp = F.date_format(as_of, "yyyyMMdd")
+
+    def describe(cell: Column) -> Column:
+        text = F.lower(clean_text(F.coalesce(cell["text"], F.lit(""))))
+        return F.struct(_canonical_label(text).alias("label"), (
+            F.when(text.contains("today"), 100)
+            .when(F.regexp_replace(F.regexp_extract(text, _HEADER_DATE, 0), r"\D", "") == stamp, 90)
+            .otherwise(10)).alias("score"), cell["col_no"].alias("col_no"))
+
+    return F.filter(F.transform(header, describe), lambda x: x["label"].isNotNull())
 
 
 def map_header(cells: DataFrame, doc: list[str], as_of: Column) -> DataFrame:
-    """Bulletin cells ``(doc, table_no, row_no, col_no, text)`` to one row per station."""
+    """Bulletin cells ``(doc, table_no, row_no, col_no, text)`` to one row per station.
+
+    The header is the first of 40 rows that names both station and reservoir;
+    where a label repeats the better scored, then the rightmost column counts.
+    Everything happens inside one document, after a single shuffle by document.
+    """
     table = [*doc, "table_no"]
-    columns = header_columns(cells, table, as_of)
-    body = cells.withColumn("text", F.replace(F.trim(F.coalesce("text", F.lit(""))), F.lit("\n"), F.lit("")))
-    totals = (body.groupBy(*table, "row_no")
-              .agg(F.max(F.lower("text").rlike("subtotal|grand total")).alias("__total")))
-    labelled = body.join(columns, [*table, "col_no"]).where("row_no > header_row")
-    wide = labelled.groupBy(*table, "row_no").agg(*[
-        F.max_by("text", F.when(F.col("label") == n, F.col("col_no"))).alias(n) for n in HEADER_LABELS])
-    wide = wide.join(totals, [*table, "row_no"]).where(~F.col("__total")).drop("__total")
+    rows = (cells.repartition(*doc).groupBy(*table, "row_no")
+            .agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("cells")))
+    folded = F.lower(F.array_join(F.transform("cells", lambda c: F.coalesce(c["text"], F.lit(""))), " | "))
+    names_both = (F.col("row_no") < 40) & folded.contains("station") & folded.contains("reservoir")
+    rows = rows.withColumn("__total", folded.rlike("subtotal|grand total"))
+    in_table = Window.partitionBy(*table)
+    rows = rows.withColumn("__header", F.min(F.when(names_both, F.struct("row_no", "cells"))).over(in_table))
+    rows = rows.where("row_no > __header.row_no and not __total")
+    rows = rows.withColumn("__columns", header_columns(F.col("__header.cells"), as_of))
+
+    def value(label: str) -> Column:
+        column = F.array_max(F.transform(F.filter("__columns", lambda x: x["label"] == label),
+                                         lambda x: F.struct(x["score"], x["col_no"])))["col_no"]
+        text = F.get(F.filter("cells", lambda c: c["col_no"] == column), F.lit(0))["text"]
+        return F.replace(F.trim(text), F.lit("\n"), F.lit(""))
+
     station = r"^([A-Z]\d[A-Z]\d{3})"
+    wide = rows.select(*table, "row_no", *[value(n).alias(n) for n in HEADER_LABELS])
     wide = wide.where(F.col("station_id").rlike(station)).withColumn(
         "station_id", F.regexp_extract("station_id", station, 1))
     rest = [c for c in wide.columns if c not in (*doc, "station_id")]

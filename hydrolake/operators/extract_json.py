@@ -51,10 +51,13 @@ def overlay_arrays(df: DataFrame, arrays: list[str], keep: list[str], key: str =
     List the widest window first and the spot value last. Inside one array the
     later element wins. Empty keys and values do not count.
     """
-    ranked = F.concat(*[
-        F.transform(F.coalesce(F.col(a), F.array()), lambda x, i, a=a, r=r: F.struct(
-            F.lit(r).alias("rank"), i.alias("pos"), x[key].alias(key), x[value].alias(value),
-            F.lit(a).alias("source_array"))) for r, a in enumerate(arrays)])
+    def tagged(rank: int, name: str) -> Column:
+        return F.transform(F.col(name), lambda x, i: F.struct(
+            F.lit(rank).alias("rank"), i.alias("pos"), x[key].alias(key), x[value].alias(value),
+            F.lit(name).alias("source_array")))
+
+    lists = [tagged(r, a) for r, a in enumerate(arrays)]
+    ranked = F.flatten(F.filter(F.array(*lists), lambda a: a.isNotNull()))
     points = df.select(*keep, F.inline(ranked)).where(
         F.col(key).isNotNull() & F.col(value).isNotNull())
     best = F.max_by(F.struct(value, "source_array"), F.struct("rank", "pos"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hydrolake.functions.names import parse_header
+from hydrolake.session import local_table
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
@@ -27,10 +28,13 @@ def id_minus(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def to_long(df: DataFrame, ids: list[str], variables: list[str] | None = None) -> DataFrame:
     """Wide snapshot to long; blanks dropped, header split into gloss and unit."""
     variables = variables or [c for c in df.columns if c not in ids]
-    long = df.unpivot(ids, variables, "variable_original", "value").where("value is not null")
+    # headers are parsed once per column, not once per value
+    headers = local_table(df.sparkSession, [(v,) for v in variables], "variable_original string")
     header = parse_header("variable_original")
-    return long.select(*ids, "variable_original", header["gloss"].alias("variable_gloss"),
-                       header["unit"].alias("unit"), "value")
+    headers = headers.select("variable_original", header["gloss"].alias("variable_gloss"), header["unit"].alias("unit"))
+    long = df.unpivot(ids, variables, "variable_original", "value").where("value is not null")
+    return long.join(headers, "variable_original").select(
+        *ids, "variable_original", "variable_gloss", "unit", "value")
 
 
 def to_wide(df: DataFrame, ids: list[str], variable: str, value: str, variables: list[str]) -> DataFrame:

@@ -269,8 +269,8 @@ def resolve_year(spark, sf):
         text(P.resolve_year(num, anchor, 7, "MM-dd")).alias("lenient"))
 
 
-@query("""SELECT event_id, strftime(make_timestamp(epoch_ms(ts) * 1000), '%Y-%m-%d') AS utc_day,
- strftime(make_timestamp(epoch_ms(ts) * 1000) + INTERVAL 8 HOUR, '%Y-%m-%d') AS local_day FROM events""")
+@query("""SELECT event_id, strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%d') AS utc_day,
+ strftime(make_timestamp(epoch_us(ts) // 1000 * 1000) + INTERVAL 8 HOUR, '%Y-%m-%d') AS local_day FROM events""")
 def epoch_ms_to_date(spark, sf):
     ms = F.unix_millis("ts")
     return table(spark, sf, "events").select("event_id", text(P.epoch_ms_to_date(ms)).alias("utc_day"),

@@ -84,7 +84,7 @@ def unmapped_variables(spark, sf):
 
 
 @query("""SELECT user_id, event_type, strftime(ts, '%Y-%m-%d') AS date, count(value) AS n,
- round(CASE WHEN event_type = 'purchase' THEN sum(value) ELSE avg(value) END, 4) AS value FROM events GROUP BY ALL""")
+ round(CASE WHEN event_type = 'purchase' THEN sum(value) ELSE avg(value) END, 4) AS value FROM events GROUP BY 1, 2, 3""")
 def to_daily(spark, sf):
     df = reshape.to_daily(table(spark, sf, "events"), ["user_id"], "ts", "event_type", "value", ["purchase"])
     return df.select("user_id", "event_type", text("date").alias("date"), "n", r4("value").alias("value"))
