@@ -11,15 +11,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 from hydrolake.functions import fixed
-from hydrolake.functions._base import col, extract, literal_map
+from hydrolake.functions._base import col, extract, let, literal_map
 from hydrolake.functions.text import clean_text, strip, strip_accents
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _loosen(text: Column, words: bool, two_digit_years: bool) -> Column:
     if words:
         text = F.replace(text, F.lit(","), F.lit(" "))

@@ -7,7 +7,7 @@ import unicodedata
 
 from pyspark.sql import Column, functions as F
 
-from hydrolake.functions._base import col
+from hydrolake.functions._base import col, let
 from hydrolake.functions.fixed import WHITE_SPACE
 
 WS = f"[{WHITE_SPACE}]"
@@ -78,7 +78,6 @@ def _code_point(n: Column) -> Column:
 
 def html_unescape(c: Column | str) -> Column:
     """Decode character references in one pass (``&amp;lt;`` stays ``&lt;``)."""
-    c = col(c)
     names = _entity_map()
     pattern = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
@@ -93,8 +92,8 @@ def html_unescape(c: Column | str) -> Column:
             .when(named.isNotNull(), F.concat(named, rest)) \
             .otherwise(p)
 
-    decoded = F.array_join(F.transform(F.split(c, "(?=&)"), piece), "")
-    return F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
+    return let(col(c), lambda t: F.when(
+        F.instr(t, "&") > 0, F.array_join(F.transform(F.split(t, "(?=&)"), piece), "")).otherwise(t))
 
 
 _DROP_BLOCKS = r"(?s)<script.*?</script>|<style.*?</style>"

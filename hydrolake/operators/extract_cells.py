@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hydrolake.functions import fixed
+from hydrolake.functions._base import let
 from hydrolake.functions.dates import resolve_year
 from hydrolake.functions.text import clean_text
 from hydrolake.operators.ordered import lag_over_slices, running_sum_over_slices
@@ -102,51 +103,58 @@ HEADER_LABELS = ("station_id", "reservoir", "river", "wss", "district_mun", "wma
 
 
 def header_columns(header: Column, as_of: Column) -> Column:
-    """Meaning of each header cell: array of ``label, score, col_no``.
+    """Column of each label in a header row: map ``label -> col_no``.
 
-    Of several "% full" columns today's scores over the one dated as the
-    bulletin, and that one over any other.
+    Of several "% full" columns today's comes before the one dated as the
+    bulletin, and that one before any other; of equals the rightmost counts.
     """
     stamp = F.date_format(as_of, "yyyyMMdd")
+    folded = F.transform(header, lambda c: F.struct(
+        F.lower(clean_text(F.coalesce(c["text"], F.lit("")))).alias("t"), c["col_no"].alias("col_no")))
 
-    def describe(cell: Column) -> Column:
-        text = F.lower(clean_text(F.coalesce(cell["text"], F.lit(""))))
-        return F.struct(_canonical_label(text).alias("label"), (
-            F.when(text.contains("today"), 100)
-            .when(F.regexp_replace(F.regexp_extract(text, _HEADER_DATE, 0), r"\D", "") == stamp, 90)
-            .otherwise(10)).alias("score"), cell["col_no"].alias("col_no"))
+    def score(text: Column) -> Column:
+        dated = F.regexp_replace(F.regexp_extract(text, _HEADER_DATE, 0), r"\D", "")
+        return F.when(text.contains("today"), 100).when(dated == stamp, 90).otherwise(10)
 
-    return F.filter(F.transform(header, describe), lambda x: x["label"].isNotNull())
+    described = F.filter(F.transform(folded, lambda c: F.struct(
+        _canonical_label(c["t"]).alias("label"), score(c["t"]).alias("score"), c["col_no"].alias("col_no"))),
+        lambda x: x["label"].isNotNull())
+
+    def best(columns: Column, label: str) -> Column:
+        return F.array_max(F.transform(F.filter(columns, lambda x: x["label"] == label),
+                                       lambda x: F.struct(x["score"], x["col_no"])))["col_no"]
+
+    return let(described, lambda d: F.map_from_arrays(
+        F.array(*[F.lit(n) for n in HEADER_LABELS]), F.array(*[best(d, n) for n in HEADER_LABELS])))
 
 
 def map_header(cells: DataFrame, doc: list[str], as_of: Column) -> DataFrame:
     """Bulletin cells ``(doc, table_no, row_no, col_no, text)`` to one row per station.
 
-    The header is the first of 40 rows that names both station and reservoir;
-    where a label repeats the better scored, then the rightmost column counts.
-    Everything happens inside one document, after a single shuffle by document.
+    The header is the first of 40 rows that names both station and reservoir; it
+    is read once per table. Everything happens inside one document, after a
+    single shuffle by document.
     """
     table = [*doc, "table_no"]
     rows = (cells.repartition(*doc).groupBy(*table, "row_no")
             .agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("cells")))
-    folded = F.lower(F.array_join(F.transform("cells", lambda c: F.coalesce(c["text"], F.lit(""))), " | "))
-    names_both = (F.col("row_no") < 40) & folded.contains("station") & folded.contains("reservoir")
-    rows = rows.withColumn("__total", folded.rlike("subtotal|grand total"))
-    in_table = Window.partitionBy(*table)
-    rows = rows.withColumn("__header", F.min(F.when(names_both, F.struct("row_no", "cells"))).over(in_table))
-    rows = rows.where("row_no > __header.row_no and not __total")
-    rows = rows.withColumn("__columns", header_columns(F.col("__header.cells"), as_of))
+    rows = rows.withColumn("__text", F.lower(F.array_join("cells.text", " | ")))
+    names_both = (F.col("row_no") < 40) & F.col("__text").contains("station") & F.col("__text").contains("reservoir")
+    header = F.struct("row_no", header_columns(F.col("cells"), as_of).alias("columns"))
+    rows = rows.withColumn("__h", F.when(names_both, header))
+    first = F.min_by("__h", F.when(names_both, F.col("row_no"))).over(Window.partitionBy(*table))
+    rows = rows.withColumn("__header", first).where(
+        "row_no > __header.row_no and not __text rlike 'subtotal|grand total'")
+    rows = rows.withColumn("__m", F.map_from_entries("cells"))
 
     def value(label: str) -> Column:
-        column = F.array_max(F.transform(F.filter("__columns", lambda x: x["label"] == label),
-                                         lambda x: F.struct(x["score"], x["col_no"])))["col_no"]
-        text = F.get(F.filter("cells", lambda c: c["col_no"] == column), F.lit(0))["text"]
+        text = F.try_element_at("__m", F.col("__header.columns")[label])
         return F.replace(F.trim(text), F.lit("\n"), F.lit(""))
 
     station = r"^([A-Z]\d[A-Z]\d{3})"
-    wide = rows.select(*table, "row_no", *[value(n).alias(n) for n in HEADER_LABELS])
-    wide = wide.where(F.col("station_id").rlike(station)).withColumn(
-        "station_id", F.regexp_extract("station_id", station, 1))
+    wide = rows.where(value("station_id").rlike(station)).select(
+        *table, "row_no", *[value(n).alias(n) for n in HEADER_LABELS])
+    wide = wide.withColumn("station_id", F.regexp_extract("station_id", station, 1))
     rest = [c for c in wide.columns if c not in (*doc, "station_id")]
     first = F.min_by(F.struct(*rest), F.struct("table_no", "row_no")).alias("__r")
     return wide.groupBy(*doc, "station_id").agg(first).select(*doc, "station_id", "__r.*")

@@ -139,6 +139,6 @@ def merge_into_path(spark: SparkSession, path: str, new: DataFrame, keys: list[s
         archive = spark.read.schema(new.schema).parquet(path)
         touched = archive.join(new.select(partition).distinct(), partition, "left_semi")
         rows = upsert(touched.select(*new.columns), new, keys, volatile).rows.drop("merge_action")
-    (rows.repartition(partition).sortWithinPartitions(*keys)
+    (rows.hint("rebalance", F.col(partition)).sortWithinPartitions(*keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))

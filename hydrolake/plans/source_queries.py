@@ -1 +1,118 @@
-"""Queries."""
+"""The given tables written in a source's format and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hydrolake import sources
+from hydrolake.plans.quality_queries import registry
+from hydrolake.plans.registry import query, table, text
+from hydrolake.session import scratch_path
+from hydrolake.sources.files import lookup_rows, payload_rows, registry_rows, run_log_fields
+
+
+@query("""SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS snapshot_date FROM events""")
+def read_snapshots(spark, sf):
+    path = scratch_path(spark, "snapshots")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", text(F.to_date("ts")).alias("day"))
+    events.repartition("day").write.option("header", True).partitionBy("day").csv(path)
+    df = sources.read_snapshots(spark, f"{path}/*", "event_id bigint, user_id bigint, event_type string")
+    return df.withColumn("snapshot_date", text("snapshot_date"))
+
+
+@query("""SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, count(*) + CASE WHEN strftime(ts, '%Y-%m-%d') = '2024-01-05' THEN 0 ELSE 0 END AS n FROM events
+ WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-05' OR event_id % 2 = 0 GROUP BY user_id, strftime(ts, '%Y-%m-%d')""")
+def write_snapshots(spark, sf):
+    path = scratch_path(spark, "daily")
+    events = table(spark, sf, "events").select("user_id", "event_id", F.to_date("ts").alias("date"))
+    sources.write_snapshots(events, path)
+    # a second run touches one day only and replaces it
+    sources.write_snapshots(events.where("date = DATE '2024-01-05' AND event_id % 2 = 0"), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("user_id", text("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_SHAPE = """CASE event_id % 3 WHEN 0 THEN concat('[', props, ', ', props, ']') WHEN 1 THEN concat('{"meta": 1, "rows": [', props, ']}') ELSE props END"""
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM (SELECT event_id, props, unnest(CASE WHEN event_id % 3 = 0 THEN [1, 2] ELSE [1] END) FROM events) GROUP BY ALL""")
+def payload_shapes(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", F.inline(payload_rows(F.expr(_SHAPE), "k bigint")))
+    return rows.groupBy("event_id", "k").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def read_payloads(spark, sf):
+    path = scratch_path(spark, "payloads")
+    records = table(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 500).alias("f"), "event_type").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(F.replace("props", F.lit("}"), F.lit(', "pad": null}'))), ",\n"), F.lit("]")).alias("value"))
+    (records.repartition(4).select("value", "event_type").write.partitionBy("event_type").option("compression", "gzip")
+     .option("lineSep", "\n\n").text(path))
+    # text files keep one list per blank-line separated block
+    files = spark.read.option("lineSep", "\n\n").text(path)
+    rows = files.select("event_type", F.inline(payload_rows("value", "k bigint")))
+    return rows.groupBy("k", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+_LOG = """CASE event_id % 5 WHEN 0 THEN concat('{"run_time": "', d, '", "status": "success", "row_count": ', event_id, '}')
+ WHEN 1 THEN concat('{"started_at": "2020-01-01 00:00:00Z", "finished_at": "', d, 'Z", "source": "a/b", "status": "ok", "rows_added": 3, "errors": ["e', event_id, '"]}')
+ WHEN 2 THEN concat('{"retrieved_at_utc": "', replace(d, ' ', 'T'), '+00:00", "source": {"u": 1}}') WHEN 3 THEN concat('{"ran_at_utc": "', replace(d, ' ', 'T'), 'Z", "rows": 7') ELSE '{"status": "error"}' END"""
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 5 = 1 THEN 'a/b' END AS source, CASE WHEN event_id % 5 < 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS run_ts,
+ CASE event_id % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'ok' WHEN 2 THEN '?' WHEN 3 THEN 'unreadable' ELSE 'error' END AS status,
+ CAST(CASE event_id % 5 WHEN 0 THEN event_id WHEN 1 THEN 3 END AS DOUBLE) AS rows, CASE WHEN event_id % 5 = 1 THEN concat('e', event_id) END AS error FROM events""")
+def read_run_logs(spark, sf):
+    logs = table(spark, sf, "events").withColumn("d", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).withColumn("log", F.expr(_LOG))
+    out = logs.select("event_id", *run_log_fields("log"))
+    broken = F.col("status") == "unreadable"
+    return out.select("event_id", "source", F.when(~broken, F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss")).alias("run_ts"), "status",
+                      F.when(~broken, F.col("rows").cast("double")).alias("rows"), "error")
+
+
+@query("SELECT page_id, md5(html) AS digest, length(html) AS n FROM pages")
+def read_pages(spark, sf):
+    path = scratch_path(spark, "pages")
+    pages = table(spark, sf, "pages").select(F.concat(F.lit("page="), text("page_id"), F.lit(";"), F.col("html")).alias("value"), F.pmod("page_id", F.lit(16)).alias("shard"))
+    pages.write.partitionBy("shard").option("lineSep", "\x1e").text(path)
+    raw = spark.read.option("lineSep", "\x1e").text(path)
+    page = F.regexp_extract("value", r"(?s)^page=(\d+);(.*)$", 2)
+    return raw.select(F.regexp_extract("value", r"^page=(\d+);", 1).cast("bigint").alias("page_id"),
+                      F.md5(page).alias("digest"), F.length(page).cast("bigint").alias("n"))
+
+
+@query("SELECT concat('doc_', doc_id, '.txt') AS file, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, sha256(text) AS sha256 FROM documents")
+def inventory(spark, sf):
+    landed = table(spark, sf, "documents").select(
+        F.concat(F.lit("s3://bronze/"), "lang", F.lit("/doc_"), text("doc_id"), F.lit(".txt")).alias("path"),
+        F.col("text").cast("binary").alias("content"), F.current_timestamp().alias("modificationTime"))
+    return sources.inventory(landed).drop("retrieved_at")
+
+
+@query("""SELECT concat('src', CASE WHEN s_suppkey % 25 = 24 THEN s_suppkey - 1 ELSE s_suppkey END) AS source_id, CAST(s_suppkey % 3 * 24 AS DOUBLE) AS cadence,
+ CASE WHEN s_suppkey % 9 = 8 THEN '' ELSE '0 6 * * *' END AS cron, CASE WHEN s_suppkey % 7 = 6 THEN NULL ELSE 'g' END AS licence_gate FROM supplier""")
+def read_registry(spark, sf):
+    rows = registry(spark, sf)
+    # a registry file per nation, each a JSON document with a sources array
+    files = (rows.withColumn("f", F.pmod(F.hash("source_id"), F.lit(4))).groupBy("f")
+             .agg(F.to_json(F.struct(F.collect_list(F.struct(*rows.columns)).alias("sources"))).alias("value")))
+    return registry_rows(files, "value").select(
+        "source_id", F.col("publication_cadence_hours").alias("cadence"), F.array_join("cron", "|").alias("cron"), "licence_gate")
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS reservoir_id, year(o_orderdate) AS year, count(*) AS n FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0 GROUP BY ALL""")
+def write_long(spark, sf):
+    path = scratch_path(spark, "long")
+    long = table(spark, sf, "orders").select(text("o_custkey").alias("reservoir_id"), F.to_date("o_orderdate").alias("date"), "o_orderkey")
+    sources.write_long(long, path)
+    sources.write_long(long.where("year(date) = 1997 AND o_orderkey % 2 = 0"), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("reservoir_id", F.col("year").cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation WHERE n_nationkey % 6 > 2")
+def read_lookup(spark, sf):
+    nation = table(spark, sf, "nation").select(F.expr(
+        "CASE n_nationkey % 6 WHEN 0 THEN '' WHEN 1 THEN ' -- ' WHEN 2 THEN NULL ELSE concat(' ', n_nationkey, ' ') END").alias("id"),
+        F.concat(F.lit(" "), "n_name").alias("name"))
+    return lookup_rows(nation, "id")

@@ -1 +1,79 @@
-"""Queries."""
+"""Events as a stream of landed files, drained and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hydrolake import streaming
+from hydrolake.plans.registry import query, r4, table, text
+from hydrolake.session import scratch_path
+
+
+def landed(spark, sf, copies: int = 1):
+    """The events table as a file stream; with copies, a re-fetched overlap."""
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    df = streaming.ingest_stream(spark, sf, schema, glob="events.parquet", max_files=40)
+    if copies > 1:
+        df = df.withColumn("fetch", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    return df.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def ingest_stream(spark, sf):
+    out = scratch_path(spark, "ingest")
+    streaming.drain(landed(spark, sf).select("event_id", "user_id", "event_type", "value"), f"{out}/table", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/table")
+
+
+@query("SELECT user_id, event_id FROM events")
+def dedup_stream(spark, sf):
+    out = scratch_path(spark, "dedup")
+    once = streaming.dedup_stream(landed(spark, sf, copies=2), ["user_id", "event_id"], "ts", "45 days")
+    streaming.drain(once.select("user_id", "event_id"), f"{out}/table", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/table")
+
+
+@query("""SELECT event_type, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, count(*) AS n, round(avg(value), 4) AS mean_value, 24 AS expected, count(*) = 24 AS is_complete FROM events GROUP BY 1, 2""")
+def daily_stream(spark, sf):
+    out = scratch_path(spark, "daily_stream")
+    days = streaming.daily_stream(landed(spark, sf), ["event_type"], "ts", "value", "Asia/Shanghai", "2 days", 3600)
+    streaming.drain(days, f"{out}/table", f"{out}/checkpoint", mode="complete")
+    return spark.read.parquet(f"{out}/table").select(
+        "event_type", text("date").alias("date"), "n", r4("mean_value").alias("mean_value"), "expected", "is_complete")
+
+
+@query("""WITH e AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2)
+ SELECT user_id, date, event_id, value, 'second' AS fetched_at FROM e WHERE user_id % 2 = 0 UNION ALL SELECT user_id, date, event_id, value, 'first' FROM e WHERE user_id % 2 = 1""")
+def upsert_stream(spark, sf):
+    out = scratch_path(spark, "upsert_stream")
+    rows = landed(spark, sf).select("user_id", text(F.to_date("ts")).alias("date"), "event_id", "value")
+    # the first pass lands altered values for even users, the second pass revises them;
+    # odd users come again unchanged and keep their first fetch time
+    first = rows.withColumn("value", F.expr("CASE WHEN user_id % 2 = 0 THEN value + 1 ELSE value END")).withColumn("fetched_at", F.lit("first"))
+    second = rows.withColumn("fetched_at", F.lit("second"))
+    for name, df in (("a", first), ("b", second)):
+        streaming.upsert_stream(df, f"{out}/table", ["user_id", "date"], "date", ["event_id"],
+                                f"{out}/checkpoint_{name}", ["fetched_at"]).awaitTermination()
+    return spark.read.schema("user_id bigint, event_id bigint, value double, fetched_at string, date string").parquet(f"{out}/table")
+
+
+@query("""SELECT concat('src', s_suppkey) AS source_id, CASE WHEN d IS NULL THEN 'no_observation_date' WHEN date_diff('day', d, DATE '2024-02-01') * 24 > 84 THEN 'stale' ELSE 'fresh' END AS state
+ FROM supplier LEFT JOIN (SELECT user_id, CAST(max(ts) AS DATE) AS d FROM events GROUP BY 1) ON user_id = s_suppkey""")
+def freshness_stream(spark, sf):
+    out = scratch_path(spark, "freshness")
+    sid = F.concat(F.lit("src"), text("user_id")).alias("source_id")
+    registry = table(spark, sf, "supplier").select(
+        F.concat(F.lit("src"), text("s_suppkey")).alias("source_id"), F.lit(24).alias("publication_cadence_hours"),
+        F.lit(12).alias("max_schedule_gap_hours"), F.lit("active").alias("deployment_status"))
+
+    def runs_of(df):
+        return df.select(sid, F.col("ts").alias("run_ts"), F.lpad(text("event_id"), 12, "0").alias("run_file"), F.col("event_type").alias("status"))
+
+    def observations_of(df):
+        return df.groupBy("user_id").agg(text(F.to_date(F.max("ts"))).alias("latest_observation")).select(sid, "latest_observation")
+
+    streaming.freshness_stream(
+        landed(spark, sf), registry, F.lit("2024-02-01").cast("timestamp"), runs_of, observations_of,
+        lambda report, n: report.select("source_id", "state").write.mode("overwrite").parquet(f"{out}/report"),
+        f"{out}/seen", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/report")

@@ -36,9 +36,9 @@ def words_to_lines_gap(spark, sf):
     return texts.select("page", "line_no", F.size("tokens").cast("bigint").alias("n"), "text")
 
 
-_CLUSTER_SQL = f"""(SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY c) - 1 AS BIGINT) AS col_index, centre, n FROM (SELECT page, c, CAST(sum(n) AS BIGINT) AS n, sum(x * n) / sum(n) AS centre FROM
+_CLUSTER_SQL = f"""(SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY c) - 1 AS BIGINT) AS col_index, centre, n FROM (SELECT * FROM (SELECT page, c, CAST(sum(n) AS BIGINT) AS n, sum(x * n) / sum(n) AS centre FROM
  (SELECT page, x, n, sum(b) OVER (PARTITION BY page ORDER BY x) AS c FROM (SELECT page, x, n, CASE WHEN x - lag(x) OVER (PARTITION BY page ORDER BY x) >= 14 THEN 1 ELSE 0 END AS b FROM
- (SELECT page, x, count(*) AS n FROM {_WORDS_SQL} GROUP BY ALL))) GROUP BY page, c) QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC, c) <= 5)"""
+ (SELECT page, x, count(*) AS n FROM {_WORDS_SQL} GROUP BY ALL))) GROUP BY page, c) QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC, c) <= 5))"""
 
 
 @query(f"SELECT page, col_index, round(centre, 4) AS centre, n FROM {_CLUSTER_SQL}")
@@ -56,10 +56,9 @@ def assign_columns(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.col("col_index").cast("bigint").alias("col_index"))
 
 
-@query(f"""SELECT page, line_no, x // 40 AS col, text, CASE WHEN has_num THEN first_num END AS value, CASE WHEN has_num THEN CASE WHEN has_e THEN 'e' ELSE '' END ELSE 'empty' END AS flag FROM (
- SELECT page, line_no, x // 40 AS x40, min(x // 40) * 40 AS x, string_agg(tt, ' ' ORDER BY x, tt) AS text, count(*) FILTER (p > 0) > 0 AS has_num, bool_or(tt = 'e') AS has_e,
- arg_min(l_suppkey + 0.5, x * 1000000 + 0) FILTER (false) AS nothing, (list(CAST(replace(tt, ',', '.') AS DOUBLE) ORDER BY x, tt) FILTER (p > 0))[1] AS first_num FROM (SELECT *, CAST(t AS BIGINT) AS l_suppkey, CASE WHEN l_partkey % 5 = 0 THEN 'e' ELSE concat(t, ',5') END AS tt, CASE WHEN l_partkey % 5 = 0 THEN 0 ELSE 1 END AS p FROM {_GAP_SQL})
- GROUP BY page, line_no, x40) WHERE has_num""")
+@query(f"""SELECT page, line_no, col, string_agg(tt, ' ' ORDER BY x, tt) AS text, CAST(replace((list(tt ORDER BY x, tt) FILTER (tt <> 'e'))[1], ',', '.') AS DOUBLE) AS value,
+ CASE WHEN bool_or(tt = 'e') THEN 'e' ELSE '' END AS flag FROM (SELECT *, floor(x / 40) AS col, CASE WHEN l_partkey % 5 = 0 THEN 'e' ELSE concat(t, ',5') END AS tt FROM {_GAP_SQL})
+ GROUP BY page, line_no, col HAVING count(*) FILTER (tt <> 'e') > 0""")
 def cell_values(spark, sf):
     lined = extract_words.words_to_lines(words(spark, sf), ["page"], "y", 7.0)
     lined = lined.withColumn("col_index", F.floor(F.col("x") / 40)).withColumn(
@@ -80,23 +79,24 @@ TOKENS = f"""CASE o_orderkey % 4 WHEN 0 THEN array('B', 'P', 'R', concat('N', o_
  WHEN 2 THEN array('P', 'R', concat('N', o_custkey), {_M}, {_D}, '08:00', 'x', '12.5', '--') ELSE array('B', 'R', concat('N', o_custkey), 'no time') END"""
 
 
-@query(f"""SELECT o_orderkey, array_to_string(CASE o_orderkey % 4 WHEN 0 THEN ['B', 'P', 'R', n, tm, '12.5', '0.1'] WHEN 1 THEN ['B', 'P', 'R', n, tm, '12.5', '--']
+@query(f"""SELECT o_orderkey, array_to_string(CASE o_orderkey % 4 WHEN 0 THEN ['B', 'P', 'R', n, tm, '12.5', '0.1'] WHEN 1 THEN ['B', 'P', concat('R ', n), tm, '12.5', '--']
  WHEN 2 THEN ['P', 'R', n, tm, 'x', '12.5', '--'] ELSE ['B', 'R', n, 'n0 time'] END, '|') AS tokens FROM (SELECT *, concat('N', o_custkey) AS n, concat({_M}, '-', {_D}, ' 08:00') AS tm FROM orders)""")
 def repair_tokens(spark, sf):
-    # letters O become zeros in every token, as the repair does
+    # letters O become zeros in every token, and a name with a glued time is taken
+    # together with the token before it, as the left-to-right repair does
     return table(spark, sf, "orders").select(
         "o_orderkey", F.array_join(extract_words.repair_tokens(F.expr(TOKENS)), "|").alias("tokens"))
 
 
-@query(f"""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 2 THEN '' ELSE 'B' END AS basin, 'P' AS province, 'R' AS river, concat('N', o_custkey) AS reservoir,
+@query(f"""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'B' ELSE '' END AS basin, CASE o_orderkey % 4 WHEN 1 THEN 'B' ELSE 'P' END AS province, CASE o_orderkey % 4 WHEN 1 THEN 'P' ELSE 'R' END AS river, concat(CASE o_orderkey % 4 WHEN 1 THEN 'R ' ELSE '' END, 'N', o_custkey) AS reservoir,
  concat({_M}, '-', {_D}, ' 08:00') AS time, '12.5' AS level, CASE o_orderkey % 4 WHEN 0 THEN '0.1' ELSE '--' END AS change FROM orders WHERE o_orderkey % 4 < 3""")
 def align_on_anchor(spark, sf):
     lines = table(spark, sf, "orders").select("o_orderkey", extract_words.repair_tokens(F.expr(TOKENS)).alias("tokens"))
     return extract_words.align_on_anchor(lines, "tokens", ["o_orderkey"])
 
 
-@query("""SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN '长江流域' WHEN 1 THEN 'b' ELSE '' END AS basin, CASE s_suppkey % 4 WHEN 0 THEN '湖北' WHEN 3 THEN 'zz' ELSE '长江流域' END AS province,
- CASE s_suppkey % 4 WHEN 0 THEN concat('R', s_nationkey) WHEN 3 THEN 'q' ELSE '湖北' END AS river, CASE s_suppkey % 4 WHEN 1 THEN concat('R', s_nationkey) ELSE s_name END AS reservoir, '04-01 08:00' AS time FROM supplier""")
+@query("""SELECT s_suppkey, CASE k WHEN 1 THEN 'b' WHEN 3 THEN '' ELSE '长江流域' END AS basin, CASE k WHEN 1 THEN '长江流域' WHEN 3 THEN 'zz' ELSE '湖北' END AS province,
+ CASE k WHEN 0 THEN concat('R', s_nationkey) WHEN 1 THEN '湖北' WHEN 2 THEN s_name ELSE 'q' END AS river, CASE k WHEN 1 THEN concat('R', s_nationkey) ELSE s_name END AS reservoir, '04-01 08:00' AS time FROM (SELECT *, s_suppkey % 4 AS k FROM supplier)""")
 def repair_shift(spark, sf):
     k = "s_suppkey % 4"
     rows = table(spark, sf, "supplier").select(

@@ -25,7 +25,10 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | str |
     reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
               .option("recursiveFileLookup", recursive))
     df = (reader.schema(schema) if schema else reader).csv(path)
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    # files written by Spark have no dates of their own, their folders do
+    name = F.when(F.element_at(parts, -1).startswith("part-"), F.element_at(parts, -2)) \
+        .otherwise(F.element_at(parts, -1))
     month = F.concat(extract(name, r"(20\d{2}-\d{2})\D*$"), F.lit("-01"))
     day = F.coalesce(cell_date(name), month)
     return df.select("*", F.try_to_date(day).alias("snapshot_date"))
@@ -35,10 +38,11 @@ def write_snapshots(df: DataFrame, path: str, date_col: str = "date",
                     partition: tuple[str, ...] = ()) -> None:
     """One partition per observation date; only dates in the batch are replaced.
 
-    The shuffle by partition value keeps it at one file per date and writer.
+    The rebalance hint gathers a date's rows into few files and splits a date
+    that is too large for one task.
     """
     by = [*partition, date_col]
-    (df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path))
 
 
@@ -130,7 +134,7 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 def write_long(df: DataFrame, path: str, date_col: str = "date") -> None:
     """Long observations split by year; only years in the batch are replaced."""
-    (df.withColumn("year", F.year(date_col)).repartition("year", "reservoir_id")
+    (df.withColumn("year", F.year(date_col)).hint("rebalance", F.col("year"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year").parquet(path))
 
