@@ -52,34 +52,40 @@ def _ymd(year: Column, month: Column, day: Column) -> Column:
 def parse_dmy(c: Column | str, sep: str = "-", anywhere: bool = False) -> Column:
     """Unpadded ``d-m-yy`` or ``d-m-yyyy``; two-digit years are 20yy."""
     pattern = f"(\\d{{1,2}})[{sep}](\\d{{1,2}})[{sep}](\\d{{2,4}})"
-    text = col(c) if anywhere else strip(c)
     pattern = pattern if anywhere else f"^{pattern}$"
-    day, month, year = (extract(text, pattern, i).cast("int") for i in (1, 2, 3))
-    full = F.when(year < 100, year + 2000).otherwise(year)
-    return F.when(month.between(1, 12) & day.between(1, 31), _ymd(full, month, day))
+
+    def rebuild(text: Column) -> Column:
+        # a two-digit year is widened, the day and month stay as they are
+        hit = F.regexp_extract(text, pattern, 0)
+        wide = F.regexp_replace(hit, f"(?<s>[{sep}])(?<y>\\d\\d)$", "${s}20${y}")
+        wide = F.regexp_replace(wide, f"(?<s>[{sep}])0(?<y>\\d\\d)$", "${s}20${y}")
+        return F.try_to_date(F.regexp_replace(wide, f"[{sep}]", "-"), "d-M-yyyy")
+
+    return let(col(c) if anywhere else strip(c), rebuild)
 
 
 def parse_ymd_loose(c: Column | str) -> Column:
     """``2026-8-4...`` with or without padding, at the start of the cell."""
-    text = strip(c)
-    pattern = r"^(\d{4})-(\d{1,2})-(\d{1,2})"
-    return _ymd(*[extract(text, pattern, i).cast("int") for i in (1, 2, 3)])
+    return F.try_to_date(F.regexp_extract(strip(c), r"^\d{4}-\d{1,2}-\d{1,2}", 0), "y-M-d")
 
 
 def parse_text_date(c: Column | str, months: dict[str, int], order: str = "dmy",
                     joiner: str = r"\s+", year_range: tuple[int, int] = (2000, 2100)) -> Column:
     """Date written in words: ``4 de agosto de 2026`` or ``August 4, 2026``."""
-    text = F.lower(strip_accents(c))
     if order == "dmy":
         pattern = rf"(\d{{1,2}}){joiner}([a-z]+){joiner}(\d{{4}})"
         at = {"d": 1, "m": 2, "y": 3}
     else:
         pattern = r"([a-z]+)\s+(\d{1,2}),?\s+(\d{4})"
         at = {"d": 2, "m": 1, "y": 3}
-    day, year = (extract(text, pattern, at[k]).cast("int") for k in ("d", "y"))
-    month = literal_map(months)[extract(text, pattern, at["m"])]
-    ok = day.between(1, 31) & year.between(*year_range)
-    return F.when(ok, _ymd(year, month, day))
+
+    def rebuild(hit: Column) -> Column:
+        year = F.regexp_extract(hit, pattern, at["y"])
+        month = literal_map(months)[F.regexp_extract(hit, pattern, at["m"])]
+        day = F.regexp_extract(hit, pattern, at["d"])
+        return F.when(year.between(str(year_range[0]), str(year_range[1])), _ymd(year, month, day))
+
+    return let(F.regexp_extract(F.lower(strip_accents(c)), pattern, 0), rebuild)
 
 
 def printed_date(c: Column | str, patterns: Iterable[str] = fixed.AS_AT_PATTERNS,

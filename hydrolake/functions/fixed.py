@@ -5,9 +5,8 @@ words, layouts, bounds, statuses); results depend on these values being exactly
 what the sources use. They are parameters of the operators, not logic.
 """
 
-# --- fixed values: white space as Python's str.strip() understands it (regex class body)
-WHITE_SPACE = (r"\s\x0B\x1c-\x1f\x85\xA0\x{1680}\x{2000}-\x{200A}"
-               r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+# --- fixed values: one white space character as Python's str.strip() understands it
+WHITE_SPACE = r"(?U:[\s\x1c-\x1f])"
 
 # --- fixed values: missing markers by family of sources
 MARKERS_NULL_WORDS = ("", "-", "--", "null", "None")

@@ -13,13 +13,13 @@ from hydrolake.functions._base import col
 from hydrolake.functions.cells import clean_cell
 from hydrolake.functions.text import WS, strip
 
-_PLAIN = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+_LETTERS = "[a-df-zA-DF-Z]"
 
 
 def to_double(c: Column | str) -> Column:
-    """Plain decimal text to double; Java suffixes such as ``1d`` are refused."""
-    text = strip(col(c))
-    return F.when(text.rlike(_PLAIN), text.try_cast("double"))
+    """Plain decimal text to double; suffixes and words Java reads (``1d``, ``NaN``) are refused."""
+    c = col(c)
+    return F.when(~c.rlike(_LETTERS), c.try_cast("double"))
 
 
 def num_thousands(c: Column | str, markers=fixed.MARKERS_NULL_WORDS) -> Column:

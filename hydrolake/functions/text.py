@@ -8,9 +8,7 @@ import unicodedata
 from pyspark.sql import Column, functions as F
 
 from hydrolake.functions._base import col, let
-from hydrolake.functions.fixed import WHITE_SPACE
-
-WS = f"[{WHITE_SPACE}]"
+from hydrolake.functions.fixed import WHITE_SPACE as WS
 
 
 def strip(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hydrolake.functions._base import col
+from hydrolake.functions._base import col, let
 from hydrolake.functions.numbers import num_leading
 
 
@@ -28,11 +28,11 @@ def pick(row: Column | str, *names: str, zero_is_missing: bool = False) -> Colum
     """
     falsy = ["", "null"] + (["0", "0.0", "false"] if zero_is_missing else [])
 
-    def field(name: str) -> Column:
-        text = F.get_json_object(col(row), f"$['{name}']")
-        return F.when(~text.isin(*falsy), text)
+    def first(fields: Column) -> Column:
+        found = [F.try_element_at(fields, F.lit(n)) for n in names]
+        return F.coalesce(*[F.when(~x.isin(*falsy), x) for x in found])
 
-    return F.coalesce(*[field(n) for n in names])
+    return let(F.from_json(col(row), "map<string,string>"), first)
 
 
 def explode_epoch_map(df: DataFrame, payload: str, fields: list[str], keep: list[str]) -> DataFrame:

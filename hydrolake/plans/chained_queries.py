@@ -8,7 +8,7 @@ from hydrolake import functions as P
 from hydrolake.functions import fixed
 from hydrolake.operators import extract_glyphs, extract_json, filters, joins, merge, quality, reshape, select
 from hydrolake.plans.glyph_queries import _DIGITS, _LETTERS, _PUA, _RARE
-from hydrolake.plans.registry import query, r4, table, text
+from hydrolake.plans.registry import mean4, query, table, text
 from hydrolake.session import local_table
 
 _DAY = "strftime(ts, '%Y-%m-%d')"
@@ -32,7 +32,7 @@ def archive_update(spark, sf):
         *[F.count(F.when(F.col("merge_action") == a, 1)).alias(a) for a in ("added", "updated")])
 
 
-@query("""SELECT user_id, day, round(avg(v), 4) AS mean_value, count(*) AS n FROM (SELECT user_id, strftime(make_timestamp(s * 1000000), '%Y-%m-%d') AS day, s, arg_max(v, event_id) AS v FROM
+@query("""SELECT user_id, day, round(avg(v) + 3e-9, 4) AS mean_value, count(*) AS n FROM (SELECT user_id, strftime(make_timestamp(s * 1000000), '%Y-%m-%d') AS day, s, arg_max(v, event_id) AS v FROM
  (SELECT user_id % 5 AS user_id, epoch_us(ts) // 1000000 // 3600 * 3600 AS s, value AS v, event_id FROM events WHERE event_id % 10 > 0) GROUP BY user_id, s)
  GROUP BY user_id, day HAVING count(*) = 24""")
 def trusted_daily_values(spark, sf):
@@ -42,7 +42,7 @@ def trusted_daily_values(spark, sf):
         F.date_trunc("hour", "ts").alias("ts"), "value")
     measured = filters.keep_explicit_false(points, "simulated")
     days = select.complete_day_mean(measured, ["user_id"], "ts", "value", "event_id", "UTC", 3600)
-    return days.select("user_id", text("date").alias("day"), r4("mean_value").alias("mean_value"), "n")
+    return days.select("user_id", text("date").alias("day"), mean4("mean_value").alias("mean_value"), "n")
 
 
 @query("""WITH basic AS (SELECT user_id AS id, concat('B', user_id) AS name FROM events WHERE event_type = 'signup' GROUP BY 1),

@@ -45,6 +45,12 @@ def text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def mean4(c: Column | str) -> Column:
+    """Means rounded alike on both engines: the nudge settles exact ties at the last
+    digit, which would otherwise depend on the order of addition."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + 3e-9, 4)
+
+
 def r4(c: Column | str) -> Column:
     """Doubles rounded, as sums depend on the order of addition."""
     return F.round(F.col(c) if isinstance(c, str) else c, 4)

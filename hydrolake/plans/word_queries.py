@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hydrolake.operators import extract_words
 from hydrolake.plans.cell_queries import MONTH3, S
-from hydrolake.plans.registry import query, r4, table, text
+from hydrolake.plans.registry import mean4, query, table, text
 
 # words: a page per hundred orders, quantity gives y, linenumber and part the x
 _WORDS_SQL = """(SELECT l_orderkey // 100 AS page, l_quantity * 7 AS y, CAST(l_linenumber * 40 + l_partkey % 3 AS DOUBLE) AS x, CAST(l_suppkey AS VARCHAR) AS t, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem)"""
@@ -41,10 +41,10 @@ _CLUSTER_SQL = f"""(SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER
  (SELECT page, x, count(*) AS n FROM {_WORDS_SQL} GROUP BY ALL))) GROUP BY page, c) QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC, c) <= 5))"""
 
 
-@query(f"SELECT page, col_index, round(centre, 4) AS centre, n FROM {_CLUSTER_SQL}")
+@query(f"SELECT page, col_index, round(centre + 3e-9, 4) AS centre, n FROM {_CLUSTER_SQL}")
 def gap_clusters(spark, sf):
     out = extract_words.gap_clusters(words(spark, sf), ["page"], "x", 14.0, 5)
-    return out.select("page", F.col("col_index").cast("bigint").alias("col_index"), r4("centre").alias("centre"), "n")
+    return out.select("page", F.col("col_index").cast("bigint").alias("col_index"), mean4("centre").alias("centre"), "n")
 
 
 @query(f"""SELECT l_orderkey, l_linenumber, l_partkey, arg_min(col_index, abs(centre - x) * 1000000 + col_index / 1000) AS col_index FROM {_WORDS_SQL} JOIN {_CLUSTER_SQL} USING (page)

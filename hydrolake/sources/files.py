@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hydrolake.functions import fixed
-from hydrolake.functions._base import col, extract
+from hydrolake.functions._base import col, extract, let
 from hydrolake.functions.dates import cell_date
 
 REGISTRY_SCHEMA = T.StructType(
@@ -73,24 +73,35 @@ _ROW_KEYS = ("row_count", "rows_parsed", "rows", "rows_added", "dams_parsed", "v
              "readings", "station_count", "accumulated_rows", "inventory_total")
 
 
-def run_log_fields(text: Column | str) -> list[Column]:
-    """Canonical fields of one run log; the spellings differ from source to source."""
-    text = col(text)
+_LOG_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in (
+    *_RUN_TIME_KEYS, *_ROW_KEYS, "status", "source", "fatal_error", "broken")]
+    + [T.StructField("errors", T.ArrayType(T.StringType()))])
 
-    def first_of(keys: tuple[str, ...]) -> Column:
-        return F.coalesce(*[F.get_json_object(text, f"$.{k}") for k in keys])
 
-    stamp = F.regexp_replace(F.trim(first_of(_RUN_TIME_KEYS)), r"Z$", "+00:00")
-    compact = F.regexp_replace(stamp, r"T(\d{2})(\d{2})(\d{2})\+", "T$1:$2:$3+")
-    instant = F.coalesce(*[F.try_to_timestamp(compact, F.lit(f)) for f in fixed.DATE_FORMATS_ISO])
-    readable = F.try_parse_json(text).isNotNull()
-    status = F.when(~readable, "unreadable").otherwise(
-        F.coalesce(F.get_json_object(text, "$.status"), F.lit("?")))
-    source = F.get_json_object(text, "$.source")
-    error = F.coalesce(F.get_json_object(text, "$.fatal_error"), F.get_json_object(text, "$.errors[0]"))
-    return [F.when(~source.startswith("{"), source).alias("source"), instant.alias("run_ts"),
-            status.alias("status"), first_of(_ROW_KEYS).try_cast("bigint").alias("rows"),
-            error.alias("error")]
+def run_log_fields(text: Column | str) -> Column:
+    """Canonical struct of one run log; the spellings differ from source to source.
+
+    The log is parsed once against all known keys; objects stay text.
+    """
+    parsed = F.from_json(col(text), _LOG_SCHEMA, {"columnNameOfCorruptRecord": "broken"})
+
+    def canonical(log: Column) -> Column:
+        def first_of(keys: tuple[str, ...]) -> Column:
+            return F.coalesce(*[log[k] for k in keys])
+
+        stamp = F.regexp_replace(F.trim(first_of(_RUN_TIME_KEYS)), r"Z$", "+00:00")
+        compact = F.regexp_replace(stamp, r"T(\d{2})(\d{2})(\d{2})\+", "T$1:$2:$3+")
+        instant = let(compact, lambda t: F.coalesce(
+            *[F.try_to_timestamp(t, F.lit(f)) for f in fixed.DATE_FORMATS_ISO]))
+        readable = log["broken"].isNull() & log.isNotNull()
+        return F.struct(
+            F.when(readable & ~log["source"].startswith("{"), log["source"]).alias("source"),
+            F.when(readable, instant).alias("run_ts"),
+            F.when(readable, F.coalesce(log["status"], F.lit("?"))).otherwise("unreadable").alias("status"),
+            F.when(readable, first_of(_ROW_KEYS).try_cast("bigint")).alias("rows"),
+            F.when(readable, F.coalesce(log["fatal_error"], F.get(log["errors"], F.lit(0)))).alias("error"))
+
+    return let(parsed, canonical)
 
 
 def read_run_logs(spark: SparkSession, glob: str) -> DataFrame:
@@ -100,7 +111,7 @@ def read_run_logs(spark: SparkSession, glob: str) -> DataFrame:
     counts as ``unreadable``. A missing source name is taken from the folder.
     """
     files = spark.read.option("wholetext", True).text(glob)
-    logs = files.select(*run_log_fields("value"), F.col("_metadata.file_path").alias("__p"))
+    logs = files.select(F.col("_metadata.file_path").alias("__p"), F.inline(F.array(run_log_fields("value"))))
     folder = extract("__p", r"([^/]+/[^/]+)/run_logs/[^/]+$")
     return logs.select(F.coalesce("source", folder).alias("source"), "run_ts", "status", "rows", "error",
                        F.element_at(F.split("__p", "/"), -1).alias("run_file"))
