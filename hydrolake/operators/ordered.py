@@ -9,6 +9,8 @@ spread over as many tasks as it has slices.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hydrolake.functions._base import col
@@ -26,6 +28,14 @@ def _windows(keys: list[str], order: list):
     return inside, across
 
 
+def _join_slices(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Give every row its slice's summary; null keys and null slices match themselves."""
+    on = [*keys, _SLICE]
+    summary = summary.withColumnsRenamed({k: f"__r_{k}" for k in on})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in on])
+    return rows.join(summary, same).drop(*[f"__r_{k}" for k in on])
+
+
 def lag_over_slices(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
                     slice_by: Column) -> DataFrame:
     """``lag(value)`` over ``(keys order by order)``.
@@ -40,7 +50,7 @@ def lag_over_slices(df: DataFrame, keys: list[str], order: list[str], value: str
              .drop("__tail"))
     rows = (sliced.withColumn(out, F.lag(value).over(inside))
             .withColumn("__n", F.row_number().over(inside)))
-    return (rows.join(tails, [*keys, _SLICE])
+    return (_join_slices(rows, tails, keys)
             .withColumn(out, F.when(F.col("__n") == 1, F.col("__carry.v")).otherwise(F.col(out)))
             .drop(_SLICE, "__n", "__carry"))
 
@@ -55,8 +65,7 @@ def running_sum_over_slices(df: DataFrame, keys: list[str], order: list[str], va
                .withColumn("__offset", F.coalesce(F.sum("__sum").over(before), F.lit(0)))
                .drop("__sum"))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (sliced.withColumn("__run", F.sum("__v").over(upto))
-            .join(offsets, [*keys, _SLICE])
+    return (_join_slices(sliced.withColumn("__run", F.sum("__v").over(upto)), offsets, keys)
             .withColumn(out, F.col("__run") + F.col("__offset"))
             .drop(_SLICE, "__v", "__run", "__offset"))
 
@@ -121,7 +130,7 @@ def dynamic_threshold(df: DataFrame, keys: list[str], order: list[str], count: s
     middle = (F.get(recent, F.floor((n - 1) / 2).cast("int"))
               + F.get(recent, F.floor(n / 2).cast("int"))) / 2.0
     threshold = F.least(F.lit(high), F.greatest(F.lit(low), F.bround(middle * share, 0).cast("int")))
-    return (rows.join(tails, [*keys, _SLICE])
+    return (_join_slices(rows, tails, keys)
             .withColumn(out, F.when(n > 0, threshold).otherwise(F.lit(default)))
             .drop(_SLICE, "__pos", "__own", "__seen", "__carry"))
 
