@@ -13,7 +13,7 @@ from hydrolake.session import local_table
 
 _DAY = "strftime(ts, '%Y-%m-%d')"
 _LATEST = f"(SELECT user_id, {_DAY} AS day, arg_max(value, ts) AS value, arg_max(event_id, ts) AS event_id FROM events GROUP BY 1, 2)"
-_ARCHIVE = f"""(SELECT user_id, day, CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END AS value FROM {_LATEST} WHERE event_id % 3 > 0)"""
+_ARCHIVE = f"""(SELECT user_id, day, CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END AS value FROM {_LATEST} WHERE value >= 20)"""
 
 
 @query(f"""SELECT user_id, min(day) AS period_start, max(day) AS period_end, count(*) AS n, count(*) FILTER (a = 'added') AS added, count(*) FILTER (a = 'updated') AS updated FROM
@@ -23,7 +23,7 @@ def archive_update(spark, sf):
     days and holds others in an older version: period and changes per reservoir."""
     events = table(spark, sf, "events").select("user_id", "event_id", "ts", "value", F.to_date("ts").alias("day"))
     latest = select.latest_per(events, ["user_id", "day"], ["ts"], "event_id")
-    archive = latest.where("event_id % 3 > 0").select(
+    archive = latest.where("value >= 20").select(
         "user_id", "day", F.expr("CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END").alias("value"), F.lit("run1").alias("fetched_at"))
     batch = latest.select("user_id", "day", "value", F.lit("run2").alias("fetched_at"))
     merged = merge.upsert(archive, batch, ["user_id", "day"], ["fetched_at"]).rows

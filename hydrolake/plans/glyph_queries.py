@@ -46,7 +46,7 @@ def train_glyphs(spark, sf):
  CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE length(regexp_replace(p_name, '[^aeiouz]', '', 'g')) END AS unresolved_count FROM part""")
 def decode_glyphs(spark, sf):
     # the map knows the consonants only; vowels and z stay unresolved
-    learned = extract_glyphs.train_glyphs(_pairs(spark, sf).where("p_partkey % 9 > 0"), ["run"], "enc", "truth", ["p_partkey"])
+    learned = extract_glyphs.train_glyphs(_pairs(spark, sf), ["run"], "enc", "truth", ["p_partkey"])
     consonants = learned.where(~F.col("ch").isin(*"aeiouz"))
     tagged = _pairs(spark, sf).select("run", "p_partkey", F.expr(
         "CASE WHEN p_partkey % 5 = 0 THEN trim(CASE WHEN p_partkey % 9 = 0 THEN concat(substr(truth, -1), substr(truth, 1, length(truth) - 1)) ELSE truth END) ELSE concat('#f2otltag', enc, '#FontTag') END").alias("decoded"))

@@ -10,24 +10,24 @@ from hydrolake.plans.registry import query, table, text
 from hydrolake.session import local_table
 
 
-@query("""WITH basic AS (SELECT c_custkey AS id, c_name AS name, CAST(NULL AS DOUBLE) AS level FROM customer WHERE c_custkey % 4 > 0),
- daily AS (SELECT o_custkey AS id, max(o_totalprice) AS level, CASE WHEN o_custkey % 5 = 0 THEN 'D' END AS name FROM orders WHERE o_custkey % 2 = 0 GROUP BY o_custkey),
- live AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN 0.0 END AS level FROM supplier WHERE s_suppkey % 7 > 0),
+@query("""WITH basic AS (SELECT c_custkey AS id, c_name AS name, CAST(NULL AS DOUBLE) AS level FROM customer WHERE c_mktsegment <> 'BUILDING'),
+ daily AS (SELECT o_custkey AS id, max(o_totalprice) AS level, CASE WHEN o_custkey % 5 = 0 THEN 'D' END AS name FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
+ live AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN 0.0 END AS level FROM supplier WHERE s_nationkey > 3),
  ids AS (SELECT id FROM basic UNION SELECT id FROM daily UNION SELECT id FROM live)
  SELECT ids.id, coalesce(daily.name, basic.name) AS name, coalesce(live.level, daily.level, basic.level) AS level
  FROM ids LEFT JOIN basic USING (id) LEFT JOIN daily USING (id) LEFT JOIN live USING (id)""")
 def coalesce_feeds(spark, sf):
-    basic = table(spark, sf, "customer").where("c_custkey % 4 > 0").select(
+    basic = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("double").alias("level"))
-    daily = (table(spark, sf, "orders").where("o_custkey % 2 = 0").groupBy(F.col("o_custkey").alias("id"))
+    daily = (table(spark, sf, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("id"))
              .agg(F.max("o_totalprice").alias("level")).withColumn("name", F.expr("CASE WHEN id % 5 = 0 THEN 'D' END")))
     live = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("id"), F.expr("CASE WHEN s_suppkey % 3 = 0 THEN 0.0D END").alias("level"))
+        "s_nationkey", F.col("s_suppkey").alias("id"), F.expr("CASE WHEN s_suppkey % 3 = 0 THEN 0.0D END").alias("level"))
     return joins.coalesce_feeds(
         {"basic": basic, "daily": daily, "live": live}, ["id"],
         {"name": [("daily", "name"), ("basic", "name")],
          "level": [("live", "level"), ("daily", "level"), ("basic", "level")]},
-        only_when={"live": F.col("id") % 7 > 0})
+        only_when={"live": F.col("s_nationkey") > 3})
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment WHEN c_custkey % 4 > 0 THEN c_name ELSE '' END AS best FROM customer""")
@@ -63,13 +63,13 @@ def match_report(spark, sf):
     return _match(spark, sf)[1].groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN concat('OV ', c_custkey) ELSE c_name END AS c_name,
- CASE WHEN c_custkey % 20 = 0 THEN 'SEG' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+@query("""SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN concat('OV ', c_custkey) ELSE c_name END AS c_name,
+ CASE WHEN c_mktsegment = 'MACHINERY' AND c_custkey % 2 = 0 THEN 'SEG' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
 def apply_overrides(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    overrides = customer.where("c_custkey % 10 = 0").select(
+    overrides = customer.where("c_mktsegment = 'MACHINERY'").select(
         "c_custkey", F.concat(F.lit("OV "), text("c_custkey")).alias("c_name"),
-        F.expr("CASE WHEN c_custkey % 20 = 0 THEN 'SEG' ELSE '' END").alias("c_mktsegment"))
+        F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'SEG' ELSE '' END").alias("c_mktsegment"))
     return joins.apply_overrides(customer, overrides, "c_custkey", ["c_name", "c_mktsegment"])
 
 
@@ -83,9 +83,9 @@ def attach_by_date(spark, sf):
 
 
 @query("""SELECT key, coalesce(n_name, '') AS n_name, n_nationkey IS NOT NULL AS listed, s IS NOT NULL AS observed FROM
- (SELECT coalesce(n_nationkey, s) AS key, * FROM (SELECT * FROM nation WHERE n_nationkey % 2 = 0) n FULL JOIN (SELECT DISTINCT s_nationkey AS s FROM supplier WHERE s_nationkey > 4) ON n_nationkey = s)""")
+ (SELECT coalesce(n_nationkey, s) AS key, * FROM (SELECT * FROM nation WHERE n_regionkey < 3) n FULL JOIN (SELECT DISTINCT s_nationkey AS s FROM supplier WHERE s_nationkey > 4) ON n_nationkey = s)""")
 def full_reference(spark, sf):
-    nation = table(spark, sf, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("key"), "n_name")
+    nation = table(spark, sf, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("key"), "n_name")
     seen = table(spark, sf, "supplier").where("s_nationkey > 4").select(F.col("s_nationkey").alias("key"))
     return joins.full_reference(nation, seen, "key").withColumn("n_name", F.coalesce("n_name", F.lit("")))
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from hydrolake.operators import merge
 from hydrolake.plans.registry import query, table, text
 
-_OLD = """SELECT o_orderkey, o_custkey, o_orderstatus, 'run1' AS fetched_at FROM orders WHERE o_orderkey % 10 < 8"""
+_OLD = """SELECT o_orderkey, o_custkey, o_orderstatus, 'run1' AS fetched_at FROM orders WHERE o_orderpriority <> '5-LOW'"""
 _NEW = """SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_orderstatus, 'run2' AS fetched_at
- FROM orders WHERE o_orderkey % 10 > 4"""
+ FROM orders WHERE o_orderpriority <> '1-URGENT'"""
 _MERGED = f"""(SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
  CASE WHEN o.o_orderkey IS NULL THEN 'added' WHEN n.o_orderkey IS NULL THEN 'kept' WHEN n.o_custkey = o.o_custkey AND n.o_orderstatus = o.o_orderstatus THEN 'unchanged' ELSE 'updated' END AS merge_action,
  o.o_custkey AS oc, n.o_custkey AS nc, o.o_orderstatus AS os, n.o_orderstatus AS ns FROM ({_OLD}) o FULL JOIN ({_NEW}) n USING (o_orderkey))"""
@@ -18,8 +18,8 @@ _WINS = "merge_action IN ('added', 'updated')"
 
 def _sides(spark, sf):
     orders = table(spark, sf, "orders")
-    old = orders.where("o_orderkey % 10 < 8").select("o_orderkey", "o_custkey", "o_orderstatus", F.lit("run1").alias("fetched_at"))
-    new = orders.where("o_orderkey % 10 > 4").select(
+    old = orders.where("o_orderpriority <> '5-LOW'").select("o_orderkey", "o_custkey", "o_orderstatus", F.lit("run1").alias("fetched_at"))
+    new = orders.where("o_orderpriority <> '1-URGENT'").select(
         "o_orderkey", F.expr("CASE WHEN o_orderkey % 6 = 0 THEN o_custkey + 1 ELSE o_custkey END").alias("o_custkey"),
         "o_orderstatus", F.lit("run2").alias("fetched_at"))
     return old, new
@@ -52,36 +52,36 @@ def upsert_ranked(spark, sf):
     return merge.upsert_ranked(old, new, ["o_orderkey"], "kind", {"previous_week": 1, "current": 2}).rows
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 < 2 OR c_custkey % 3 > 0 THEN c_name ELSE concat(c_name, '*') END AS c_name,
- CASE WHEN c_custkey % 4 < 2 OR c_custkey % 5 = 0 THEN c_mktsegment ELSE 'NEW' END AS c_mktsegment FROM customer""")
+@query("""SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' OR c_custkey % 3 > 0 THEN c_name ELSE concat(c_name, '*') END AS c_name,
+ CASE WHEN c_mktsegment = 'BUILDING' OR c_custkey % 5 = 0 THEN c_mktsegment ELSE 'NEW' END AS c_mktsegment FROM customer""")
 def overlay(spark, sf):
     old = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    new = old.where("c_custkey % 4 >= 2").select(
+    new = old.where("c_mktsegment <> 'BUILDING'").select(
         "c_custkey", F.expr("CASE WHEN c_custkey % 3 > 0 THEN '' ELSE concat(c_name, '*') END").alias("c_name"),
         F.expr("CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'NEW' END").alias("c_mktsegment"))
     return merge.overlay(old, new, ["c_custkey"])
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'again' ELSE s_name END AS s_name FROM supplier WHERE s_suppkey % 2 = 0 OR s_suppkey % 3 = 0""")
+@query("""SELECT s_suppkey, CASE WHEN s_nationkey >= 10 THEN 'again' ELSE s_name END AS s_name FROM supplier""")
 def upsert_full(spark, sf):
-    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    old = supplier.where("s_suppkey % 2 = 0")
-    new = supplier.where("s_suppkey % 3 = 0").withColumn("s_name", F.lit("again"))
+    supplier = table(spark, sf, "supplier")
+    old = supplier.where("s_nationkey < 15").select("s_suppkey", "s_name")
+    new = supplier.where("s_nationkey >= 10").select("s_suppkey", F.lit("again").alias("s_name"))
     return merge.upsert_full(old, new, ["s_suppkey"])
 
 
 _OPEN = "CAST(o_orderdate AS DATE)"
 
 
-@query(f"""WITH o AS (SELECT o_orderkey, {_OPEN} AS d, 'old' AS side FROM orders WHERE o_orderdate <= DATE '1998-06-15' AND o_orderkey % 2 = 0),
+@query(f"""WITH o AS (SELECT o_orderkey, {_OPEN} AS d, 'old' AS side FROM orders WHERE o_orderdate <= DATE '1998-06-15' AND o_orderstatus = 'F'),
  n AS (SELECT o_orderkey, {_OPEN} AS d, 'new' AS side FROM orders WHERE o_orderdate >= DATE '1998-01-01')
  SELECT o_orderkey, strftime(d, '%Y-%m-%d') AS d, side FROM o WHERE d <> DATE '1998-06-15' OR NOT EXISTS (SELECT 1 FROM n WHERE n.d = DATE '1998-06-15')
  UNION ALL SELECT o_orderkey, strftime(d, '%Y-%m-%d'), side FROM n WHERE d = DATE '1998-06-15' OR d NOT IN (SELECT d FROM o)""")
 def append_closed(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("d"))
     today = F.lit("1998-06-15").cast("date")
-    old = orders.where((F.col("d") <= today) & (F.col("o_orderkey") % 2 == 0)).withColumn("side", F.lit("old"))
-    new = orders.where("d >= DATE '1998-01-01'").withColumn("side", F.lit("new"))
+    old = orders.where((F.col("d") <= today) & (F.col("o_orderstatus") == "F")).drop("o_orderstatus").withColumn("side", F.lit("old"))
+    new = orders.where("d >= DATE '1998-01-01'").drop("o_orderstatus").withColumn("side", F.lit("new"))
     return merge.append_closed(old, new, "d", today).withColumn("d", text("d"))
 
 

@@ -38,9 +38,9 @@ def check_cells(spark, sf):
     return quality.check_cells(df, ["l_orderkey"], ["a", "b"]).groupBy("l_orderkey", "column", "issue").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 > 0) GROUP BY ALL")
+@query("SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5-LOW') GROUP BY ALL")
 def check_fk(spark, sf):
-    meta = table(spark, sf, "orders").where("o_orderkey % 5 > 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    meta = table(spark, sf, "orders").where("o_orderpriority <> '5-LOW'").select(F.col("o_orderkey").alias("l_orderkey"))
     return quality.check_fk(table(spark, sf, "lineitem").select("l_orderkey"), meta, "l_orderkey")
 
 
@@ -106,24 +106,25 @@ def audit_report(spark, sf):
 
 _NOW = "2024-02-01 12:00:00"
 _FRESH = """(SELECT s.*, e.obs, e.last_run, e.status, coalesce(nullif(CAST(s % 3 * 24 AS DOUBLE), 0), 24.0) * 3 + 12 AS budget,
- date_diff('second', CAST(e.obs AS TIMESTAMP), TIMESTAMP '2024-02-01 12:00:00') / 3600.0 AS age FROM (SELECT s_suppkey AS s, concat('src', s_suppkey) AS source_id FROM supplier) s
+ date_diff('second', CAST(e.obs AS TIMESTAMP), TIMESTAMP '2024-02-01 12:00:00') / 3600.0 AS age FROM (SELECT s_suppkey AS s, s_nationkey, concat('src', s_suppkey) AS source_id FROM supplier) s
  LEFT JOIN (SELECT user_id, CASE WHEN user_id % 11 > 0 THEN strftime(max(ts), '%Y-%m-%d') END AS obs, max(ts) AS last_run, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id) e ON e.user_id = s.s)"""
 
 
-@query(f"""SELECT source_id, CASE WHEN s % 5 = 4 THEN 'not_active' WHEN s % 13 = 12 THEN 'no_data_dir' WHEN age IS NULL THEN 'no_observation_date' WHEN age > budget THEN 'stale' ELSE 'fresh' END AS state,
+@query(f"""SELECT source_id, CASE WHEN s % 5 = 4 THEN 'not_active' WHEN s_nationkey = 12 THEN 'no_data_dir' WHEN age IS NULL THEN 'no_observation_date' WHEN age > budget THEN 'stale' ELSE 'fresh' END AS state,
  obs AS latest_observation, round(age, 1) AS observation_age_hours, round(budget, 1) AS stale_after_hours, status AS latest_run_status,
- s % 5 <> 4 AND (s % 13 = 12 OR age IS NULL OR age > budget) AND s <> 1 AS is_problem FROM {_FRESH}""")
+ s % 5 <> 4 AND (s_nationkey = 12 OR age IS NULL OR age > budget) AND s <> 1 AS is_problem FROM {_FRESH}""")
 def freshness(spark, sf):
     s = "s_suppkey"
     reg = table(spark, sf, "supplier").select(
         F.concat(F.lit("src"), text(s)).alias("source_id"), F.expr(f"{s} % 3 * 24").alias("publication_cadence_hours"),
-        F.lit(12).alias("max_schedule_gap_hours"), F.expr(f"CASE WHEN {s} % 5 = 4 THEN 'blocked' ELSE 'active' END").alias("deployment_status"), s)
+        F.lit(12).alias("max_schedule_gap_hours"), F.expr(f"CASE WHEN {s} % 5 = 4 THEN 'blocked' ELSE 'active' END").alias("deployment_status"), "s_nationkey")
     events = table(spark, sf, "events")
     sid = F.concat(F.lit("src"), text("user_id")).alias("source_id")
     runs = events.select(sid, F.col("ts").alias("run_ts"), F.lpad(text("event_id"), 12, "0").alias("run_file"), F.col("event_type").alias("status"))
-    obs = events.where("user_id % 11 > 0").groupBy("user_id").agg(text(F.to_date(F.max("ts"))).alias("latest_observation")).select(sid, "latest_observation")
-    held = reg.where(f"{s} % 13 <> 12").select("source_id")
-    out = quality.freshness(reg.drop(s), runs, obs, F.lit(_NOW).cast("timestamp"), held, {"src1": "dormant"})
+    newest = F.when(F.col("user_id") % 11 > 0, text(F.to_date(F.col("newest"))))
+    obs = events.groupBy("user_id").agg(F.max("ts").alias("newest")).select(sid, newest.alias("latest_observation"))
+    held = reg.where("s_nationkey <> 12").select("source_id")
+    out = quality.freshness(reg.drop("s_nationkey"), runs, obs, F.lit(_NOW).cast("timestamp"), held, {"src1": "dormant"})
     return out.select("source_id", "state", "latest_observation", "observation_age_hours", "stale_after_hours", "latest_run_status", "is_problem")
 
 

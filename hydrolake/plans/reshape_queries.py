@@ -20,17 +20,17 @@ def union_sources(spark, sf):
     return reshape.union_sources([customer, supplier])
 
 
-@query("SELECT c_custkey AS id FROM customer WHERE c_custkey % 2 = 0 UNION SELECT o_custkey FROM orders WHERE o_custkey % 3 = 0")
+@query("SELECT c_custkey AS id FROM customer WHERE c_mktsegment <> 'BUILDING' UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def id_union(spark, sf):
-    a = table(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"))
-    b = table(spark, sf, "orders").where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("id"))
+    a = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"))
+    b = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
     return reshape.id_union(a, b, "id")
 
 
-@query("SELECT c_custkey AS id FROM customer WHERE c_custkey % 2 = 0 EXCEPT SELECT o_custkey FROM orders WHERE o_custkey % 3 = 0")
+@query("SELECT c_custkey AS id FROM customer WHERE c_mktsegment <> 'BUILDING' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def id_minus(spark, sf):
-    a = table(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"))
-    b = table(spark, sf, "orders").where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("id"))
+    a = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"))
+    b = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
     return reshape.id_minus(a, b, "id")
 
 

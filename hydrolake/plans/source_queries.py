@@ -20,14 +20,14 @@ def read_snapshots(spark, sf):
     return df.withColumn("snapshot_date", text("snapshot_date"))
 
 
-@query("""SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, count(*) + CASE WHEN strftime(ts, '%Y-%m-%d') = '2024-01-05' THEN 0 ELSE 0 END AS n FROM events
- WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-05' OR event_id % 2 = 0 GROUP BY user_id, strftime(ts, '%Y-%m-%d')""")
+@query("""SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events
+ WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-05' OR event_type = 'click' GROUP BY user_id, strftime(ts, '%Y-%m-%d')""")
 def write_snapshots(spark, sf):
     path = scratch_path(spark, "daily")
-    events = table(spark, sf, "events").select("user_id", "event_id", F.to_date("ts").alias("date"))
+    events = table(spark, sf, "events").select("user_id", "event_type", F.to_date("ts").alias("date"))
     sources.write_snapshots(events, path)
     # a second run touches one day only and replaces it
-    sources.write_snapshots(events.where("date = DATE '2024-01-05' AND event_id % 2 = 0"), path)
+    sources.write_snapshots(events.where("date = DATE '2024-01-05' AND event_type = 'click'"), path)
     back = spark.read.parquet(path)
     return back.groupBy("user_id", text("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -99,12 +99,12 @@ def read_registry(spark, sf):
         "source_id", F.col("publication_cadence_hours").alias("cadence"), F.array_join("cron", "|").alias("cron"), "licence_gate")
 
 
-@query("""SELECT CAST(o_custkey AS VARCHAR) AS reservoir_id, year(o_orderdate) AS year, count(*) AS n FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0 GROUP BY ALL""")
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS reservoir_id, year(o_orderdate) AS year, count(*) AS n FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F' GROUP BY ALL""")
 def write_long(spark, sf):
     path = scratch_path(spark, "long")
-    long = table(spark, sf, "orders").select(text("o_custkey").alias("reservoir_id"), F.to_date("o_orderdate").alias("date"), "o_orderkey")
+    long = table(spark, sf, "orders").select(text("o_custkey").alias("reservoir_id"), F.to_date("o_orderdate").alias("date"), "o_orderstatus")
     sources.write_long(long, path)
-    sources.write_long(long.where("year(date) = 1997 AND o_orderkey % 2 = 0"), path)
+    sources.write_long(long.where("year(date) = 1997 AND o_orderstatus = 'F'"), path)
     back = spark.read.parquet(path)
     return back.groupBy("reservoir_id", F.col("year").cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("n"))
 
