@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hydrolake.operators.merge import collapse, merge_into_path
@@ -60,8 +60,10 @@ def upsert_stream(df: DataFrame, target: str, keys: list[str], partition: str, o
     touches are rewritten. Replaying a batch after a failure gives the same archive.
     """
     def write(batch: DataFrame, _: int) -> None:
-        latest = collapse(batch, keys, order)
+        # the merge reads the batch twice: for its partitions and for its rows
+        latest = collapse(batch, keys, order).persist()
         merge_into_path(batch.sparkSession, target, latest, keys, partition, volatile)
+        latest.unpersist()
 
     return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -73,14 +75,20 @@ def freshness_stream(df: DataFrame, registry: DataFrame, now: Column, runs_of: C
                      checkpoint: str) -> StreamingQuery:
     """T5: recompute the freshness report after every micro-batch.
 
-    Landed rows are appended to ``seen``, one folder per batch so that a replay
-    overwrites its own rows, and the report reads all of them.
+    A batch is first reduced to what the report needs, the newest runs and the
+    newest observation of each source, and that goes to ``seen``, one folder per
+    batch so that a replay overwrites its own rows. The report reads only those.
     """
     def report(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{seen}/batch={number}")
-        landed = spark.read.parquet(seen).drop("batch")
-        publish(freshness(registry, runs_of(landed), observations_of(landed), now), number)
+        newest = Window.partitionBy("source_id").orderBy(F.col("run_file").desc())
+        runs = runs_of(batch).withColumn("__rn", F.row_number().over(newest)).where("__rn <= 10").drop("__rn")
+        runs.write.mode("overwrite").parquet(f"{seen}/runs/batch={number}")
+        observations_of(batch).write.mode("overwrite").parquet(f"{seen}/observations/batch={number}")
+        all_runs = spark.read.parquet(f"{seen}/runs").drop("batch")
+        all_days = (spark.read.parquet(f"{seen}/observations").groupBy("source_id")
+                    .agg(F.max("latest_observation").alias("latest_observation")))
+        publish(freshness(registry, all_runs, all_days, now), number)
 
     return (df.writeStream.foreachBatch(report).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
