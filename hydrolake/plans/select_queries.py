@@ -73,7 +73,7 @@ _DAYS = f"""(SELECT reservoir, strftime(make_timestamp(({_LOCAL}) * 1000000), '%
  min({_LOCAL} % 86400) AS first_s, max({_LOCAL} % 86400) AS last_s FROM {QUARTERS_SQL} GROUP BY ALL)"""
 
 
-@query(f"""SELECT reservoir, date, n, round(mean_value + 3e-9, 4) AS mean_value, CASE WHEN date = '2026-03-29' THEN 92 ELSE 96 END AS expected FROM {_DAYS}
+@query(f"""SELECT reservoir, date, n, round(mean_value + 3e-9, 4) AS mean_value, CAST(CASE WHEN date = '2026-03-29' THEN 92 ELSE 96 END AS BIGINT) AS expected FROM {_DAYS}
  WHERE n = CASE WHEN date = '2026-03-29' THEN 92 ELSE 96 END AND first_s = 0 AND last_s = 85500""")
 def complete_day_mean(spark, sf):
     df = select.complete_day_mean(quarter_hours(spark, sf), ["reservoir"], "ts", "value", "o_orderkey", "Europe/Luxembourg")

@@ -33,7 +33,7 @@ def dedup_stream(spark, sf):
     return spark.read.parquet(f"{out}/table")
 
 
-@query("""SELECT event_type, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, count(*) AS n, round(avg(value) + 3e-9, 4) AS mean_value, 24 AS expected, count(*) = 24 AS is_complete FROM events GROUP BY 1, 2""")
+@query("""SELECT event_type, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, count(*) AS n, round(avg(value) + 3e-9, 4) AS mean_value, CAST(24 AS BIGINT) AS expected, count(*) = 24 AS is_complete FROM events GROUP BY 1, 2""")
 def daily_stream(spark, sf):
     out = scratch_path(spark, "daily_stream")
     days = streaming.daily_stream(landed(spark, sf), ["event_type"], "ts", "value", "Asia/Shanghai", "2 days", 3600)
