@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import packing
+from hydrolake.llm import packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,3 +27,9 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                         with_ids=False).drop("ids")
+
+
+@query
+def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component of near copies."""
+    return simhash.classes(table(spark, sf_dir, "documents"))
