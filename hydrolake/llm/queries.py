@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import packing, simhash
+from hydrolake.llm import packing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -33,3 +33,22 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component of near copies."""
     return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 13-word windows that start in an earlier one too."""
+    done = substrings.dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op6_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM w),
+g AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + 13], ' ') AS t FROM p WHERE i + 13 <= len(ws)),
+m AS (SELECT t, min(doc_id) AS first FROM g GROUP BY t),
+b AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g JOIN m USING (t) WHERE g.doc_id > m.first),
+k AS (SELECT p.doc_id, count(b.i) AS n, string_agg(p.ws[p.i + 1], ' ' ORDER BY p.i) FILTER (WHERE b.i IS NULL) AS kept
+      FROM p LEFT JOIN b ON p.doc_id = b.doc_id AND p.i = b.i GROUP BY p.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)"""
