@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import packing, simhash, substrings
+from hydrolake.llm import langid, packing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,3 +52,9 @@ k AS (SELECT p.doc_id, count(b.i) AS n, string_agg(p.ws[p.i + 1], ' ' ORDER BY p
       FROM p LEFT JOIN b ON p.doc_id = b.doc_id AND p.i = b.i GROUP BY p.doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)"""
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole text."""
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
