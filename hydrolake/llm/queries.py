@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import decontaminate, langid, packing, simhash, substrings
+from hydrolake.llm import decontaminate, langid, licenses, packing, shards, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -64,3 +64,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds."""
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes."""
+    return shards.assign(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every whole text."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
