@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import decontaminate, langid, licenses, packing, shards, simhash, substrings
+from hydrolake.llm import decontaminate, langid, licenses, packing, quality, shards, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -76,3 +76,10 @@ def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in every whole text."""
     return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text."""
+    done = quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return done.select("doc_id", "held_out", "score", "predicted")
