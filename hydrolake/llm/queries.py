@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import decontaminate, langid, licenses, packing, quality, shards, simhash, substrings
+from hydrolake.llm import decontaminate, langid, licenses, packing, quality, shards, simhash, substrings, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -83,3 +83,18 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text."""
     done = quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return done.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth embedding."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op1_exact_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20"""
