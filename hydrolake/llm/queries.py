@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import decontaminate, langid, licenses, packing, quality, shards, simhash, substrings, topk
+from hydrolake.llm import (decontaminate, langid, licenses, packing, quality, shards, simhash, substrings, tokenfiles,
+                           topk)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -98,3 +99,9 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGIN
       FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20"""
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back through their index."""
+    return tokenfiles.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
