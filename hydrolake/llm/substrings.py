@@ -10,7 +10,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
-from hydrolake.llm.common import bucket, parts, text_bytes, written
+from hydrolake.llm.common import bucket, parts, text_bytes
 
 #: Text bytes of one block of documents; anchors or windows of one bucket that meet in a task.
 BLOCK_BYTES, BUCKET = 8 << 20, 1 << 20
@@ -146,7 +146,7 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, doc_id: str = "doc
        once, with its smallest document; bits come back for those with a smaller one elsewhere.
     3. Blocks drop the covered words.
 
-    Texts are shuffled once, to blocks by a hash; that exchange is reused by all three steps. A
+    Texts are shuffled once, to blocks by a hash; all steps are one plan, which reuses that exchange. A
     passage that a third of all documents share is one entry per block and step, however often it
     occurs. No pairs are made. Anchors are only a filter, so 32 bits do; windows are held equal
     by 64 bits and the bucket's own.
@@ -240,10 +240,10 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, doc_id: str = "doc
     by_block = rows.groupBy("block")
     sent = by_block.applyInArrow(send_anchors, "bucket int, block int, p0 binary")
     bits = "block int, bucket int, bits binary"
-    anchors = written(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet_anchors, bits), "anchors")
+    anchors = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet_anchors, bits)
     sent = by_block.cogroup(anchors.repartition(blocks, "block").groupBy("block")).applyInArrow(
         send_windows, "bucket int, block int, p0 binary, p1 binary")
-    windows = written(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet_windows, bits), "windows")
+    windows = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet_windows, bits)
     masks = anchors.withColumn("step", F.lit(1)).unionByName(windows.withColumn("step", F.lit(2)))
     done = by_block.cogroup(masks.repartition(blocks, "block").groupBy("block")).applyInArrow(cut, schema)
     done = done.withColumn("kept", F.col("kept").cast("string"))
