@@ -128,8 +128,12 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     """
     rows = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").cast("binary").alias("t"))
-    first = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    ids = rows.select("i", "l").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("i", "l").distinct()
+    # of each language some three times the rows wanted, by hash, before any are put in order
+    counts = rows.groupBy("l").agg(F.count("*").alias("c"))
+    near = rows.select("i", "l", F.shiftrightunsigned(F.xxhash64("i"), 1).alias("h")).join(counts, "l").where(
+        F.col("h") / 2.0 ** 63 <= 3.0 * per_language / F.col("c"))
+    first = Window.partitionBy("l").orderBy("h", "i")
+    ids = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("i", "l").distinct()
     picked = rows.join(F.broadcast(ids), ["i", "l"]).where(F.octet_length("t") > 0)
     room = F.greatest(F.octet_length("t") - LENGTH + 1, F.lit(1))
     cuts = F.array(*[F.substring("t", (F.pmod(F.xxhash64("i", F.lit(k)), room) + 1).cast("int"), LENGTH) for k in range(per_text)])
