@@ -120,6 +120,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
         """All (query, candidate) blocks whose candidate block is among ``some``."""
         keys, tasks = ["size", "pack", "block"], len(some) * packs
         each = queries.withColumn("block", F.explode(F.array(*map(F.lit, some))))
+        each = each.select(*[F.col(c).alias(c) for c in each.columns])  # both sides come from one table
         those = table.where(F.col("block").isin(some)) if len(some) < blocks else table
         those = those.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1))))
         return each.repartition(tasks, *keys).groupBy(*keys).cogroup(
