@@ -45,8 +45,8 @@ def trusted_daily_values(spark, sf):
     return days.select("user_id", text("date").alias("day"), mean4("mean_value").alias("mean_value"), "n")
 
 
-@query("""WITH basic AS (SELECT user_id AS id, concat('B', user_id) AS name FROM events WHERE event_type = 'signup' GROUP BY 1),
- daily AS (SELECT user_id AS id, arg_max(CAST(json_extract_string(props, '$.k') AS DOUBLE), event_id) AS storage FROM events WHERE event_type = 'view' GROUP BY 1),
+@query("""WITH basic AS (SELECT user_id AS id, concat('B', user_id) AS name FROM events WHERE event_type NOT IN ('view', 'click') GROUP BY 1),
+ daily AS (SELECT user_id AS id, arg_max(CAST(json_extract_string(props, '$.k') AS DOUBLE), event_id) AS storage FROM events WHERE event_type = 'view' OR (event_type = 'click' AND ts < TIMESTAMP '2024-01-30') GROUP BY 1),
  live AS (SELECT user_id AS id, arg_max(CAST(json_extract_string(props, '$.k') AS DOUBLE), event_id) AS storage FROM events WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-30' GROUP BY 1)
  SELECT id, coalesce(name, '') AS name, coalesce(live.storage, daily.storage) AS storage FROM (SELECT id FROM basic UNION SELECT id FROM daily UNION SELECT id FROM live) LEFT JOIN basic USING (id) LEFT JOIN daily USING (id) LEFT JOIN live USING (id)""")
 def feeds_to_snapshot(spark, sf):
@@ -55,12 +55,13 @@ def feeds_to_snapshot(spark, sf):
     value = P.num_thousands(extract_json.pick("props", "K", "k"))
     rows = events.select(F.col("user_id").alias("id"), "event_id", "event_type", "ts", value.alias("storage"))
 
-    def feed(kind):
-        return select.latest_per(rows.where(F.col("event_type") == kind), ["id"], ["event_id"], "event_id").select("id", "storage", "ts")
+    recent = "event_type = 'click' AND ts >= TIMESTAMP '2024-01-30'"
 
-    basic = rows.where("event_type = 'signup'").select("id", F.concat(F.lit("B"), text("id")).alias("name")).distinct()
-    live = select.latest_per(rows.where("event_type = 'click' AND ts >= TIMESTAMP '2024-01-30'"), ["id"], ["event_id"], "event_id")
-    snapshot = joins.coalesce_feeds({"basic": basic, "daily": feed("view"), "live": live.select("id", "storage")}, ["id"],
+    def feed(which):
+        return select.latest_per(rows.where(which), ["id"], ["event_id"], "event_id").select("id", "storage")
+
+    basic = rows.where("event_type NOT IN ('view', 'click')").select("id", F.concat(F.lit("B"), text("id")).alias("name")).distinct()
+    snapshot = joins.coalesce_feeds({"basic": basic, "daily": feed(f"event_type IN ('view', 'click') AND NOT ({recent})"), "live": feed(recent)}, ["id"],
                                     {"name": [("basic", "name")], "storage": [("live", "storage"), ("daily", "storage")]})
     return snapshot.withColumn("name", P.best_name("name"))
 

@@ -10,16 +10,22 @@ from hydrolake.plans.registry import query, table, text
 from hydrolake.session import local_table
 
 
-@query("""WITH basic AS (SELECT c_custkey AS id, c_name AS name, CAST(NULL AS DOUBLE) AS level FROM customer WHERE c_mktsegment <> 'BUILDING'),
- daily AS (SELECT o_custkey AS id, max(o_totalprice) AS level, CASE WHEN o_custkey % 5 = 0 THEN 'D' END AS name FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
+# rows that must not meet the other side keep their place under a negative key
+_BASIC_ID = "CASE WHEN c_mktsegment = 'BUILDING' THEN -c_custkey ELSE c_custkey END"
+_DAILY_ID = "CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -o_custkey END"
+_HELD_ID = "CASE WHEN l_linenumber > 2 THEN l_orderkey ELSE -l_orderkey END"
+
+
+@query(f"""WITH basic AS (SELECT {_BASIC_ID} AS id, c_name AS name, CAST(NULL AS DOUBLE) AS level FROM customer),
+ daily AS (SELECT {_DAILY_ID} AS id, max(o_totalprice) AS level, CASE WHEN id % 5 = 0 THEN 'D' END AS name FROM orders GROUP BY ALL),
  live AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN 0.0 END AS level FROM supplier WHERE s_nationkey > 3),
  ids AS (SELECT id FROM basic UNION SELECT id FROM daily UNION SELECT id FROM live)
  SELECT ids.id, coalesce(daily.name, basic.name) AS name, coalesce(live.level, daily.level, basic.level) AS level
  FROM ids LEFT JOIN basic USING (id) LEFT JOIN daily USING (id) LEFT JOIN live USING (id)""")
 def coalesce_feeds(spark, sf):
-    basic = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("double").alias("level"))
-    daily = (table(spark, sf, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("id"))
+    basic = table(spark, sf, "customer").select(
+        F.expr(_BASIC_ID).alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("double").alias("level"))
+    daily = (table(spark, sf, "orders").groupBy(F.expr(_DAILY_ID).alias("id"))
              .agg(F.max("o_totalprice").alias("level")).withColumn("name", F.expr("CASE WHEN id % 5 = 0 THEN 'D' END")))
     live = table(spark, sf, "supplier").select(
         "s_nationkey", F.col("s_suppkey").alias("id"), F.expr("CASE WHEN s_suppkey % 3 = 0 THEN 0.0D END").alias("level"))
@@ -74,31 +80,34 @@ def apply_overrides(spark, sf):
 
 
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, round(inflow, 4) AS inflow FROM orders
- LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS inflow FROM lineitem WHERE l_shipdate >= DATE '1998-01-01' GROUP BY 1) ON CAST(o_orderdate AS DATE) = day""")
+ LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS inflow FROM lineitem GROUP BY 1) ON CAST(o_orderdate AS DATE) = day""")
 def attach_by_date(spark, sf):
     history = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
-    recent = (table(spark, sf, "lineitem").where("l_shipdate >= DATE '1998-01-01'")
-              .groupBy(F.to_date("l_shipdate").alias("day")).agg(F.round(F.sum("l_quantity"), 4).alias("inflow")))
+    recent = (table(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg(F.round(F.sum("l_quantity"), 4).alias("inflow")))
     return joins.attach_by_date(history, recent, ["day"]).select("o_orderkey", text("day").alias("day"), "inflow")
 
 
-@query("""SELECT key, coalesce(n_name, '') AS n_name, n_nationkey IS NOT NULL AS listed, s IS NOT NULL AS observed FROM
- (SELECT coalesce(n_nationkey, s) AS key, * FROM (SELECT * FROM nation WHERE n_regionkey < 3) n FULL JOIN (SELECT DISTINCT s_nationkey AS s FROM supplier WHERE s_nationkey > 4) ON n_nationkey = s)""")
+_NATION_ID = "CASE WHEN n_regionkey < 3 THEN n_nationkey ELSE -1 - n_nationkey END"
+_SEEN_ID = "CASE WHEN s_nationkey > 4 THEN s_nationkey ELSE 100 + s_nationkey END"
+
+
+@query(f"""SELECT key, coalesce(n_name, '') AS n_name, n_nationkey IS NOT NULL AS listed, s IS NOT NULL AS observed FROM
+ (SELECT coalesce(k, s) AS key, * FROM (SELECT *, {_NATION_ID} AS k FROM nation) n FULL JOIN (SELECT DISTINCT {_SEEN_ID} AS s FROM supplier) ON k = s)""")
 def full_reference(spark, sf):
-    nation = table(spark, sf, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("key"), "n_name")
-    seen = table(spark, sf, "supplier").where("s_nationkey > 4").select(F.col("s_nationkey").alias("key"))
+    nation = table(spark, sf, "nation").select(F.expr(_NATION_ID).alias("key"), "n_name")
+    seen = table(spark, sf, "supplier").select(F.expr(_SEEN_ID).alias("key"))
     return joins.full_reference(nation, seen, "key").withColumn("n_name", F.coalesce("n_name", F.lit("")))
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber > 2)")
+@query(f"SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT {_HELD_ID} FROM lineitem)")
 def not_yet_held(spark, sf):
-    held = table(spark, sf, "lineitem").where("l_linenumber > 2").select(F.col("l_orderkey").alias("o_orderkey"))
+    held = table(spark, sf, "lineitem").select(F.expr(_HELD_ID).alias("o_orderkey"))
     return joins.not_yet_held(table(spark, sf, "orders").select("o_orderkey"), held, ["o_orderkey"])
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber > 2) ORDER BY o_orderkey LIMIT 40")
+@query(f"SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT {_HELD_ID} FROM lineitem) ORDER BY o_orderkey LIMIT 40")
 def not_yet_held_capped(spark, sf):
-    held = table(spark, sf, "lineitem").where("l_linenumber > 2").select(F.col("l_orderkey").alias("o_orderkey"))
+    held = table(spark, sf, "lineitem").select(F.expr(_HELD_ID).alias("o_orderkey"))
     return joins.not_yet_held(table(spark, sf, "orders").select("o_orderkey"), held, ["o_orderkey"], limit=40)
 
 

@@ -73,14 +73,14 @@ def upsert_full(spark, sf):
 _OPEN = "CAST(o_orderdate AS DATE)"
 
 
-@query(f"""WITH o AS (SELECT o_orderkey, {_OPEN} AS d, 'old' AS side FROM orders WHERE o_orderdate <= DATE '1998-06-15' AND o_orderstatus = 'F'),
+@query(f"""WITH o AS (SELECT o_orderkey, {_OPEN} AS d, 'old' AS side FROM orders WHERE o_orderdate <= DATE '1998-06-15' AND (o_orderstatus = 'F' OR o_orderdate < DATE '1998-01-01')),
  n AS (SELECT o_orderkey, {_OPEN} AS d, 'new' AS side FROM orders WHERE o_orderdate >= DATE '1998-01-01')
  SELECT o_orderkey, strftime(d, '%Y-%m-%d') AS d, side FROM o WHERE d <> DATE '1998-06-15' OR NOT EXISTS (SELECT 1 FROM n WHERE n.d = DATE '1998-06-15')
  UNION ALL SELECT o_orderkey, strftime(d, '%Y-%m-%d'), side FROM n WHERE d = DATE '1998-06-15' OR d NOT IN (SELECT d FROM o)""")
 def append_closed(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("d"))
     today = F.lit("1998-06-15").cast("date")
-    old = orders.where((F.col("d") <= today) & (F.col("o_orderstatus") == "F")).drop("o_orderstatus").withColumn("side", F.lit("old"))
+    old = orders.where((F.col("d") <= today) & F.expr("o_orderstatus = 'F' OR d < DATE '1998-01-01'")).drop("o_orderstatus").withColumn("side", F.lit("old"))
     new = orders.where("d >= DATE '1998-01-01'").drop("o_orderstatus").withColumn("side", F.lit("new"))
     return merge.append_closed(old, new, "d", today).withColumn("d", text("d"))
 

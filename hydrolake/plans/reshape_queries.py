@@ -20,17 +20,22 @@ def union_sources(spark, sf):
     return reshape.union_sources([customer, supplier])
 
 
-@query("SELECT c_custkey AS id FROM customer WHERE c_mktsegment <> 'BUILDING' UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
+# rows that must not meet the other side keep their place under a negative key
+_LISTED = "CASE WHEN c_mktsegment = 'BUILDING' THEN -c_custkey ELSE c_custkey END"
+_SEEN = "CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -1000000000 - o_custkey END"
+
+
+@query(f"SELECT {_LISTED} AS id FROM customer UNION SELECT {_SEEN} FROM orders")
 def id_union(spark, sf):
-    a = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"))
-    b = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
+    a = table(spark, sf, "customer").select(F.expr(_LISTED).alias("id"))
+    b = table(spark, sf, "orders").select(F.expr(_SEEN).alias("id"))
     return reshape.id_union(a, b, "id")
 
 
-@query("SELECT c_custkey AS id FROM customer WHERE c_mktsegment <> 'BUILDING' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
+@query(f"SELECT {_LISTED} AS id FROM customer EXCEPT SELECT {_SEEN} FROM orders")
 def id_minus(spark, sf):
-    a = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"))
-    b = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
+    a = table(spark, sf, "customer").select(F.expr(_LISTED).alias("id"))
+    b = table(spark, sf, "orders").select(F.expr(_SEEN).alias("id"))
     return reshape.id_minus(a, b, "id")
 
 

@@ -33,13 +33,13 @@ _DAY = "CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(floor(value) AS INT)
 _NAME = "CASE WHEN event_id % 4 = 0 THEN concat('N', event_id % 50) END"
 
 
-@query(f"""WITH l AS (SELECT user_id, event_id, {_DAY} AS d, {_NAME} AS name FROM events WHERE event_type <> 'signup' OR event_id % 4 = 0),
+@query(f"""WITH l AS (SELECT user_id, event_id, {_DAY} AS d, {_NAME} AS name FROM events),
  dated AS (SELECT *, lag(d) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM l WHERE d IS NOT NULL),
  b AS (SELECT l.*, CAST(sum(CASE WHEN dated.d <= dated.p THEN 1 ELSE 0 END) OVER (PARTITION BY l.user_id ORDER BY l.event_id) AS BIGINT) AS block FROM l LEFT JOIN dated USING (user_id, event_id)),
  n AS (SELECT user_id, block, arg_max(name, event_id) AS block_name FROM b WHERE name IS NOT NULL GROUP BY ALL)
  SELECT b.user_id, b.event_id, b.d, b.block, n.block_name FROM b JOIN n USING (user_id, block) WHERE b.d IS NOT NULL""")
 def segment_blocks(spark, sf):
-    lines = table(spark, sf, "events").where("event_type <> 'signup' OR event_id % 4 = 0").select(
+    lines = table(spark, sf, "events").select(
         "user_id", "event_id", F.expr(_DAY).alias("d"), F.expr(_NAME).alias("name"))
     out = extract_cells.segment_blocks(lines, ["user_id"], ["event_id"], "d", "name", F.floor(F.col("event_id") / 1000))
     return out.select("user_id", "event_id", "d", "block", "block_name")
