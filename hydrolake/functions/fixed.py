@@ -87,10 +87,10 @@ VARIABLES_BULLETIN = {
     "irrigation_capacity_mcm": "irrigation_capacity_mcm",
 }
 
-# --- fixed values: table layouts chosen by column count (min, max, column, variable)
+# --- fixed values: table layouts chosen by column count (min, max or open, column, variable)
 LAYOUT_BY_WIDTH = (
-    (17, 99, 1, "inflow_day_mcm"), (17, 99, 8, "outflow_day_mcm"),
-    (17, 99, 13, "storage_pct"), (17, 99, 14, "storage_p1_mcm"),
+    (17, None, 1, "inflow_day_mcm"), (17, None, 8, "outflow_day_mcm"),
+    (17, None, 13, "storage_pct"), (17, None, 14, "storage_p1_mcm"),
     (12, 16, 1, "inflow_day_mcm"), (12, 16, 8, "outflow_day_mcm"),
     (12, 16, 13, "storage_p1_mcm"),
 )

@@ -128,18 +128,21 @@ def header_columns(header: Column, as_of: Column) -> Column:
         F.array(*[F.lit(n) for n in HEADER_LABELS]), F.array(*[best(d, n) for n in HEADER_LABELS])))
 
 
-def map_header(cells: DataFrame, doc: list[str], as_of: Column) -> DataFrame:
+def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int | None = None) -> DataFrame:
     """Bulletin cells ``(doc, table_no, row_no, col_no, text)`` to one row per station.
 
-    The header is the first of 40 rows that names both station and reservoir; it
-    is read once per table. Everything happens inside one document, after a
+    The header is the first row that names both station and reservoir (of the
+    first ``header_rows``, for sources whose later rows may do so too); it is read
+    once per table. Everything happens inside one document, after a
     single shuffle by document.
     """
     table = [*doc, "table_no"]
     rows = (cells.repartition(*doc).groupBy(*table, "row_no")
             .agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("cells")))
     rows = rows.withColumn("__text", F.lower(F.array_join("cells.text", " | ")))
-    names_both = (F.col("row_no") < 40) & F.col("__text").contains("station") & F.col("__text").contains("reservoir")
+    names_both = F.col("__text").contains("station") & F.col("__text").contains("reservoir")
+    if header_rows is not None:
+        names_both = (F.col("row_no") < header_rows) & names_both
     header = F.struct("row_no", header_columns(F.col("cells"), as_of).alias("columns"))
     rows = rows.withColumn("__h", F.when(names_both, header))
     first = F.min_by("__h", F.when(names_both, F.col("row_no"))).over(Window.partitionBy(*table))
@@ -164,12 +167,12 @@ def layout_by_width(cells: DataFrame, table: list[str],
                     layouts: tuple = fixed.LAYOUT_BY_WIDTH) -> DataFrame:
     """Name the columns of a table by how many columns it has.
 
-    ``layouts``: ``(min_width, max_width, col_no, variable)``; the few entries
+    ``layouts``: ``(min_width, max_width or None, col_no, variable)``; the few entries
     are unnested per table and meet the cells in an equi-join.
     """
     widths = cells.where("row_no = 0").groupBy(*table).agg((F.max("col_no") + 1).alias("width"))
-    entries = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), F.lit(c).alias("col_no"),
+    entries = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).cast("int").alias("hi"), F.lit(c).alias("col_no"),
                                  F.lit(v).alias("variable")) for lo, hi, c, v in layouts])
-    fitting = F.filter(entries, lambda e: F.col("width").between(e["lo"], e["hi"]))
+    fitting = F.filter(entries, lambda e: (F.col("width") >= e["lo"]) & (e["hi"].isNull() | (F.col("width") <= e["hi"])))
     columns = widths.select(*table, "width", F.inline(fitting)).drop("lo", "hi")
     return cells.join(columns, [*table, "col_no"])

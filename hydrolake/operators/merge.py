@@ -122,22 +122,36 @@ def revisions(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*keys, kind.alias("kind")).where("kind is not null")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def touched_partitions(archive: DataFrame, new: DataFrame, partition: str) -> DataFrame:
+    """The archive's rows in partitions of the batch; a null partition counts as one."""
+    low, high, nulls = new.agg(F.min(partition), F.max(partition), F.max(F.col(partition).isNull())).first()
+    p, kind = F.col(partition), new.schema[partition].dataType
+    inside = p.between(F.lit(low).cast(kind), F.lit(high).cast(kind)) if low is not None else F.lit(False)
+    days = new.select(F.col(partition).alias("__p")).distinct()
+    return archive.where(inside | p.isNull() if nulls else inside).join(days, p.eqNullSafe(F.col("__p")), "left_semi")
+
+
 def merge_into_path(spark: SparkSession, path: str, new: DataFrame, keys: list[str],
                     partition: str, volatile: list[str] | None = None) -> None:
     """M1 on storage: rewrite only the partitions the batch touches.
 
-    The semi join on the batch's partition values prunes the archive scan, and
-    the dynamic overwrite leaves other partitions alone. The batch is collapsed
+    The batch's smallest and largest partition value bound the archive scan as a
+    literal range, the semi join keeps only the touched partitions of it, and the
+    dynamic overwrite leaves the others alone. The partition must be part of the
+    key: a key that moved would leave its old row behind. The batch is collapsed
     to unique keys by the caller.
     """
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = target.getFileSystem(hconf).exists(target)
-    if not exists:
+    if partition not in keys:
+        raise ValueError(f"{partition} must be one of the keys {keys}")
+    if not path_exists(spark, path):
         rows = new
     else:
-        archive = spark.read.schema(new.schema).parquet(path)
-        touched = archive.join(new.select(partition).distinct(), partition, "left_semi")
+        touched = touched_partitions(spark.read.schema(new.schema).parquet(path), new, partition)
         rows = upsert(touched.select(*new.columns), new, keys, volatile).rows.drop("merge_action")
     (rows.hint("rebalance", F.col(partition)).sortWithinPartitions(*keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

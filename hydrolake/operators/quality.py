@@ -140,8 +140,8 @@ def audit_registry(registry: DataFrame, files: DataFrame) -> tuple[DataFrame, Da
 
 
 def freshness(registry: DataFrame, runs: DataFrame, observations: DataFrame, now: Column,
-              held: DataFrame | None = None, excused: dict[str, str] | None = None) -> DataFrame:
-    """Q6: state of every registered source.
+              held: DataFrame | None = None, excused: dict[str, str] | None = None, n: int = 10) -> DataFrame:
+    """Q6: state of every registered source, with its last ``n`` runs.
 
     ``runs``: ``source_id, run_ts, run_file, status``; ``observations``:
     ``source_id, latest_observation`` (ISO text); ``held``: ``source_id`` of
@@ -149,7 +149,7 @@ def freshness(registry: DataFrame, runs: DataFrame, observations: DataFrame, now
     A source is stale only if its newest observation is older than
     ``3 * cadence + schedule gap``; cadence defaults to 24 h, the gap to the cadence.
     """
-    latest = recent_runs(runs, ["source_id"], ["run_file"], "status")
+    latest = recent_runs(runs, ["source_id"], ["run_file"], "status", n)
     newest_ts = runs.groupBy("source_id").agg(F.max_by("run_ts", "run_file").alias("latest_run_ts"))
     df = (registry.join(latest, "source_id", "left").join(newest_ts, "source_id", "left")
           .join(observations, "source_id", "left"))

@@ -178,7 +178,7 @@ def newest_observation(df: DataFrame, source: str, columns: list[str] | None = N
     """
     columns = columns if columns is not None else date_columns(df.columns)
     days = [cell_date(F.col(c)) for c in columns]
-    best = F.greatest(*days) if len(days) > 1 else days[0]
+    best = F.greatest(*days) if len(days) > 1 else days[0] if days else F.lit(None).cast("string")
     newest = F.max(best)
     if file_name:
         newest = F.coalesce(newest, F.max(cell_date(F.col(file_name))))

@@ -8,7 +8,7 @@ from hydrolake import sources
 from hydrolake.plans.quality_queries import registry
 from hydrolake.plans.registry import query, table, text
 from hydrolake.session import scratch_path
-from hydrolake.sources.files import lookup_rows, payload_rows, registry_rows, run_log_fields
+from hydrolake.sources.files import payload_rows, run_log_fields
 
 
 @query("""SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS snapshot_date FROM events""")
@@ -41,17 +41,17 @@ def payload_shapes(spark, sf):
     return rows.groupBy("event_id", "k").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, count(*) AS n FROM events GROUP BY ALL""")
+@query("""SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY ALL""")
 def read_payloads(spark, sf):
     path = scratch_path(spark, "payloads")
-    records = table(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 500).alias("f"), "event_type").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(F.replace("props", F.lit("}"), F.lit(', "pad": null}'))), ",\n"), F.lit("]")).alias("value"))
-    (records.repartition(4).select("value", "event_type").write.partitionBy("event_type").option("compression", "gzip")
-     .option("lineSep", "\n\n").text(path))
-    # text files keep one list per blank-line separated block
-    files = spark.read.option("lineSep", "\n\n").text(path)
-    rows = files.select("event_type", F.inline(payload_rows("value", "k bigint")))
-    return rows.groupBy("k", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    # a gzip file per day and event type, its lines one JSON list
+    records = table(spark, sf, "events").select(
+        text(F.to_date("ts")).alias("day"), "event_type", "event_id", F.replace("props", F.lit("}"), F.lit(', "pad": [null]}')).alias("p"))
+    lists = records.groupBy("day", "event_type").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("p"), ",\n"), F.lit("]")).alias("value"))
+    lists.repartition("day", "event_type").write.partitionBy("day", "event_type").option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    rows = sources.read_payloads(spark, path, "k bigint", ["day"])
+    return rows.where("file_name like '%.gz'").groupBy("k", text("day").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 _LOG = """CASE event_id % 5 WHEN 0 THEN concat('{"run_time": "', d, '", "status": "success", "row_count": ', event_id, '}')
@@ -69,21 +69,22 @@ def read_run_logs(spark, sf):
                       F.col("rows").cast("double").alias("rows"), "error")
 
 
-@query("SELECT page_id, md5(html) AS digest, length(html) AS n FROM pages")
+@query("SELECT page_id, md5(html) AS digest, length(html) AS n, true AS dated FROM pages")
 def read_pages(spark, sf):
     path = scratch_path(spark, "pages")
-    pages = table(spark, sf, "pages").select(F.concat(F.lit("page="), text("page_id"), F.lit(";"), F.col("html")).alias("value"), F.pmod("page_id", F.lit(16)).alias("shard"))
-    pages.write.partitionBy("shard").option("lineSep", "\x1e").text(path)
-    raw = spark.read.option("lineSep", "\x1e").text(path)
-    page = F.regexp_extract("value", r"(?s)^page=(\d+);(.*)$", 2)
-    return raw.select(F.regexp_extract("value", r"^page=(\d+);", 1).cast("bigint").alias("page_id"),
-                      F.md5(page).alias("digest"), F.length(page).cast("bigint").alias("n"))
+    pages = table(spark, sf, "pages").select(text("page_id").alias("page"), F.col("html").alias("value"))
+    # a file per page, as a crawler lands them
+    pages.repartition(8, "page").write.option("maxRecordsPerFile", 1).partitionBy("page").text(path)
+    raw = sources.read_pages(spark, f"{path}/*")
+    html = F.regexp_replace("html", r"\n\z", "")  # the text writer ends a file with a line feed
+    return raw.select(F.regexp_extract("url", r"/page=(\d+)/", 1).cast("bigint").alias("page_id"), F.md5(html).alias("digest"),
+                      F.length(html).cast("bigint").alias("n"), F.col("fetched_at").isNotNull().alias("dated"))
 
 
 @query("SELECT concat('doc_', doc_id, '.txt') AS file, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, sha256(text) AS sha256 FROM documents")
 def inventory(spark, sf):
     landed = table(spark, sf, "documents").select(
-        F.concat(F.lit("s3://bronze/"), "lang", F.lit("/doc_"), text("doc_id"), F.lit(".txt")).alias("path"),
+        F.concat(F.lit("bronze/"), "lang", F.lit("/doc_"), text("doc_id"), F.lit(".txt")).alias("path"),
         F.col("text").cast("binary").alias("content"), F.current_timestamp().alias("modificationTime"))
     return sources.inventory(landed).drop("retrieved_at")
 
@@ -91,27 +92,33 @@ def inventory(spark, sf):
 @query("""SELECT concat('src', CASE WHEN s_suppkey % 25 = 24 THEN s_suppkey - 1 ELSE s_suppkey END) AS source_id, CAST(s_suppkey % 3 * 24 AS DOUBLE) AS cadence,
  CASE WHEN s_suppkey % 9 = 8 THEN '' ELSE '0 6 * * *' END AS cron, CASE WHEN s_suppkey % 7 = 6 THEN NULL ELSE 'g' END AS licence_gate FROM supplier""")
 def read_registry(spark, sf):
+    path = scratch_path(spark, "registry")
     rows = registry(spark, sf)
-    # a registry file per nation, each a JSON document with a sources array
-    files = (rows.withColumn("f", F.pmod(F.hash("source_id"), F.lit(4))).groupBy("f")
+    # registry files of some fifty sources, each a JSON document with a sources array
+    files = (rows.withColumn("f", F.floor(F.regexp_extract("source_id", r"(\d+)", 1).cast("long") / 50)).groupBy("f")
              .agg(F.to_json(F.struct(F.collect_list(F.struct(*rows.columns)).alias("sources"))).alias("value")))
-    return registry_rows(files, "value").select(
+    files.repartition("f").write.partitionBy("f").option("maxRecordsPerFile", 1).text(path)
+    return sources.read_registry(spark, f"{path}/*").select(
         "source_id", F.col("publication_cadence_hours").alias("cadence"), F.array_join("cron", "|").alias("cron"), "licence_gate")
 
 
-@query("""SELECT CAST(o_custkey AS VARCHAR) AS reservoir_id, year(o_orderdate) AS year, count(*) AS n FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F' GROUP BY ALL""")
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS reservoir_id, year(o_orderdate) AS year, count(*) AS n FROM orders
+ WHERE CAST(o_orderdate AS DATE) <> DATE '1997-03-05' OR o_orderstatus = 'F' GROUP BY ALL""")
 def write_long(spark, sf):
     path = scratch_path(spark, "long")
     long = table(spark, sf, "orders").select(text("o_custkey").alias("reservoir_id"), F.to_date("o_orderdate").alias("date"), "o_orderstatus")
     sources.write_long(long, path)
-    sources.write_long(long.where("year(date) = 1997 AND o_orderstatus = 'F'"), path)
+    # a second run brings one day again, and the rest of its year stays
+    sources.write_long(long.where("date = DATE '1997-03-05' AND o_orderstatus = 'F'"), path)
     back = spark.read.parquet(path)
     return back.groupBy("reservoir_id", F.col("year").cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation WHERE n_nationkey % 6 > 2")
 def read_lookup(spark, sf):
+    path = scratch_path(spark, "lookup")
     nation = table(spark, sf, "nation").select(F.expr(
         "CASE n_nationkey % 6 WHEN 0 THEN '' WHEN 1 THEN ' -- ' WHEN 2 THEN NULL ELSE concat(' ', n_nationkey, ' ') END").alias("id"),
         F.concat(F.lit(" "), "n_name").alias("name"))
-    return lookup_rows(nation, "id")
+    nation.write.option("header", True).csv(path)
+    return sources.read_lookup(spark, path, "id")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from hydrolake.functions import fixed
 from hydrolake.functions._base import col, extract, let
 from hydrolake.functions.dates import cell_date
+from hydrolake.operators.merge import path_exists, touched_partitions
 
 REGISTRY_SCHEMA = T.StructType(
     [T.StructField(n, T.ArrayType(T.StringType()) if n == "cron" else
@@ -19,19 +20,37 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | str |
                    recursive: bool = False) -> DataFrame:
     """Dated CSV snapshots as text columns plus ``snapshot_date`` from the file name.
 
-    Without a schema every column stays text, and files may differ in their
-    columns only if they share the header of the first.
+    With a schema columns are matched by place and headers are checked against it.
+    Without one every column stays text, and files may differ in their columns:
+    each distinct header is read on its own and columns meet by name.
     """
     reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
               .option("recursiveFileLookup", recursive))
-    df = (reader.schema(schema) if schema else reader).csv(path)
-    parts = F.split(F.col("_metadata.file_path"), "/")
+    if schema:
+        df = reader.schema(schema).option("enforceSchema", False).csv(path)
+    else:
+        df = _by_header(reader, spark, path, recursive)
+    parts = F.split(F.col("_metadata.file_path" if schema else "__path"), "/")
     # files written by Spark have no dates of their own, their folders do
     name = F.when(F.element_at(parts, -1).startswith("part-"), F.element_at(parts, -2)) \
         .otherwise(F.element_at(parts, -1))
     month = F.concat(extract(name, r"(20\d{2}-\d{2})\D*$"), F.lit("-01"))
     day = F.coalesce(cell_date(name), month)
-    return df.select("*", F.try_to_date(day).alias("snapshot_date"))
+    rest = [c for c in df.columns if c != "__path"]
+    return df.select(*[F.col(f"`{c}`") for c in rest], F.try_to_date(day).alias("snapshot_date"))
+
+
+def _by_header(reader, spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+    """All files, one read per distinct header line; few headers, however many files."""
+    first = (spark.read.option("recursiveFileLookup", recursive).text(path)
+             .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), "value")
+             .where("b = 0").groupBy("f").agg(F.first("value").alias("h")))
+    groups = first.groupBy("h").agg(F.sort_array(F.collect_list("f")).alias("f")).orderBy("h").collect()
+    done = None
+    for g in groups:
+        df = reader.csv(g["f"]).select("*", F.col("_metadata.file_path").alias("__path"))
+        done = df if done is None else done.unionByName(df, allowMissingColumns=True)
+    return reader.csv(path).select("*", F.col("_metadata.file_path").alias("__path")) if done is None else done
 
 
 def write_snapshots(df: DataFrame, path: str, date_col: str = "date",
@@ -49,21 +68,24 @@ def write_snapshots(df: DataFrame, path: str, date_col: str = "date",
 def payload_rows(text: Column | str, element: T.StructType | str) -> Column:
     """Array of typed records from a list, an object wrapping one list, or one object."""
     text = F.trim(col(text))
-    ddl = element if isinstance(element, str) else element.simpleString()
-    inner = ddl if ddl.lower().startswith("struct<") else f"struct<{ddl.replace(' ', ':')}>"
+    kind = T.StructType.fromDDL(element) if isinstance(element, str) else element
+    inner = kind.simpleString()
     array_type = f"array<{inner}>"
     as_list = F.when(text.startswith("["), F.from_json(text, array_type))
-    values = F.map_values(F.when(text.startswith("{"), F.from_json(text, "map<string,string>")))
-    wrapped = F.get(F.filter(values, lambda v: v.startswith("[")), F.lit(0))
+    fields = F.when(text.startswith("{"), F.from_json(text, "map<string,string>"))
+    # an object with a field of the record is a record, whatever lists it holds
+    own = F.arrays_overlap(F.map_keys(fields), F.array(*[F.lit(n) for n in kind.names]))
+    wrapped = F.when(~own, F.get(F.filter(F.map_values(fields), lambda v: v.startswith("[")), F.lit(0)))
     as_wrapped = F.from_json(wrapped, array_type)
     as_object = F.when(text.startswith("{"), F.array(F.from_json(text, inner)))
     return F.coalesce(as_list, as_wrapped, as_object)
 
 
-def read_payloads(spark: SparkSession, path: str, element: T.StructType | str) -> DataFrame:
-    """S3: raw JSON files (plain or gzip) to typed rows with the file they came from."""
-    files = spark.read.option("wholetext", True).text(path)
-    return (files.select(F.col("_metadata.file_name").alias("file_name"),
+def read_payloads(spark: SparkSession, path: str, element: T.StructType | str, partition: list[str] | None = None) -> DataFrame:
+    """S3: raw JSON files (plain or gzip) to typed rows with the file they came from
+    and the ``partition`` columns of its folder."""
+    files = spark.read.text(path, wholetext=True)
+    return (files.select(*(partition or []), F.col("_metadata.file_name").alias("file_name"),
                          F.inline(payload_rows("value", element))))
 
 
@@ -110,7 +132,7 @@ def read_run_logs(spark: SparkSession, glob: str) -> DataFrame:
     Read as text, because the logs do not share a schema; a log that is no JSON
     counts as ``unreadable``. A missing source name is taken from the folder.
     """
-    files = spark.read.option("wholetext", True).text(glob)
+    files = spark.read.text(glob, wholetext=True)
     logs = files.select(F.col("_metadata.file_path").alias("__p"), F.inline(F.array(run_log_fields("value"))))
     folder = extract("__p", r"([^/]+/[^/]+)/run_logs/[^/]+$")
     return logs.select(F.coalesce("source", folder).alias("source"), "run_ts", "status", "rows", "error",
@@ -119,7 +141,7 @@ def read_run_logs(spark: SparkSession, glob: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Raw HTML or text files as ``url`` (file path), ``fetched_at``, ``html``."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("url"),
         F.col("_metadata.file_modification_time").alias("fetched_at"), F.col("value").alias("html"))
 
@@ -140,13 +162,22 @@ def registry_rows(df: DataFrame, text: str) -> DataFrame:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The source registry, one row per source."""
-    return registry_rows(spark.read.option("wholetext", True).text(path), "value")
+    return registry_rows(spark.read.text(path, wholetext=True), "value")
 
 
 def write_long(df: DataFrame, path: str, date_col: str = "date") -> None:
-    """Long observations split by year; only years in the batch are replaced."""
-    (df.withColumn("year", F.year(date_col)).hint("rebalance", F.col("year"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Long observations split by year; only dates in the batch are replaced.
+
+    The other dates of a year stay: a daily run brings one day, not its year. Only
+    the years that the batch touches are read and rewritten.
+    """
+    spark, new = df.sparkSession, df.withColumn("year", F.year(date_col))
+    if path_exists(spark, path):
+        held = touched_partitions(spark.read.schema(new.schema).parquet(path), new, "year")
+        brought = new.select(F.col(date_col).alias("__d")).distinct()
+        kept = held.join(brought, F.col(date_col).eqNullSafe(F.col("__d")), "left_anti")
+        new = kept.select(new.columns).unionByName(new)
+    (new.hint("rebalance", F.col("year")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year").parquet(path))
 
 

@@ -62,8 +62,10 @@ def upsert_stream(df: DataFrame, target: str, keys: list[str], partition: str, o
     def write(batch: DataFrame, _: int) -> None:
         # the merge reads the batch twice: for its partitions and for its rows
         latest = collapse(batch, keys, order).persist()
-        merge_into_path(batch.sparkSession, target, latest, keys, partition, volatile)
-        latest.unpersist()
+        try:
+            merge_into_path(batch.sparkSession, target, latest, keys, partition, volatile)
+        finally:
+            latest.unpersist()
 
     return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -72,23 +74,28 @@ def upsert_stream(df: DataFrame, target: str, keys: list[str], partition: str, o
 def freshness_stream(df: DataFrame, registry: DataFrame, now: Column, runs_of: Callable[[DataFrame], DataFrame],
                      observations_of: Callable[[DataFrame], DataFrame],
                      publish: Callable[[DataFrame, int], None], seen: str,
-                     checkpoint: str) -> StreamingQuery:
+                     checkpoint: str, n: int = 10) -> StreamingQuery:
     """T5: recompute the freshness report after every micro-batch.
 
-    A batch is first reduced to what the report needs, the newest runs and the
-    newest observation of each source, and that goes to ``seen``, one folder per
-    batch so that a replay overwrites its own rows. The report reads only those.
+    ``seen`` holds what the report needs, the newest ``n`` runs and the newest
+    observation of each source. A batch is reduced to that, merged with what the
+    batch before left, and written under its own number, so its size is bounded by
+    the sources, and a replay reads the same predecessor and overwrites its own
+    rows. The report reads only the last folder.
     """
     def report(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        runs, days = runs_of(batch), observations_of(batch)
+        if number:
+            runs = runs.unionByName(spark.read.schema(runs.schema).parquet(f"{seen}/runs-{number - 1}"))
+            days = days.unionByName(spark.read.schema(days.schema).parquet(f"{seen}/days-{number - 1}"))
         newest = Window.partitionBy("source_id").orderBy(F.col("run_file").desc())
-        runs = runs_of(batch).withColumn("__rn", F.row_number().over(newest)).where("__rn <= 10").drop("__rn")
-        runs.write.mode("overwrite").parquet(f"{seen}/runs/batch={number}")
-        observations_of(batch).write.mode("overwrite").parquet(f"{seen}/observations/batch={number}")
-        all_runs = spark.read.parquet(f"{seen}/runs").drop("batch")
-        all_days = (spark.read.parquet(f"{seen}/observations").groupBy("source_id")
-                    .agg(F.max("latest_observation").alias("latest_observation")))
-        publish(freshness(registry, all_runs, all_days, now), number)
+        runs = runs.withColumn("__rn", F.row_number().over(newest)).where(F.col("__rn") <= n).drop("__rn")
+        days = days.groupBy("source_id").agg(F.max("latest_observation").alias("latest_observation"))
+        runs.write.mode("overwrite").parquet(f"{seen}/runs-{number}")
+        days.write.mode("overwrite").parquet(f"{seen}/days-{number}")
+        all_runs, all_days = (spark.read.parquet(f"{seen}/{kind}-{number}") for kind in ("runs", "days"))
+        publish(freshness(registry, all_runs, all_days, now, n=n), number)
 
     return (df.writeStream.foreachBatch(report).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

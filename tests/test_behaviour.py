@@ -243,10 +243,96 @@ def test_learned_centres_find_separated_columns(spark):
     words = spark.createDataFrame(rows, "page string, x double")
     centres = [r.centre for r in extract_words.learn_centres(words, "page", "x").orderBy("col_index").collect()]
     assert centres == pytest.approx([100.0 * c for c in range(7)], abs=1e-6)
-    assert extract_words.learn_centres(words.where("page = 'p0'"), "page", "x", min_points=80) is None
+    assert extract_words.learn_centres(words, "page", "x", min_words=50).collect() == []
+    bad = spark.createDataFrame([(f"p{p}", float(p)) for p in range(60)] + [("bad", 900.0)] * 60, "page string, x double")
+    spoiled = bad.union(words)
+    learned = extract_words.learn_centres(spoiled, "page", "x", excluded=bad.select("page").where("page = 'bad'"))
+    assert learned.agg(F.max("centre")).first()[0] < 700
 
 
 def test_melt_keeps_units_and_reports_unmapped(spark):
     wide = local_table(spark, [("r", 1.0, None)], "reservoir_id string, `level (water level, m)` double, `x (TMC)` double")
     long = reshape.to_long(wide, ["reservoir_id"])
     assert [(r.variable_gloss, r.unit, r.value) for r in long.collect()] == [("water level", "m", 1.0)]
+
+
+def _batch(spark, rows):
+    return spark.createDataFrame(rows, "id string, date string, value double").selectExpr("id", "to_date(date) AS date", "value")
+
+
+def test_archive_scan_is_bounded_by_the_batch(spark, tmp_path):
+    from hydrolake.operators.merge import merge_into_path, touched_partitions
+
+    path = f"{tmp_path}/archive"
+    merge_into_path(spark, path, _batch(spark, [("a", f"2026-01-{d:02d}", 1.0) for d in range(1, 20)]), ["id", "date"], "date")
+    new = _batch(spark, [("a", "2026-01-05", 2.0), ("b", "2026-01-07", 3.0)])
+    merge_into_path(spark, path, new, ["id", "date"], "date")
+    back = {(r.id, str(r.date)): r.value for r in spark.read.parquet(path).collect()}
+    assert len(back) == 20 and back["a", "2026-01-05"] == 2.0 and back["b", "2026-01-07"] == 3.0
+    archive = spark.read.schema(new.schema).parquet(path)
+    plan = touched_partitions(archive, new, "date")._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert ">= 2026-01-05" in filters and "<= 2026-01-07" in filters
+    with pytest.raises(ValueError):
+        merge_into_path(spark, path, new, ["id"], "date")
+
+
+def test_long_sink_keeps_the_rest_of_the_year(spark, tmp_path):
+    from hydrolake import sources
+
+    path = f"{tmp_path}/long"
+    sources.write_long(_batch(spark, [("a", "2026-01-01", 1.0), ("a", "2025-05-05", 9.0)]), path)
+    sources.write_long(_batch(spark, [("a", "2026-01-02", 2.0)]), path)
+    sources.write_long(_batch(spark, [("b", "2026-01-02", 3.0)]), path)
+    got = {(r.id, str(r.date), r.value) for r in spark.read.parquet(path).collect()}
+    assert got == {("a", "2026-01-01", 1.0), ("b", "2026-01-02", 3.0), ("a", "2025-05-05", 9.0)}
+
+
+def test_payload_objects_with_lists_of_their_own(spark):
+    from hydrolake.sources.files import payload_rows
+
+    def rows(text, element):
+        df = spark.createDataFrame([(text,)], "t string")
+        return [r.asDict(True) for r in df.select(F.inline(payload_rows("t", element))).collect()]
+
+    assert rows('{"id":1,"tags":[{"a":1}]}', "id int") == [{"id": 1}]
+    assert rows('{"rows":[{"id":1},{"id":2}]}', "id int") == [{"id": 1}, {"id": 2}]
+    assert rows('[{"d":1.25,"s":{"x":"y"}}]', "d decimal(10, 2), s struct<x: string>")[0]["s"] == {"x": "y"}
+
+
+def test_snapshots_with_different_headers_meet_by_name(spark, tmp_path):
+    from hydrolake import sources
+
+    (tmp_path / "a_2026-01-01.csv").write_text("id,a,b\n1,A,B\n")
+    (tmp_path / "b_2026-01-02.csv").write_text("id,b,a,c\n2,B,A,C\n")
+    rows = {r.id: r for r in sources.read_snapshots(spark, str(tmp_path)).collect()}
+    assert (rows["1"].a, rows["1"].b, rows["1"].c) == ("A", "B", None)
+    assert (rows["2"].a, rows["2"].b, rows["2"].c, str(rows["2"].snapshot_date)) == ("A", "B", "C", "2026-01-02")
+
+
+def test_newest_observation_without_date_columns(spark):
+    df = spark.createDataFrame([("s", "x_2026-03-04.csv"), ("t", "none.csv")], "source string, f string")
+    got = dict(select.newest_observation(df, "source", file_name="f").collect())
+    assert got == {"s": "2026-03-04", "t": None}
+    assert dict(select.newest_observation(df, "source", []).collect()) == {"s": None, "t": None}
+
+
+def test_whole_files_are_one_row(spark, tmp_path):
+    from hydrolake import sources
+
+    (tmp_path / "page.html").write_text("<p>\none\ntwo</p>\n")
+    rows = sources.read_pages(spark, str(tmp_path)).collect()
+    assert [r.html for r in rows] == ["<p>\none\ntwo</p>\n"] and rows[0].fetched_at is not None
+
+
+def test_header_in_any_row_and_tables_of_any_width(spark):
+    from hydrolake.operators import extract_cells
+
+    rows = [(1, 0, r, 0, "x") for r in range(60)]
+    rows += [(1, 0, 60, c, t) for c, t in enumerate(["Station", "Reservoir", "% full"])] + [(1, 0, 61, c, t) for c, t in enumerate(["A2R001", "n", "5"])]
+    cells = spark.createDataFrame(rows, "doc int, table_no int, row_no int, col_no int, text string")
+    as_of = F.lit("2026-06-29").cast("date")
+    assert [r.reservoir for r in extract_cells.map_header(cells, ["doc"], as_of).collect()] == ["n"]
+    assert extract_cells.map_header(cells, ["doc"], as_of, header_rows=40).collect() == []
+    wide = spark.createDataFrame([(1, 0, c, str(c)) for c in range(120)], "doc int, row_no int, col_no int, text string")
+    assert {r.variable for r in extract_cells.layout_by_width(wide, ["doc"]).collect()} == {"inflow_day_mcm", "outflow_day_mcm", "storage_pct", "storage_p1_mcm"}
