@@ -94,6 +94,11 @@ LAYOUT_BY_WIDTH = (
     (12, 16, 1, "inflow_day_mcm"), (12, 16, 8, "outflow_day_mcm"),
     (12, 16, 13, "storage_p1_mcm"),
 )
+LAYOUT_SITUATION = (
+    (26, None, 18, "water_level_m"), (26, None, 19, "storage_mcm"), (26, None, 20, "storage_useful_mcm"),
+    (26, None, 21, "withdrawal_day_mcm"), (26, None, 24, "precipitation_mm"), (26, None, 25, "salinity_gl"),
+)
+LAYOUTS = {"flows": LAYOUT_BY_WIDTH, "situation": LAYOUT_SITUATION}
 
 # --- fixed values: which day a bulletin's variable belongs to (days back)
 DAYS_BACK_BY_VARIABLE = {"inflow_day_mcm": 1, "outflow_day_mcm": 1,

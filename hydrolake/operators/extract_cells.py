@@ -12,7 +12,7 @@ from hydrolake.functions import fixed
 from hydrolake.functions._base import let
 from hydrolake.functions.dates import resolve_year
 from hydrolake.functions.text import clean_text
-from hydrolake.operators.ordered import lag_over_slices, running_sum_over_slices
+from hydrolake.operators.ordered import descents_over_slices
 
 
 def carry_rowspan(rows: DataFrame, doc: list[str], row: str, cells: str, anchor: Column,
@@ -60,7 +60,9 @@ def carry_rowspan(rows: DataFrame, doc: list[str], row: str, cells: str, anchor:
                     field(1, 0).alias("observation_time"), field(2, 1).alias("water_level"),
                     field(4, None).alias("level_change"),
                     F.get("__parent", F.lit(5)).alias("normal_high_level"),
-                    field(7, 3).alias("rule_curve"), field(11, 7).alias("inflow"),
+                    field(6, 2).alias("normal_level_deviation"), field(7, 3).alias("rule_curve"),
+                    field(8, 4).alias("rule_curve_deviation"), field(9, 5).alias("gates_open"),
+                    field(10, 6).alias("gate_opening_m"), field(11, 7).alias("inflow"),
                     field(12, 8).alias("outflow")))
 
 
@@ -68,20 +70,18 @@ def segment_blocks(df: DataFrame, keys: list[str], order: list[str], date: str,
                    slice_by: Column) -> DataFrame:
     """A date that does not increase opens the next reservoir's block.
 
-    Input rows are lines that carry a date with numbers, or only a name. A name
+    Input rows are lines that carry a date with numbers, or only a name; lines with
+    neither count for nothing. A name
     belongs to the block open at that line; the last one in the block wins, and
     blocks without a name are dropped.
     """
-    dated = df.where(F.col(date).isNotNull())
-    dated = lag_over_slices(dated, keys, order, date, "__before", slice_by)
-    opens = F.when(F.col(date) <= F.col("__before"), 1).otherwise(0)
-    lines = dated.withColumn("__opens", opens).drop("__before").unionByName(
-        df.where(F.col(date).isNull()).withColumn("__opens", F.lit(0)))
-    blocks = running_sum_over_slices(lines, keys, order, F.col("__opens"), "block", slice_by)
-    names = (blocks.where(F.col(name).isNotNull()).groupBy(*keys, "block")
+    blocks = descents_over_slices(df, keys, order, date, "block", slice_by)
+    named = [F.col(k).alias(f"__n{i}") for i, k in enumerate([*keys, "block"])]
+    names = (blocks.where(F.col(name).isNotNull()).groupBy(*named)
              .agg(F.max_by(name, F.struct(*order)).alias("block_name")))
-    return (blocks.where(F.col(date).isNotNull()).drop("__opens")
-            .join(names, [*keys, "block"]))
+    same = [F.col(k).eqNullSafe(F.col(f"__n{i}")) for i, k in enumerate([*keys, "block"])]
+    return (blocks.where(F.col(date).isNotNull()).join(names, same)
+            .drop(*[f"__n{i}" for i in range(len(same))]))
 
 
 # fixed values: header words (label, condition on the folded header text)
@@ -163,16 +163,37 @@ def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int
     return wide.groupBy(*doc, "station_id").agg(first).select(*doc, "station_id", "__r.*")
 
 
-def layout_by_width(cells: DataFrame, table: list[str],
-                    layouts: tuple = fixed.LAYOUT_BY_WIDTH) -> DataFrame:
-    """Name the columns of a table by how many columns it has.
+def layout_by_width(cells: DataFrame, table: list[str], kind: str | None = None,
+                    layouts: dict[str, tuple] = fixed.LAYOUTS) -> DataFrame:
+    """Name the columns of a table by its kind and how many columns it has.
 
-    ``layouts``: ``(min_width, max_width or None, col_no, variable)``; the few entries
-    are unnested per table and meet the cells in an equi-join.
+    ``kind`` is the column that says which of ``layouts`` a table may use (flow
+    bulletin or situation page); without it every table is a flow bulletin.
+    ``layouts``: kind to ``(min_width, max_width or None, col_no, variable)``; the
+    few entries are unnested per table and meet the cells in an equi-join.
     """
-    widths = cells.where("row_no = 0").groupBy(*table).agg((F.max("col_no") + 1).alias("width"))
-    entries = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).cast("int").alias("hi"), F.lit(c).alias("col_no"),
-                                 F.lit(v).alias("variable")) for lo, hi, c, v in layouts])
-    fitting = F.filter(entries, lambda e: (F.col("width") >= e["lo"]) & (e["hi"].isNull() | (F.col("width") <= e["hi"])))
-    columns = widths.select(*table, "width", F.inline(fitting)).drop("lo", "hi")
+    of = F.max(kind).alias("__kind") if kind else F.lit(next(iter(layouts))).alias("__kind")
+    widths = cells.where("row_no = 0").groupBy(*table).agg((F.max("col_no") + 1).alias("width"), of)
+    entries = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(lo).alias("lo"), F.lit(hi).cast("int").alias("hi"), F.lit(c).alias("col_no"),
+                                 F.lit(v).alias("variable")) for k, entry in layouts.items() for lo, hi, c, v in entry])
+    fitting = F.filter(entries, lambda e: (F.col("__kind") == e["kind"]) & (F.col("width") >= e["lo"]) & (
+        e["hi"].isNull() | (F.col("width") <= e["hi"])))
+    columns = widths.select(*table, "width", F.inline(fitting)).drop("kind", "lo", "hi")
     return cells.join(columns, [*table, "col_no"])
+
+
+def name_word_columns(cells: DataFrame, line: list[str], width: int = 13, min_cells: int = 7) -> DataFrame:
+    """Cells of a word-box bulletin (``line, col_index, value, flag``) to named variables.
+
+    ``width`` chooses the layout of 13 or 15 columns; columns that are only
+    derived from others have no variable and are dropped, as are lines with fewer
+    than ``min_cells`` cells and cells without a value.
+    """
+    names = {13: fixed.LAYOUT_13, 15: fixed.LAYOUT_15}[width]
+    variable = F.create_map(*[F.lit(x) for i, n in enumerate(names) if n in fixed.VARIABLES_BULLETIN
+                              for x in (i, fixed.VARIABLES_BULLETIN[n])])
+    inside = F.count(F.when((F.col("col_index") >= 0) & (F.col("col_index") < width), 1)).over(Window.partitionBy(*line))
+    return (cells.withColumn("__n", inside).where(F.col("__n") >= min_cells)
+            .withColumn("variable", F.try_element_at(variable, F.col("col_index").cast("int")))
+            .where("variable is not null and value is not null")
+            .select(*line, "variable", "value", "flag"))

@@ -3,37 +3,34 @@
 A plain window over one series pulls the whole series into one task. Here a
 series is cut into slices (by default calendar days): the window runs inside
 ``(key, slice)`` and only one summary row per slice crosses the slice border.
-Both steps shuffle on ``(key, slice)``, so a key with a third of all rows is
-spread over as many tasks as it has slices.
+Rows carry key and slice as one struct column, which is never null itself and
+in which null fields equal each other, so window and join back share one
+partitioning and rows are shuffled once; summaries are aggregated before theirs.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hydrolake.functions._base import col
 
-_SLICE = "__slice"
+_KS = "__ks"
 
 
 def day_slice(ts: Column | str) -> Column:
     return F.to_date(col(ts))
 
 
-def _windows(keys: list[str], order: list):
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(_SLICE)
-    return inside, across
+def sliced(df: DataFrame, keys: list[str], slice_by: Column) -> DataFrame:
+    """``df`` with the struct of its keys and its slice."""
+    return df.withColumn(_KS, F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], slice_by.alias("slice")))
 
 
-def _join_slices(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Give every row its slice's summary; null keys and null slices match themselves."""
-    on = [*keys, _SLICE]
-    summary = summary.withColumnsRenamed({k: f"__r_{k}" for k in on})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in on])
-    return rows.join(summary, same).drop(*[f"__r_{k}" for k in on])
+def windows(keys: list[str], order: list):
+    """Inside one slice, and over the slices of one key."""
+    inside = Window.partitionBy(_KS).orderBy(*order)
+    across = Window.partitionBy(*[F.col(f"{_KS}.k{i}") for i in range(len(keys))]).orderBy(f"{_KS}.slice")
+    return inside, across
 
 
 def lag_over_slices(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
@@ -42,32 +39,55 @@ def lag_over_slices(df: DataFrame, keys: list[str], order: list[str], value: str
 
     ``slice_by`` must not decrease along the order. ``order`` must be total.
     """
-    inside, across = _windows(keys, order)
-    sliced = df.withColumn(_SLICE, slice_by)
-    tails = (sliced.groupBy(*keys, _SLICE)
-             .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__tail"))
-             .withColumn("__carry", F.lag("__tail").over(across))
-             .drop("__tail"))
-    rows = (sliced.withColumn(out, F.lag(value).over(inside))
+    inside, across = windows(keys, order)
+    df = sliced(df, keys, slice_by)
+    tails = (df.groupBy(_KS).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__tail"))
+             .withColumn("__carry", F.lag("__tail").over(across)).select(_KS, "__carry"))
+    rows = (df.withColumn(out, F.lag(value).over(inside))
             .withColumn("__n", F.row_number().over(inside)))
-    return (_join_slices(rows, tails, keys)
+    return (rows.join(tails, _KS)
             .withColumn(out, F.when(F.col("__n") == 1, F.col("__carry.v")).otherwise(F.col(out)))
-            .drop(_SLICE, "__n", "__carry"))
+            .drop(_KS, "__n", "__carry"))
 
 
 def running_sum_over_slices(df: DataFrame, keys: list[str], order: list[str], value: Column,
                             out: str, slice_by: Column) -> DataFrame:
     """``sum(value)`` from the start of the key up to and including the row."""
-    inside, across = _windows(keys, order)
-    sliced = df.withColumn(_SLICE, slice_by).withColumn("__v", value)
+    inside, across = windows(keys, order)
+    df = sliced(df, keys, slice_by).withColumn("__v", value)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (sliced.groupBy(*keys, _SLICE).agg(F.sum("__v").alias("__sum"))
-               .withColumn("__offset", F.coalesce(F.sum("__sum").over(before), F.lit(0)))
-               .drop("__sum"))
+    offsets = (df.groupBy(_KS).agg(F.sum("__v").alias("__sum"))
+               .withColumn("__offset", F.coalesce(F.sum("__sum").over(before), F.lit(0))).select(_KS, "__offset"))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (_join_slices(sliced.withColumn("__run", F.sum("__v").over(upto)), offsets, keys)
+    return (df.withColumn("__run", F.sum("__v").over(upto)).join(offsets, _KS)
             .withColumn(out, F.col("__run") + F.col("__offset"))
-            .drop(_SLICE, "__v", "__run", "__offset"))
+            .drop(_KS, "__v", "__run", "__offset"))
+
+
+def descents_over_slices(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
+                         slice_by: Column) -> DataFrame:
+    """How many rows up to this one do not exceed the last known value before them.
+
+    Rows without a value count nothing. A slice's summary is its first and last
+    value and its own count; whether its first value is such a row depends on the
+    slices before it.
+    """
+    inside, across = windows(keys, order)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = sliced(df, keys, slice_by)
+    rows = df.withColumn("__last", F.last(value, ignorenulls=True).over(earlier))
+    rows = rows.withColumn("__down", F.when(F.col(value) <= F.col("__last"), 1).otherwise(0))
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    summary = rows.groupBy(_KS).agg(F.min_by(value, known).alias("__first"), F.max_by(value, known).alias("__end"),
+                                    F.sum("__down").alias("__n"))
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("__opens", F.when(F.col("__first") <= F.last("__end", ignorenulls=True).over(before), 1).otherwise(0))
+    summary = summary.withColumn("__offset", F.coalesce(F.sum(F.col("__n") + F.col("__opens")).over(before), F.lit(0)))
+    started = F.coalesce(F.col("__last"), F.col(value)).isNotNull()
+    return (rows.withColumn("__run", F.sum("__down").over(upto)).join(summary.select(_KS, "__offset", "__opens"), _KS)
+            .withColumn(out, F.col("__offset") + F.col("__run") + F.when(started, F.col("__opens")).otherwise(0))
+            .drop(_KS, "__last", "__down", "__run", "__offset", "__opens"))
 
 
 def intervals(df: DataFrame, keys: list[str], ts: str, step_seconds: int,
@@ -103,24 +123,25 @@ def dynamic_threshold(df: DataFrame, keys: list[str], order: list[str], count: s
     Median of the last ``sample`` positive counts, times ``share``, rounded
     half to even, clamped; ``default`` where nothing positive came before.
     """
-    inside, across = _windows(keys, order)
-    sliced = df.withColumn(_SLICE, slice_by).withColumn("__pos", F.col(count) > 0)
-    among_positive = (Window.partitionBy(*keys, _SLICE, "__pos").orderBy(*order)
+    inside, across = windows(keys, order)
+    # one partitioning for both windows and the join back
+    rows = sliced(df, keys, slice_by).withColumn("__pos", F.col(count) > 0).repartition(F.col(_KS))
+    among_positive = (Window.partitionBy(_KS, "__pos").orderBy(*order)
                       .rowsBetween(-(sample - 1), Window.currentRow))
-    rows = sliced.withColumn(
+    rows = rows.withColumn(
         "__own", F.when(F.col("__pos"), F.collect_list(count).over(among_positive)))
     rows = rows.withColumn("__seen", F.last("__own", ignorenulls=True).over(
         inside.rowsBetween(Window.unboundedPreceding, -1)))
 
     # one row per slice: its last positive counts, chained over earlier slices
-    tails = rows.groupBy(*keys, _SLICE).agg(
+    tails = rows.groupBy(_KS).agg(
         F.max_by("__own", F.when(F.col("__pos"), F.struct(*order))).alias("__last"))
     tails = tails.withColumn("__any", F.col("__last").isNotNull())
-    chain = (Window.partitionBy(*keys, "__any").orderBy(_SLICE)
+    chain = (Window.partitionBy(*[F.col(f"{_KS}.k{i}") for i in range(len(keys))], "__any").orderBy(f"{_KS}.slice")
              .rowsBetween(-(sample - 1), Window.currentRow))
     joined = F.flatten(F.collect_list("__last").over(chain))
     tails = tails.withColumn("__tail", F.when(F.col("__any"), _last_n(joined, sample)))
-    tails = tails.select(*keys, _SLICE, F.last("__tail", ignorenulls=True).over(
+    tails = tails.select(_KS, F.last("__tail", ignorenulls=True).over(
         across.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
 
     empty = F.array().cast(f"array<{dict(df.dtypes)[count]}>")
@@ -130,9 +151,9 @@ def dynamic_threshold(df: DataFrame, keys: list[str], order: list[str], count: s
     middle = (F.get(recent, F.floor((n - 1) / 2).cast("int"))
               + F.get(recent, F.floor(n / 2).cast("int"))) / 2.0
     threshold = F.least(F.lit(high), F.greatest(F.lit(low), F.bround(middle * share, 0).cast("int")))
-    return (_join_slices(rows, tails, keys)
+    return (rows.join(tails, _KS)
             .withColumn(out, F.when(n > 0, threshold).otherwise(F.lit(default)))
-            .drop(_SLICE, "__pos", "__own", "__seen", "__carry"))
+            .drop(_KS, "__pos", "__own", "__seen", "__carry"))
 
 
 def _last_n(array: Column, n: int) -> Column:

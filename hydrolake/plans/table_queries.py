@@ -10,23 +10,25 @@ from hydrolake.plans.registry import query, table, text
 # One document per order line: parent, first date, one or two child rows and a second date.
 _SPAN = """array(
  struct(0 AS row_no, array('Dam Name') AS cells),
- struct(1 AS row_no, array(concat('D', l_suppkey), '8AM', CAST(l_partkey AS STRING), '', '0.5', '100', '', '90', '', '', '', CAST(l_linenumber AS STRING), '7') AS cells),
+ struct(1 AS row_no, array(concat('D', l_suppkey), '8AM', CAST(l_partkey AS STRING), '', '0.5', '100', '-3', '90', '2', CAST(l_linenumber AS STRING), '1.5', CAST(l_linenumber AS STRING), '7') AS cells),
  struct(2 AS row_no, array('Apr-23') AS cells),
  struct(3 AS row_no, array('6AM', 'old', '', '80', '', '', '', '1', '2') AS cells),
- struct(4 AS row_no, array('8AM', CAST(l_partkey - 1 AS STRING), '', '89', '', '', '', '3', '4') AS cells),
+ struct(4 AS row_no, array('8AM', CAST(l_partkey - 1 AS STRING), '-4', '89', '1', '9', '0.5', '3', '4') AS cells),
  struct(5 AS row_no, array(CASE WHEN l_linenumber % 3 = 0 THEN 'Foo-99' ELSE 'Dec-31' END) AS cells),
  struct(6 AS row_no, array('Apr-21') AS cells))"""
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, concat('D', l_suppkey) AS dam, date, CAST(row_no AS BIGINT) AS row_no, '8AM' AS observation_time, CAST(CASE row_no WHEN 2 THEN l_partkey ELSE l_partkey - 1 END AS VARCHAR) AS water_level,
- CASE row_no WHEN 2 THEN '90' ELSE '89' END AS rule_curve, CASE row_no WHEN 2 THEN CAST(l_linenumber AS VARCHAR) ELSE '3' END AS inflow, CASE row_no WHEN 2 THEN '7' ELSE '4' END AS outflow
+ CASE row_no WHEN 2 THEN '90' ELSE '89' END AS rule_curve, CASE row_no WHEN 2 THEN '-3' ELSE '-4' END AS normal_level_deviation, CASE row_no WHEN 2 THEN '2' ELSE '1' END AS rule_curve_deviation,
+ CASE row_no WHEN 2 THEN CAST(l_linenumber AS VARCHAR) ELSE '9' END AS gates_open, CASE row_no WHEN 2 THEN '1.5' ELSE '0.5' END AS gate_opening_m, CASE row_no WHEN 2 THEN CAST(l_linenumber AS VARCHAR) ELSE '3' END AS inflow, CASE row_no WHEN 2 THEN '7' ELSE '4' END AS outflow
  FROM lineitem, (VALUES (2, '2026-04-23'), (5, '2025-12-31')) v(row_no, date) WHERE row_no = 2 OR l_linenumber % 3 > 0""")
 def carry_rowspan(spark, sf):
     docs = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.inline(F.expr(_SPAN)))
     doc = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     out = extract_cells.carry_rowspan(docs, doc, "row_no", "cells", F.lit("2026-04-30").cast("date"))
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "dam", text("date").alias("date"), F.col("row_no").cast("bigint").alias("row_no"),
-                      "observation_time", "water_level", "rule_curve", "inflow", "outflow")
+                      "observation_time", "water_level", "rule_curve", "normal_level_deviation", "rule_curve_deviation", "gates_open",
+                      "gate_opening_m", "inflow", "outflow")
 
 
 _DAY = "CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(floor(value) AS INT) % 9 END"
@@ -70,13 +72,17 @@ def map_header(spark, sf):
     return out.select("l_orderkey", "station_id", "reservoir", *[P.num_hash(c).alias(c) for c in ("fsc_mcm", "pct_full", "pct_last_year")], "prov")
 
 
-_WIDTH = "CASE WHEN o_orderkey % 3 = 0 THEN 18 WHEN o_orderkey % 3 = 1 THEN 15 ELSE 9 END"
+_WIDTH = "CASE o_orderkey % 4 WHEN 0 THEN 18 WHEN 1 THEN 15 WHEN 2 THEN 27 ELSE 9 END"
+_KIND = "CASE o_orderkey % 8 WHEN 2 THEN 'situation' ELSE 'flows' END"
 
 
-@query(f"""SELECT o_orderkey, CAST(w AS BIGINT) AS width, c AS col_no, CASE c WHEN 1 THEN 'inflow_day_mcm' WHEN 8 THEN 'outflow_day_mcm' WHEN 14 THEN 'storage_p1_mcm' WHEN 13 THEN CASE WHEN w >= 17 THEN 'storage_pct' ELSE 'storage_p1_mcm' END END AS variable,
- CAST(o_custkey + c AS VARCHAR) AS text FROM (SELECT *, {_WIDTH} AS w FROM orders), (SELECT unnest([1, 8, 13, 14]) AS c) WHERE w >= 12 AND (c < 14 OR w >= 17)""")
+@query(f"""WITH v(kind, lo, hi, c, variable) AS (VALUES ('flows', 17, 999, 1, 'inflow_day_mcm'), ('flows', 17, 999, 8, 'outflow_day_mcm'), ('flows', 17, 999, 13, 'storage_pct'), ('flows', 17, 999, 14, 'storage_p1_mcm'),
+ ('flows', 12, 16, 1, 'inflow_day_mcm'), ('flows', 12, 16, 8, 'outflow_day_mcm'), ('flows', 12, 16, 13, 'storage_p1_mcm'), ('situation', 26, 999, 18, 'water_level_m'), ('situation', 26, 999, 19, 'storage_mcm'),
+ ('situation', 26, 999, 20, 'storage_useful_mcm'), ('situation', 26, 999, 21, 'withdrawal_day_mcm'), ('situation', 26, 999, 24, 'precipitation_mm'), ('situation', 26, 999, 25, 'salinity_gl'))
+ SELECT o_orderkey, CAST(w AS BIGINT) AS width, c AS col_no, variable, CAST(o_custkey + c AS VARCHAR) AS text FROM (SELECT *, {_WIDTH} AS w, {_KIND} AS k FROM orders) JOIN v ON k = kind AND w BETWEEN lo AND hi""")
 def layout_by_width(spark, sf):
-    cells = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.lit(0).alias("row_no"), F.explode(F.expr(f"sequence(0, {_WIDTH} - 1)")).alias("col_no"))
-    cells = cells.select("o_orderkey", "row_no", "col_no", text(F.col("o_custkey") + F.col("col_no")).alias("text"))
-    return extract_cells.layout_by_width(cells, ["o_orderkey"]).select(
+    cells = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.expr(_KIND).alias("kind"), F.lit(0).alias("row_no"),
+                                              F.explode(F.expr(f"sequence(0, {_WIDTH} - 1)")).alias("col_no"))
+    cells = cells.select("o_orderkey", "kind", "row_no", "col_no", text(F.col("o_custkey") + F.col("col_no")).alias("text"))
+    return extract_cells.layout_by_width(cells, ["o_orderkey"], "kind").select(
         "o_orderkey", F.col("width").cast("bigint").alias("width"), "col_no", "variable", "text")

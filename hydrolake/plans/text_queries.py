@@ -47,16 +47,16 @@ def js_objects(spark, sf):
 
 
 _MAP = """concat('var x = 1;', chr(10), CASE WHEN s_suppkey % 6 = 0 THEN '[junk],' ELSE concat('[', CAST(s_suppkey AS STRING), ',''', s_name, '-Combine'',''Combine'', 1.5 , -110.25 ,''Normal'',''Alert'',''',
- '?station=', CAST(s_suppkey + 1000 AS STRING), '&lt;br&gt;River Basin: Sg. ', CAST(s_nationkey AS STRING), '<br>Time Taken : 22-08-2026 10:30<br>Latest WL : ', CAST(s_suppkey AS STRING), '.25m<br>',
+ '?station=', CAST(s_suppkey + 1000 AS STRING), '&lt;br&gt;River Basin: Sg. ', CAST(s_nationkey AS STRING), '<br>Time Taken : 22-08-2026 10:30<br>Latest WL : ', CAST(s_suppkey AS STRING), '.25m (WL Based on D', CAST(s_nationkey AS STRING), ')<br>',
  CASE WHEN s_suppkey % 2 = 0 THEN 'RF Status : Light <br>' ELSE '' END, 'WL Status : ', 'High', '''],') END, chr(10), 'end')"""
 
 
-@query("""SELECT s_suppkey, concat(s_name, '-Combine') AS name_combined, CAST(s_suppkey + 1000 AS VARCHAR) AS station, '22-08-2026 10:30' AS time_taken, concat(s_suppkey, '.25') AS latest_wl, 'High' AS wl_status,
+@query("""SELECT s_suppkey, concat(s_name, '-Combine') AS name_combined, CAST(s_suppkey + 1000 AS VARCHAR) AS station, '22-08-2026 10:30' AS time_taken, concat(s_suppkey, '.25') AS latest_wl, 'High' AS wl_status, concat('D', s_nationkey) AS wl_datum,
  CASE WHEN s_suppkey % 2 = 0 THEN 'Light' ELSE '' END AS rf_status, concat('Sg. ', s_nationkey) AS river_basin, '-110.25' AS lon FROM supplier WHERE s_suppkey % 6 > 0""")
 def tooltip_fields(spark, sf):
     pages = table(spark, sf, "supplier").select("s_suppkey", F.expr(_MAP).alias("t"))
     out = extract_text.tooltip_fields(pages, "t", ["s_suppkey"])
-    return out.select("s_suppkey", "name_combined", "station", "time_taken", "latest_wl", "wl_status", "rf_status", "river_basin", "lon")
+    return out.select("s_suppkey", "name_combined", "station", "time_taken", "latest_wl", "wl_status", "wl_datum", "rf_status", "river_basin", "lon")
 
 
 @query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),

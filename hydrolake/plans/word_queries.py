@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hydrolake.operators import extract_words
+from hydrolake.operators import extract_cells, extract_words
 from hydrolake.plans.cell_queries import MONTH3, S
 from hydrolake.plans.registry import mean4, query, table, text
 
@@ -67,6 +67,21 @@ def cell_values(spark, sf):
     return out.select("page", "line_no", F.col("col_index").cast("double").alias("col"), "text", "value", "flag")
 
 
+_WORD_NAMES = """(VALUES (0, 'full_supply_level_masl'), (1, 'full_supply_capacity_mcm'), (2, 'lowest_abstraction_level_masl'), (3, 'lowest_abstraction_capacity_mcm'), (4, 'water_level_masl'), (5, 'storage_mcm'), (6, 'storage_pct')) v(col_index, variable)"""
+
+
+@query(f"""WITH c AS (SELECT page, line_no, CAST(floor((x - 40) / 40) AS INTEGER) AS col_index, CAST(replace((list(concat(t, ',5') ORDER BY x, t))[1], ',', '.') AS DOUBLE) AS value FROM {_GAP_SQL} GROUP BY ALL)
+ SELECT page, line_no, variable, value, '' AS flag FROM (SELECT *, count(*) OVER (PARTITION BY page, line_no) AS n FROM c) JOIN {_WORD_NAMES} USING (col_index) WHERE n >= 7""")
+def word_table(spark, sf):
+    """Words to lines, columns, cells and named variables of the bulletin with 13 columns."""
+    lined = extract_words.words_to_lines(words(spark, sf), ["page"], "y", 7.0).withColumn("t", F.concat("t", F.lit(",5")))
+    centres = extract_words.learn_centres(words(spark, sf), "page", "x")
+    every = centres.agg(F.array_sort(F.collect_list("centre")).alias("c")).first()["c"]
+    placed = lined.withColumn("col_index", extract_words.nearest_index("x", F.array(*[F.lit(c) for c in every])))
+    cells = extract_words.cell_values(placed, ["page", "line_no"], "x", "t")
+    return extract_cells.name_word_columns(cells, ["page", "line_no"])
+
+
 # the columns lie far apart, so the best centres are the means by line number
 @query(f"""SELECT CAST(row_number() OVER (ORDER BY l_linenumber) - 1 AS INTEGER) AS col_index, round(avg(x) + 3e-9, 4) AS centre FROM {_WORDS_SQL}
  WHERE page IN (SELECT page FROM {_WORDS_SQL} GROUP BY page HAVING count(*) >= 40) GROUP BY l_linenumber""")
