@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, functions as F
 
 
@@ -24,6 +26,22 @@ def literal_map(values: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
 
 
+_INLINE = False
+
+
+@contextmanager
+def inlined():
+    """Inside, ``let`` repeats the value's expression instead of binding it: longer, but without lambdas."""
+    global _INLINE
+    before, _INLINE = _INLINE, True
+    try:
+        yield
+    finally:
+        _INLINE = before
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``."""
+    if _INLINE:
+        return body(value)
     return F.get(F.transform(F.array(value), body), F.lit(0))

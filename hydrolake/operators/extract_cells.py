@@ -84,27 +84,24 @@ def segment_blocks(df: DataFrame, keys: list[str], order: list[str], date: str,
             .drop(*[f"__n{i}" for i in range(len(same))]))
 
 
-# fixed values: header words (label, condition on the folded header text)
-def _canonical_label(h: Column) -> Column:
-    return (F.when(h == "station", "station_id").when(h == "reservoir", "reservoir")
-            .when(h == "river", "river").when(h == "wss", "wss")
-            .when(h.contains("distr") & h.contains("mun"), "district_mun")
-            .when((h == "wma") | h.startswith("wma/") | (h.contains("wma") & h.contains("count")), "wma")
-            .when((h == "prov") | h.startswith("prov/") | (h.contains("prov") & h.contains("count")), "prov")
-            .when(h.contains("full supply capacity"), "fsc_mcm")
-            .when(h.contains("water in dam"), "water_mcm")
-            .when(h.rlike("% ?full"), F.when(h.rlike("last year|last yr"), "pct_last_year")
-                  .when(h.rlike("last week|prev"), "pct_last_week").otherwise("pct_full")))
+# fixed values: wording of a bulletin's header cells, folded to lower case; the first that fits counts
+HEADER_RULES = (
+    ("station_id", r"^station$"), ("reservoir", r"^reservoir$"), ("river", r"^river$"), ("wss", r"^wss$"),
+    ("district_mun", r"(?=.*distr)(?=.*mun)"),
+    ("wma", r"^wma(?:/|$)|(?=.*wma)(?=.*count)"), ("prov", r"^prov(?:/|$)|(?=.*prov)(?=.*count)"),
+    ("fsc_mcm", r"full supply capacity"), ("water_mcm", r"water in dam"),
+    ("pct_last_year", r"(?=.*% ?full)(?=.*last (?:year|yr))"), ("pct_last_week", r"(?=.*% ?full)(?=.*(?:last week|prev))"),
+    ("pct_full", r"% ?full"),
+)
 
 
 _HEADER_DATE = r"(20\d{2})\s*[-/ ]?\s*(\d{2})\s*[-/ ]?\s*(\d{2})"
-HEADER_LABELS = ("station_id", "reservoir", "river", "wss", "district_mun", "wma", "prov",
-                 "fsc_mcm", "water_mcm", "pct_last_year", "pct_last_week", "pct_full")
 
 
-def header_columns(header: Column, as_of: Column) -> Column:
+def header_columns(header: Column, as_of: Column, rules: tuple = HEADER_RULES) -> Column:
     """Column of each label in a header row: map ``label -> col_no``.
 
+    ``rules``: ``(label, pattern)`` pairs; a cell gets the first label that fits.
     Of several "% full" columns today's comes before the one dated as the
     bulletin, and that one before any other; of equals the rightmost counts.
     """
@@ -117,7 +114,7 @@ def header_columns(header: Column, as_of: Column) -> Column:
         return F.when(text.contains("today"), 100).when(dated == stamp, 90).otherwise(10)
 
     described = F.filter(F.transform(folded, lambda c: F.struct(
-        _canonical_label(c["t"]).alias("label"), score(c["t"]).alias("score"), c["col_no"].alias("col_no"))),
+        F.coalesce(*[F.when(c["t"].rlike(p), n) for n, p in rules]).alias("label"), score(c["t"]).alias("score"), c["col_no"].alias("col_no"))),
         lambda x: x["label"].isNotNull())
 
     def best(columns: Column, label: str) -> Column:
@@ -125,10 +122,11 @@ def header_columns(header: Column, as_of: Column) -> Column:
                                        lambda x: F.struct(x["score"], x["col_no"])))["col_no"]
 
     return let(described, lambda d: F.map_from_arrays(
-        F.array(*[F.lit(n) for n in HEADER_LABELS]), F.array(*[best(d, n) for n in HEADER_LABELS])))
+        F.array(*[F.lit(n) for n, _ in rules]), F.array(*[best(d, n) for n, _ in rules])))
 
 
-def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int | None = None) -> DataFrame:
+def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int | None = None,
+               rules: tuple = HEADER_RULES) -> DataFrame:
     """Bulletin cells ``(doc, table_no, row_no, col_no, text)`` to one row per station.
 
     The header is the first row that names both station and reservoir (of the
@@ -143,7 +141,7 @@ def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int
     names_both = F.col("__text").contains("station") & F.col("__text").contains("reservoir")
     if header_rows is not None:
         names_both = (F.col("row_no") < header_rows) & names_both
-    header = F.struct("row_no", header_columns(F.col("cells"), as_of).alias("columns"))
+    header = F.struct("row_no", header_columns(F.col("cells"), as_of, rules).alias("columns"))
     rows = rows.withColumn("__h", F.when(names_both, header))
     first = F.min_by("__h", F.when(names_both, F.col("row_no"))).over(Window.partitionBy(*table))
     rows = rows.withColumn("__header", first).where(
@@ -156,7 +154,7 @@ def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int
 
     station = r"^([A-Z]\d[A-Z]\d{3})"
     wide = rows.where(value("station_id").rlike(station)).select(
-        *table, "row_no", *[value(n).alias(n) for n in HEADER_LABELS])
+        *table, "row_no", *[value(n).alias(n) for n, _ in rules])
     wide = wide.withColumn("station_id", F.regexp_extract("station_id", station, 1))
     rest = [c for c in wide.columns if c not in (*doc, "station_id")]
     first = F.min_by(F.struct(*rest), F.struct("table_no", "row_no")).alias("__r")

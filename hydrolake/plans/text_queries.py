@@ -79,7 +79,7 @@ _PAIR = r"((?:Monday|Tuesday)?,?\s*[A-Z][a-z]+\s+\d{1,2},?\s+\d{4})\s+(\d{2,3}\.
  UNION ALL SELECT page_id, '2026-07-03', '255.5', '77.5' FROM pages UNION ALL SELECT page_id, '2026-07-09', '255.1', '77.1' FROM pages WHERE page_id % 2 = 1)""")
 def anchored_pairs(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", P.html_to_text(F.expr(_LAKE)).alias("t"))
-    out = extract_text.anchored_pairs(pages, "t", ["page_id"], "lake level", _PAIR, 1, {"ft": 2, "m": 3}, fixed.MONTHS_EN)
+    out = extract_text.anchored_pairs(pages, "t", ["page_id"], "lake level", _PAIR, 1, {"ft": 2, "m": 3}, fixed.MONTHS_EN, span=600)
     return out.withColumn("date", text("date"))
 
 
@@ -93,9 +93,8 @@ _ERA = """CASE page_id % 4 WHEN 0 THEN concat(html, '<script>gwayiDams = [{name:
  UNION ALL SELECT page_id, 2, 'MANYAME', 'storage_pct', 50 + page_id % 10 + 0.5 FROM pages WHERE page_id % 4 = 2""")
 def cascade(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", F.expr(_ERA).alias("h"))
-    frames = [extract_text.js_objects(pages, "h", ["page_id"]), extract_text.table_era(pages, "h", ["page_id"]),
-              extract_text.prose_era(pages, "h", ["page_id"])]
-    return extract_text.cascade([f.select("page_id", "dam", "variable", "value") for f in frames], "page_id")
+    return extract_text.cascade(pages, ["page_id"], [
+        extract_text.js_readings("h"), extract_text.table_readings("h"), extract_text.prose_readings("h")])
 
 
 _NUMS = "slice(array(l_quantity * 3, CAST(l_partkey AS DOUBLE), CAST(l_suppkey * 4 AS DOUBLE), CAST(l_orderkey % 180 AS DOUBLE)), 1, CAST(l_linenumber % 4 + 1 AS INT))"

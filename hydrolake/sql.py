@@ -1,59 +1,53 @@
-"""Cell functions for SQL users: session functions defined in SQL, no Python at run time."""
-
-from __future__ import annotations
-
-from pyspark.sql import SparkSession
-
-from hydrolake.functions import fixed
-from hydrolake.functions.text import _ACCENTED, _BARE
-
-
-def _quoted(text: str) -> str:
-    """A string literal; the session reads backslashes as escapes."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+"""Cell functions for SQL users: session functions, made from the column functions themselves.
 
+Each is built once as a column, printed as SQL by Spark, and registered under a name, so there is
+one definition of every rule. Functions that work on arrays with lambdas (multi-format dates, page
+text) have no SQL text and are used from Python.
+"""
 
-def _in_list(values) -> str:
-    return "(" + ", ".join(_quoted(v) for v in values) + ")"
-
-
-_WS = fixed.WHITE_SPACE
-_STRIP = f"regexp_replace(x, {_quoted(f'^{_WS}+|{_WS}+$')}, '')"
-_CLEAN = f"CASE WHEN {_STRIP} NOT IN {_in_list(fixed.MARKERS_NULL_WORDS)} THEN {_STRIP} END"
-
+from __future__ import annotations
 
-def _number(text: str) -> str:
-    return f"CASE WHEN NOT ({text} RLIKE '[a-df-zA-DF-Z]') THEN try_cast({text} AS DOUBLE) END"
+from collections.abc import Callable
+
+from pyspark.sql import Column, SparkSession, functions as F
+
+from hydrolake import functions as P
+from hydrolake.functions._base import inlined
+
+#: name -> (arguments, column function)
+FUNCTIONS: dict[str, tuple[str, Callable[..., Column]]] = {
+    **{f.__name__: ("x STRING", f) for f in (
+        P.clean_cell, P.num_thousands, P.num_int_or_float, P.num_first, P.num_leading, P.num_decimal_comma, P.num_space_thousands,
+        P.num_strip, P.num_hash, P.clean_text, P.norm_lower, P.strip, P.strip_accents, P.drop_bidi_marks, P.slug_lower, P.slug_upper,
+        P.match_key, P.cell_date, P.parse_dmy, P.parse_ymd_loose, P.parse_period)},
+    "make_id": ("p STRING, x STRING", lambda p, x: F.concat_ws("_", p, P.slug_lower(x))),
+    "is_integer": ("v DOUBLE", P.is_integer),
+    "fmt_number": ("v DOUBLE", P.fmt_number),
+    "pct_full": ("storage DOUBLE, capacity DOUBLE", P.pct_full),
+    "volume_from_pct": ("capacity DOUBLE, pct DOUBLE", P.volume_from_pct),
+    "epoch_ms_to_date": ("ms BIGINT", P.epoch_ms_to_date),
+    "monday_of": ("d DATE", P.monday_of),
+    "pad_month": ("d DATE", P.pad_month),
+    "resolve_year": ("x STRING, anchor DATE", lambda x, anchor: P.resolve_year(x, anchor, 0, "MMM-d")),
+}
 
 
-#: name -> (arguments, result type, body)
-FUNCTIONS = {
-    "clean_cell": ("x STRING", "STRING", _CLEAN),
-    "num_thousands": ("x STRING", "DOUBLE", _number(f"replace({_CLEAN}, ',', '')")),
-    "num_first": ("x STRING", "DOUBLE", _number(
-        f"replace(regexp_extract(x, {_quoted(r'[-+]?\d[\d,]*(?:\.\d+)?')}, 0), ',', '')")),
-    "num_leading": ("x STRING", "DOUBLE", _number(
-        f"regexp_extract({_STRIP}, {_quoted(r'^-?\d+(?:\.\d+)?')}, 0)")),
-    "num_decimal_comma": ("x STRING", "DOUBLE", _number(
-        f"regexp_extract(replace(regexp_replace(x, {_quoted(_WS)}, ''), ',', '.'), {_quoted(r'-?\d+(?:\.\d+)?')}, 0)")),
-    "num_strip": ("x STRING", "DOUBLE", _number(f"regexp_replace(x, {_quoted(r'[^\d.\-]')}, '')")),
-    "clean_text": ("x STRING", "STRING", f"trim(regexp_replace(x, {_quoted(_WS + '+')}, ' '))"),
-    "strip_accents": ("x STRING", "STRING", f"translate(x, {_quoted(_ACCENTED)}, {_quoted(_BARE)})"),
-    "slug_lower": ("x STRING", "STRING",
-                   "lower(regexp_replace(regexp_replace(x, '[^A-Za-z0-9]+', '_'), '^_+|_+$', ''))"),
-    "cell_date": ("x STRING", "STRING",
-                  f"CASE WHEN x RLIKE {_quoted(r'20\d{2}-\d{2}-\d{2}')} THEN regexp_extract(x, {_quoted(r'20\d{2}-\d{2}-\d{2}')}, 0) "
-                  f"WHEN x RLIKE {_quoted(r'\b20\d{2}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])\b')} THEN regexp_replace(regexp_extract(x, "
-                  f"{_quoted(r'\b(20\d{2})(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])\b')}, 0), {_quoted(r'(....)(..)(..)')}, '$1-$2-$3') END"),
-    "pct_full": ("storage DOUBLE, capacity DOUBLE", "DOUBLE", "CASE WHEN capacity > 0 THEN storage / capacity * 100 END"),
-    "volume_from_pct": ("capacity DOUBLE, pct DOUBLE", "DOUBLE", "capacity * pct / 100"),
-    "monday_of": ("d DATE", "DATE", "CAST(date_trunc('week', d) AS DATE)"),
-    "pad_month": ("d DATE", "DATE", "trunc(d, 'month')"),
-}
+def definition(spark: SparkSession, name: str) -> tuple[str, str, str]:
+    """Arguments, result type and SQL body of a function."""
+    arguments, fn = FUNCTIONS[name]
+    parts = [a.split() for a in arguments.split(", ")]
+    row = spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {kind}) AS {arg}" for arg, kind in parts))
+    with inlined():
+        made = row.select(fn(*[F.col(arg) for arg, _ in parts]).alias("out"))
+    body = made._jdf.queryExecution().analyzed().expressions().head().sql().removesuffix(" AS out")
+    if "lambdafunction" in body:
+        raise ValueError(f"{name} has no SQL text")
+    return arguments, made.schema["out"].dataType.simpleString(), body
 
 
 def register(spark: SparkSession, prefix: str = "hl_") -> list[str]:
     """Define the functions in the session; returns their names."""
-    for name, (arguments, result, body) in FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({arguments}) RETURNS {result} RETURN {body}")
+    for name in FUNCTIONS:
+        arguments, kind, body = definition(spark, name)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({arguments}) RETURNS {kind} RETURN {body}")
     return [prefix + n for n in FUNCTIONS]

@@ -336,3 +336,61 @@ def test_header_in_any_row_and_tables_of_any_width(spark):
     assert extract_cells.map_header(cells, ["doc"], as_of, header_rows=40).collect() == []
     wide = spark.createDataFrame([(1, 0, c, str(c)) for c in range(120)], "doc int, row_no int, col_no int, text string")
     assert {r.variable for r in extract_cells.layout_by_width(wide, ["doc"]).collect()} == {"inflow_day_mcm", "outflow_day_mcm", "storage_pct", "storage_p1_mcm"}
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    cells = ["", " ", "-", "--", "null", "1,234.5", " 1 234,5 ", "1\t2", "1 234", "-3", "+4 m", "12abc", "1e5", "NaN", "1d", "a\nb", "É à",
+             "Dam (X) / Y", "26/06/2026", "26-06-2026", "2026-06-29", "20260629", "x 2026-06-29 y", "2020-01-01 〜 2020-12-31 (366 days)", "# 5",
+             "‮7", "Kariba Dam", "Apr-23", "0", "٣", None]
+    numbers = [None, 0.0, 1.0, 1.5, -2.25, 1e9, 1234.5678, 0.0005, float("nan")]
+    names = dict(zip(sql.FUNCTIONS, sql.register(spark)))
+    frames = {"x STRING": spark.createDataFrame([(c,) for c in cells], "x string"),
+              "v DOUBLE": spark.createDataFrame([(v,) for v in numbers], "v double"),
+              "d DATE": spark.createDataFrame([(D(2026, 6, 29),), (None,)], "d date"), "ms BIGINT": spark.createDataFrame([(1782691200000,), (None,)], "ms bigint")}
+    for name, (arguments, fn) in sql.FUNCTIONS.items():
+        if arguments in frames:
+            arg = arguments.split()[0]
+            rows = frames[arguments].select(fn(arg).alias("py"), F.expr(f"{names[name]}({arg})").alias("sql")).collect()
+            assert [str(r.py) for r in rows] == [str(r.sql) for r in rows], name
+
+
+def test_large_pages_and_long_heads(spark):
+    word = lambda i: "".join(chr(ord("B") + int(c)) for c in str(i % 19000 + 10))
+    objects = ", ".join(f'{{name: "Q{word(i)}", net: {i % 19000}, present: 1}}' for i in range(20000))
+    head = "const mazowe = { note: '" + "x" * 500 + "', dams: [" + '{name: "Kariba", net: 10}' + "] };"
+    pairs = "".join(f"<dt>k{i % 900}</dt><dd>v{i}</dd>" for i in range(9000))
+    df = spark.createDataFrame([(1, f"<script>gwayiDams = [{objects}];</script>", pairs), (2, head, "<dd>x</dd><dt>a</dt><dd></dd><dt></dt><dd>y</dd>")],
+                               "id int, js string, html string")
+    rows = extract_text.js_objects(df, "js", ["id"]).collect()
+    assert len({r.dam for r in rows if r.id == 1}) == 19000
+    assert {(r.dam, r.catchment, r.value) for r in rows if r.id == 2} == {("KARIBA", "Mazowe", 10.0)}
+    got = {(r.id, r.key): r.value for r in extract_text.html_pairs(df, "html", ["id"]).collect()}
+    assert len(got) == 901 and got[1, "k5"] == "v8105" and got[2, "a"] == "y"
+
+
+def test_cascade_reads_once_without_a_shuffle(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "id int, h string").write.parquet(f"{tmp_path}/p")
+    pages = spark.read.parquet(f"{tmp_path}/p")
+    plan = extract_text.cascade(pages, ["id"], [extract_text.js_readings("h"), extract_text.table_readings("h"), extract_text.prose_readings("h")])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Exchange" not in text
+
+
+def test_ordered_operators_shuffle_rows_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS k", "timestamp_seconds(id * 900) AS ts", "CAST(id % 5 AS INT) AS n").write.parquet(f"{tmp_path}/p")
+    df = spark.read.parquet(f"{tmp_path}/p")
+    day = ordered.day_slice("ts")
+    made = {"intervals": ordered.intervals(df, ["k"], "ts", 900), "streaks": ordered.streaks(df, ["k"], ["ts"], F.col("n") > 2, day),
+            "threshold": ordered.dynamic_threshold(df, ["k"], ["ts"], "n", day)}
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for name, frame in made.items():
+            text = frame.select("*")._jdf.queryExecution().sparkPlan().toString()
+            ran = frame._jdf.sparkSession().sessionState().executePlan(frame._jdf.queryExecution().logical(), frame._jdf.queryExecution().mode()).executedPlan().toString()
+            assert ran.count("FileScan") == 2, (name, text)
+            assert ran.count("Exchange hashpartitioning(__ks") <= 3, (name, ran)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
