@@ -19,7 +19,7 @@ _CORE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 #: A space beside other white space: pieces there depend on both sides.
 _RUN = re.compile(r" (?:(?=\s)|(?<=\s ))")
 #: Entries kept per worker; later pieces are encoded each time they occur.
-CHUNKS, CORES = 300_000, 700_000
+CHUNKS, CORES = 150_000, 300_000
 
 
 def _byte_letters() -> list[str]:
