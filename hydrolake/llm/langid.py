@@ -177,6 +177,11 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
 
 
 def known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
-    """Documents whose language is told: not ``und``, mean probability of at least ``least``."""
+    """Documents whose language is told: not ``und``, mean probability of at least ``least``.
+
+    If no row has a language to learn from, all texts with a letter stay.
+    """
     net = train(docs, ~held_out())
+    if net is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
     return docs.withColumn("__l", language(net)).where((F.col("__l.lang_pred") != "und") & (F.col("__l.score") >= least)).select(docs.columns)

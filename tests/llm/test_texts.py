@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hydrolake.llm import langid, licenses, quality, shards, substrings
 from tests.llm.conftest import EDGE
@@ -160,8 +161,10 @@ def test_language(spark):
         assert 0 <= r.score <= 1 and r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         assert (r.lang_pred == "und") == (r.text is None or not re.search(r"[^\W\d_]", r.text))
     assert langid.identify(df.where("false")).collect() == []
-    alone = langid.identify(df.withColumn("lang", df.lang.substr(9, 0)).where("false").union(df.where("doc_id = 900"))).collect()
+    alone = langid.identify(df.where("doc_id = 900")).collect()
     assert [r.lang_pred for r in alone] == ["und"]
+    unknown = df.withColumn("lang", F.lit(None).cast("string")).where("doc_id in (1, 900, 901, 902, 903)")
+    assert {r.doc_id for r in langid.known_language(unknown).collect()} == {1, 903}
 
 
 def test_language_windows_cover_all_bytes():
