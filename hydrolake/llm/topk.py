@@ -39,27 +39,31 @@ def best(q: np.ndarray, qt: np.ndarray, x: np.ndarray, xt: np.ndarray, own: np.n
     earlier positions; ``own`` marks positions to pass over.
 
     For each pivot p, |d(q,p) - d(x,p)| bounds d(q,x) from below; the largest bound over all pivots
-    bounds the inner product (|q|^2 + |x|^2 - d^2) / 2 from above. Candidates are evaluated in
-    falling order of that bound until it lies below the k-th best score.
+    bounds the inner product (|q|^2 + |x|^2 - d^2) / 2 from above (with room for rounding). Of the
+    candidates whose bound reaches ``floor``, those of the largest bounds are evaluated first, in
+    steps that double, until the next bound lies below the k-th best score. xt: a row per pivot.
     """
-    gap = np.abs(xt - qt).max(axis=1)
-    bound = (qt[0] ** 2 + xt[:, 0] ** 2 - gap ** 2) / 2 + 1e-6 * (1 + qt[0] ** 2)
-    bound[own] = -np.inf
-    order = np.argsort(-bound, kind="stable")
-    at, scores = np.zeros(0, np.int64), np.zeros(0)
-    for s in range(0, len(order), STEP):
-        some = order[s:s + STEP]
-        some = some[bound[some] >= floor]
-        if not len(some) or not np.isfinite(bound[some[0]]):
-            break
-        some = some[np.isfinite(bound[some])]
-        at, scores = np.concatenate([at, some]), np.concatenate([scores, x[some] @ q])
-        keep = np.lexsort((at, -scores))[:k]
-        at, scores = at[keep], scores[keep]
+    gap = np.abs(xt[0] - qt[0])
+    for p in range(1, len(xt)):
+        np.maximum(gap, np.abs(xt[p] - qt[p]), out=gap)
+    sides = qt[0] ** 2 + xt[0] ** 2
+    bound = (sides - gap ** 2) / 2 + 1e-5 * (1 + sides)
+    bound[own] = np.nan
+    order = np.flatnonzero(bound >= floor)
+    order = order[np.argsort(-bound[order])]
+    at, scores, s, step = np.zeros(0, np.int64), np.zeros(0, x.dtype), 0, STEP
+    while s < len(order) and bound[order[s]] >= floor:
+        some = order[s:s + step]
+        found = x[some] @ q
+        good = found >= floor
+        at, scores = np.concatenate([at, some[good]]), np.concatenate([scores, found[good]])
+        if len(at) > k:
+            keep = np.lexsort((at, -scores))[:k]
+            at, scores = at[keep], scores[keep]
         if len(at) == k:
-            floor = max(floor, scores[-1])
-    keep = scores >= floor
-    return at[keep]
+            floor = max(floor, float(scores.min()))
+        s, step = s + step, 2 * step
+    return at
 
 
 SCORES = "query_id long, vec_id long, score long"
@@ -107,8 +111,10 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
         out: list[tuple] = []
         if queries.num_rows and candidates.num_rows:
             candidates = candidates.sort_by("id")
-            ids, x, xt = candidates["id"].to_numpy(), matrix(candidates, "v"), matrix(candidates, "t")
-            qs, qts = matrix(queries, "v"), matrix(queries, "t")
+            ids, x, qs = candidates["id"].to_numpy(), matrix(candidates, "v"), matrix(queries, "v")
+            xt, qts = matrix(candidates, "t").T.astype(np.float32, order="C"), matrix(queries, "t").astype(np.float32)
+            if np.abs(x).max(initial=0) * np.abs(qs).max(initial=0) * max(1, x.shape[1]) < 1 << 24:  # sums stay exact
+                x, qs = x.astype(np.float32), qs.astype(np.float32)
             for i, (q_id, least) in enumerate(zip(queries["id"].to_pylist(), queries["least"].to_pylist())):
                 own = np.flatnonzero(ids == q_id)
                 at = best(qs[i], qts[i], x, xt, own, -np.inf if least is None else least, k)
