@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hydrolake.functions._base import col
+from hydrolake.session import scratch_path
 
 TAG = r"(?s)^#([A-Za-z0-9_]+)otltag(.*?)#FontTag$"
 
@@ -72,10 +73,10 @@ def train_glyphs(pairs: DataFrame, run: list[str], encoded: str, truth: str, ord
         votes = votes.join(skip.select(*run, "glyph"), [*run, "glyph"], "left_anti")
     tally = votes.groupBy(*run, "glyph", "ch").agg(
         F.count(F.lit(1)).alias("votes"), F.min(F.struct(*order, "pos")).alias("seen"))
-    # earliest sighting wins a tie: compare (votes, then smallest position)
-    top = tally.groupBy(*run, "glyph").agg(F.max("votes").alias("votes"), F.count(F.lit(1)).alias("rivals"))
-    return (tally.join(top, [*run, "glyph", "votes"])
-            .groupBy(*run, "glyph", "votes", "rivals").agg(F.min_by("ch", "seen").alias("ch")))
+    # most votes first, then the earliest sighting
+    ranked = F.min(F.struct((-F.col("votes")).alias("v"), "seen", "ch"))
+    top = tally.groupBy(*run, "glyph").agg(ranked.alias("top"), F.count(F.lit(1)).alias("rivals"))
+    return top.select(*run, "glyph", (-F.col("top.v")).alias("votes"), "rivals", F.col("top.ch").alias("ch"))
 
 
 def glyph_maps(maps: DataFrame, run: list[str]) -> DataFrame:
@@ -89,9 +90,13 @@ def decode_glyphs(df: DataFrame, maps: DataFrame, run: list[str], cols: list[str
     """Decoded columns and, per row, what stayed unresolved.
 
     Blanks inside encoded text disappear, glyphs without an entry stay. Characters
-    of the ``unresolved`` class in the result are counted and listed.
+    of the ``unresolved`` class in the result are counted and listed. The maps are
+    written first: Spark then knows how small they are and need not shuffle the
+    rows by their run, of which there are few.
     """
-    joined = df.join(glyph_maps(maps, run), run, "left")
+    path = scratch_path(df.sparkSession, "glyphs")
+    glyph_maps(maps, run).coalesce(1).write.parquet(path)
+    joined = df.join(df.sparkSession.read.parquet(path), run, "left")
     known = F.coalesce("glyph_map", F.create_map().cast("map<string,string>"))
     out = joined.withColumn("__m", known)
 

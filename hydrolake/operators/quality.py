@@ -123,9 +123,8 @@ def audit_registry(registry: DataFrame, files: DataFrame) -> tuple[DataFrame, Da
         F.concat(_issues(*token_rules), crons, unreferenced)).alias("issue"))
 
     repeated = (base.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                .select(F.explode(F.array_repeat(F.struct(
-                    F.col("source_id"), F.lit("duplicate source_id").alias("issue")),
-                    (F.col("n") - 1).cast("int"))).alias("r")).select("r.*"))
+                .select("source_id", F.when(F.col("n") == 2, "duplicate source_id").otherwise(
+                    F.concat(F.lit("duplicate source_id ("), "n", F.lit(" rows)"))).alias("issue")))
     issues = reduce(lambda a, b: a.unionByName(b),
                     [lacking, field_issues, path_issues, workflow_issues, repeated])
 

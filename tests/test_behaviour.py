@@ -394,3 +394,17 @@ def test_ordered_operators_shuffle_rows_once(spark, tmp_path):
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)
+
+
+def test_long_token_lines(spark):
+    line = ["x", "04-01", "08:00", "12", "05", "06:00", "n"] * 800
+    got = spark.createDataFrame([(line,)], "t array<string>").select(extract_words.repair_tokens("t").alias("r")).first().r
+    assert got == ["x", "04-01 08:00", "12-05 06:00", "n"] * 800
+
+
+def test_learned_maps_are_joined_without_shuffling_rows(spark):
+    rows = spark.range(1000).selectExpr("id % 2 AS run", "concat('#f1otltag', 'a', '#FontTag') AS t")
+    maps = spark.createDataFrame([(0, "a", "b"), (1, "a", "c")], "run long, glyph string, ch string").repartition(3)
+    out = extract_glyphs.decode_glyphs(rows, maps, ["run"], ["t"])
+    assert {(r.run, r.t) for r in out.collect()} == {(0, "b"), (1, "c")}
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
