@@ -15,11 +15,15 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-_CORE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Letters, and the punctuation after them: all of ASCII but the apostrophe, which may start a piece.
+_WORD = "([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)"
+_CORE, _LINES = re.compile(_WORD), re.compile(f"{_WORD}\n{_WORD}")
+#: Separators that Python takes for white space and the vocabularies do not.
+_ODD = re.compile("[\x1c-\x1f]")
 #: A space beside other white space: pieces there depend on both sides.
 _RUN = re.compile(r" (?:(?=\s)|(?<=\s ))")
 #: Entries kept per worker; later pieces are encoded each time they occur.
-CHUNKS, CORES = 150_000, 300_000
+CHUNKS, CORES = 300_000, 300_000
 
 
 def _byte_letters() -> list[str]:
@@ -41,6 +45,19 @@ class _Chunks(dict):
         return ids
 
 
+class _Stops(dict):
+    """Ids of punctuation on its own."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encoder.whole(piece)
+        if len(self) < 10_000:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """``ids(text)``: little-endian unsigned 32-bit ids, equal to ``encode(text,
     add_special_tokens=False).ids`` of the library."""
@@ -57,31 +74,36 @@ class Encoder:
         letters = _byte_letters()
         self.letters = dict(enumerate(letters))
         self.cores: dict[str, bytes] = {}
-        self.stops = {s: self.whole(s) for s in ("", ".", ",")}
+        self.stops = _Stops(self)
         self.chunks = _Chunks(self)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def core(self, piece: str) -> bytes:
+        """Ids of letters (with the space before them, if kept): one piece, merged by the model."""
+        if (ids := self.cores.get(piece)) is None:
+            shown = piece.encode().decode("latin-1").translate(self.letters)
+            ids = np.array([t.id for t in self.tok.model.tokenize(shown)], "<u4").tobytes()
+            if len(self.cores) < CORES:
+                self.cores[piece] = ids
+        return ids
+
     def chunk(self, chunk: str) -> bytes:
         """Ids of what stands between two spaces (with the space before it, if kept)."""
         lead = " " if self.keeps else ""
-        if not (m := _CORE.fullmatch(chunk)):
-            return self.whole(lead + chunk)
-        core = m[1] if self.keeps else m[1].lower()
-        if (ids := self.cores.get(core)) is None:
-            shown = (lead + core).encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.tok.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.cores) < CORES:
-                self.cores[core] = ids
-        return ids + self.stops[m[2]]
+        if m := _CORE.fullmatch(chunk):
+            return self.core(lead + m[1] if self.keeps else m[1].lower()) + self.stops[m[2]]
+        if self.keeps and (m := _LINES.fullmatch(chunk)):
+            return self.core(lead + m[1]) + self.stops[m[2]] + self.stops["\n"] + self.core(m[3]) + self.stops[m[4]]
+        return self.whole(lead + chunk)
 
     def ids(self, text: str) -> bytes:
-        if not (self.keeps or self.words) or self.keeps and _RUN.search(text):
+        if not (self.keeps or self.words) or self.keeps and _RUN.search(text) or self.words and _ODD.search(text):
             return self.whole(text)
-        first, *rest = text.split(" ")
         if self.words:
-            return b"".join(map(self.chunks.__getitem__, (first, *rest)))
+            return b"".join(map(self.chunks.__getitem__, text.split()))
+        first, *rest = text.split(" ")
         return self.whole(first) + b"".join(map(self.chunks.__getitem__, rest))
 
 

@@ -18,6 +18,8 @@ from hydrolake.session import scratch_path
 MAGIC, VERSION = b"HLTOKENS", 1
 #: Text bytes of one sorted part; tokens after which a file is closed; keys of a hash bucket.
 PART_BYTES, FILE_TOKENS, LOAD = 16 << 20, 16 << 20, 4
+#: Displacements tried at once.
+TRIES = 64
 _FIXED = np.uint32(1 << 31)
 
 
@@ -59,12 +61,14 @@ class PerfectHash:
         for b in np.argsort(-counts, kind="stable"):
             if counts[b] < 2:
                 break
-            keys = h[order[ends[b] - counts[b]:ends[b]]]
-            for d in range(1 << 31):
-                s = made.slots(keys, np.full(len(keys), d, np.uint32))
-                if free[s].all() and len(np.unique(s)) == len(s):
-                    free[s], made.displaced[b] = False, d
+            keys, d = h[order[ends[b] - counts[b]:ends[b]]], 0
+            while True:  # some displacements at a time; late buckets need many
+                s = np.sort(made.slots(keys, np.arange(d, d + TRIES, dtype=np.uint32)[:, None]), axis=1)
+                fits = np.flatnonzero(free[s].all(axis=1) & (s[:, 1:] != s[:, :-1]).all(axis=1))
+                if len(fits):
+                    free[s[fits[0]]], made.displaced[b] = False, d + fits[0]
                     break
+                d += TRIES
         single = np.flatnonzero(counts == 1)
         made.displaced[single] = np.flatnonzero(free)[:len(single)].astype(np.uint32) | _FIXED
         return made
