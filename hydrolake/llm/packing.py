@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from hydrolake.llm.common import bucket, keyed, parts, text_bytes
 from hydrolake.llm.encode import encoder

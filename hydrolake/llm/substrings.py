@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 from xxhash import xxh3_64_intdigest
 
 from hydrolake.llm.common import bucket, parts, text_bytes
@@ -205,7 +205,7 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, doc_id: str = "doc
     def cut(key: tuple, table: pa.Table, masks: pa.Table) -> pa.Table:
         if not table.num_rows:
             return empty
-        anchors, windows = (masks.filter(pa.compute.equal(masks["step"], s)) for s in (1, 2))
+        anchors, windows = (masks.filter(pc.equal(masks["step"], s)) for s in (1, 2))
         block = load(table)
         starts, b, _, least, group = distinct_windows(block, anchors)
         gone = _flags(windows, b)[group] | (block.ids[block.doc[starts]] > least[group])
@@ -233,9 +233,6 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, doc_id: str = "doc
 
     kinds = rows.schema["rest"].dataType.simpleString()
     schema = f"doc_id long, n_words long, n_removed long, kept binary, spans array<array<long>>, rest {kinds}"
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
     empty = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
     by_block = rows.groupBy("block")
     sent = by_block.applyInArrow(send_anchors, "bucket int, block int, p0 binary")
