@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from hydrolake import functions as P
 from hydrolake.functions import fixed
 from hydrolake.operators import extract_text
-from hydrolake.plans.cell_queries import PAGE_LINES_SQL, PAGE_TEXT_SQL
 from hydrolake.plans.registry import query, table, text
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hydrolake.operators import extract_cells, extract_words
-from hydrolake.plans.cell_queries import MONTH3, S
+from hydrolake.plans.cell_queries import S
 from hydrolake.plans.registry import mean4, query, table, text
 
 # words: a page per hundred orders, quantity gives y, linenumber and part the x
