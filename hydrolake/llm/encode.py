@@ -23,7 +23,7 @@ _ODD = re.compile("[\x1c-\x1f]")
 #: A space beside other white space: pieces there depend on both sides.
 _RUN = re.compile(r" (?:(?=\s)|(?<=\s ))")
 #: Entries kept per worker; later pieces are encoded each time they occur.
-CHUNKS, CORES = 300_000, 300_000
+CHUNKS, CORES = 100_000, 200_000
 
 
 def _byte_letters() -> list[str]:
