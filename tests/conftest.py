@@ -3,7 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, _REPO)
+# Python workers import the package too, from wherever the tests are started
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [_REPO, os.environ.get("PYTHONPATH")]))
 
 
 @pytest.fixture(scope="session")
