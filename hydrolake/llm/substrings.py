@@ -15,7 +15,7 @@ from hydrolake.llm.common import bucket, parts, text_bytes
 #: Text bytes of one block of documents; anchors or windows of one bucket that meet in a task.
 BLOCK_BYTES, BUCKET = 4 << 20, 1 << 20
 #: Word hashes kept per worker.
-WORDS = 100_000
+WORDS = 200_000
 NO_ID = np.iinfo(np.int64).max
 #: Perfect difference sets: any two positions have a common shift below the period that brings
 #: both to a position in the set.
