@@ -59,12 +59,14 @@ def _places(w: Column, phrase: str) -> Column:
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.9, doc_id: str = "doc_id",
          text: str = "text") -> DataFrame:
-    """Of every row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``
-    and ``blocks`` (start word, label, containment of each block found).
+    """Of every row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``,
+    ``notices`` (start word of the block, number of the template, label, containment) and ``blocks``
+    (start word, label, containment).
 
     Base labels: the words of a phrase stand in a row. Further labels: blocks of 32 words, one
-    every 16, that hold at least ``least`` of the distinct words of a template; of several
-    templates a block gets the one contained most, or of two the longer. The join is exact:
+    every 16, that hold at least ``least`` of the distinct words of a template. ``notices`` has
+    every such pair of block and template, and all their labels count; ``blocks`` names of each
+    block only the template contained most, or of two the longer. The join is exact:
 
     * tokens are ordered by how many documents hold them, rarest first;
     * *prefix*: a block that reaches the threshold holds one of a template's first
@@ -106,7 +108,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     tops = F.array(*[F.struct(F.lit(label).alias("label"), _lits(s).alias("s"), F.lit(n).alias("need")) for (label, s), n in zip(sets, needs)])
 
     def matches(block: Column) -> Column:
-        """Verified (containment, label) of a block (start, v), v its template words in order."""
+        """All verified templates of a block (start, v), v its template words in order."""
         v = block["v"]
         found = F.flatten(F.transform(F.array_intersect(_lits(list(index)), v), lambda t: F.transform(
             postings[t], lambda e: F.struct(e["i"].alias("i"), e["p"].alias("p"), (F.array_position(v, t) - 1).alias("q")))))
@@ -121,24 +123,30 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
         def verified(i: Column) -> Column:
             top = F.get(tops, i)
             share = F.size(F.array_intersect(top["s"], v))
-            return F.struct((share / F.size(top["s"])).alias("share"), share.alias("n"), (share >= top["need"]).alias("ok"), top["label"].alias("label"))
+            return F.struct((share / F.size(top["s"])).alias("share"), share.alias("n"), (share >= top["need"]).alias("ok"),
+                            top["label"].alias("label"), block["start"].alias("start"), i.alias("template"))
 
-        best = F.array_max(F.filter(F.transform(ids, verified), lambda m: m["ok"]))
-        return F.struct(block["start"].alias("start"), best["label"].alias("label"), best["share"].alias("share"))
+        return F.filter(F.transform(ids, verified), lambda m: m["ok"])
+
+    def shown(m: Column, *names: str) -> Column:
+        return F.struct(*[m[x].alias(x) for x in names])
 
     if index:
         starts = F.when(F.size("l") > 0, F.sequence(F.lit(0), F.greatest(F.size("l") - 1, F.lit(0)), F.lit(STEP))).otherwise(F.array().cast("array<int>"))
         blocks = F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_intersect(_lits(order), F.slice("l", s + 1, BLOCK)).alias("v")))
         rows = rows.withColumn("b", F.filter(blocks, lambda b: F.arrays_overlap(b["v"], _lits(list(index)))))
-        rows = rows.withColumn("blocks", F.filter(F.transform("b", matches), lambda m: m["label"].isNotNull()))
+        rows = rows.withColumn("m", F.filter(F.transform("b", matches), lambda m: F.size(m) > 0))
+        rows = rows.withColumn("notices", F.transform(F.flatten("m"), lambda m: shown(m, "start", "template", "label", "share")))
+        rows = rows.withColumn("blocks", F.transform("m", lambda m: shown(F.array_max(m), "start", "label", "share")))
     else:
+        rows = rows.withColumn("notices", F.array().cast("array<struct<start:int,template:int,label:string,share:double>>"))
         rows = rows.withColumn("blocks", F.array().cast("array<struct<start:int,label:string,share:double>>"))
     at = F.concat(*[F.col(f"p{i}") for i in range(len(PHRASES))])
     base = F.filter(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(x)) for i, x in enumerate(PHRASES)]), lambda x: x.isNotNull())
-    every = F.array_union(base, F.transform("blocks", lambda b: b["label"]))
+    every = F.array_union(base, F.transform("notices", lambda m: m["label"]))
     return rows.select(
         "doc_id", "n_words", F.size(at).cast("long").alias("n_base"), F.array_min(at).cast("long").alias("first_word"),
         F.array_max(at).cast("long").alias("last_word"), F.array_join(F.array_sort(base), ",").alias("base_labels"),
         F.array_join(F.array_sort(every), ",").alias("labels"),
-        F.when(F.size(at) > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("blocks", lambda b: b["share"])), F.lit(0.0))).alias("score"),
-        "blocks")
+        F.when(F.size(at) > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("notices", lambda m: m["share"])), F.lit(0.0))).alias("score"),
+        "notices", "blocks")

@@ -76,7 +76,7 @@ def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in every whole text."""
-    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("notices", "blocks")
 
 
 @query

@@ -146,6 +146,14 @@ def test_licenses_against_brute_force(frame):
     assert licenses.scan(frame([])).collect() == []
 
 
+def test_licenses_finds_all_of_a_block(frame):
+    both = "subject to the terms of the mozilla public license v 2 0 or under the terms of the gnu lesser general public license"
+    got = licenses.scan(frame([(k, "foo " * k + both) for k in range(32)])).collect()
+    for r in got:
+        assert r.labels == "lgpl,mpl-2" and r.score == 1
+        assert {m.label for m in r.notices} == {licenses.TEMPLATES[m.template][0] for m in r.notices} == {"lgpl", "mpl-2"}
+
+
 def test_language(spark):
     rng = random.Random(6)
     kinds = {"aa": ["ba", "bo", "bi", "tata"], "bb": ["xyz", "kry", "zzk", "wq"]}
