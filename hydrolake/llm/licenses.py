@@ -28,8 +28,9 @@ TEMPLATES = [
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
-#: Words of a block, and from one block to the next; a template of up to 17 words lies in one.
-BLOCK, STEP = 32, 16
+#: Words of a block, and from one block to the next; a span of up to 17 words lies in one. Longer
+#: templates get both doubled until ROOM times their words lie in one block: room for inserted words.
+BLOCK, STEP, ROOM = 32, 16, 1.5
 
 
 def _lits(values: list) -> Column:
@@ -57,16 +58,27 @@ def _places(w: Column, phrase: str) -> Column:
     return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), here)).otherwise(none)
 
 
+def grid(template: str) -> tuple[int, int]:
+    """Words of the blocks that a template is sought in, and from one block to the next."""
+    block, step = BLOCK, STEP
+    while block - step + 1 < ROOM * len(template.split()):
+        block, step = 2 * block, 2 * step
+    return block, step
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.9, doc_id: str = "doc_id",
          text: str = "text") -> DataFrame:
     """Of every row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``,
-    ``notices`` (start word of the block, number of the template, label, containment) and ``blocks``
-    (start word, label, containment).
+    ``notices`` (start word and words of the block, number of the template, label, containment) and
+    ``blocks`` (start word, label, containment).
 
-    Base labels: the words of a phrase stand in a row. Further labels: blocks of 32 words, one
-    every 16, that hold at least ``least`` of the distinct words of a template. ``notices`` has
-    every such pair of block and template, and all their labels count; ``blocks`` names of each
-    block only the template contained most, or of two the longer. The join is exact:
+    Base labels: the words of a phrase stand in a row. Further labels: blocks that hold at least
+    ``least`` of the distinct words of a template. Blocks have 32 words, one every 16, and for
+    templates of more than 11 words both numbers are doubled until a span of half again the
+    template's words lies in one block wherever it starts (``grid``); any template can match.
+    ``notices`` has every such pair of block and template, and all their labels count; ``blocks``
+    names of each block of 32 words only the template contained most, or of two the longer. The
+    join is exact:
 
     * tokens are ordered by how many documents hold them, rarest first;
     * *prefix*: a block that reaches the threshold holds one of a template's first
@@ -90,26 +102,32 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     rank = {x: i for i, x in enumerate(order)}
     sets = [(label, sorted(s, key=rank.get)) for label, s in sets]
     needs = [ceil(least * len(s) - 1e-9) for _, s in sets]
-    index: dict[str, list[tuple[int, int]]] = {}
-    for i, (_, s) in enumerate(sets):
-        for p, token in enumerate(s[:len(s) - needs[i] + 1]):
-            index.setdefault(token, []).append((i, p))
+    grids = [grid(t) for _, t in templates]
+
+    def indexed(numbers: list[int]) -> dict[str, list[tuple[int, int]]]:
+        """Per prefix token the templates (of these numbers) that have it, and its place."""
+        index: dict[str, list[tuple[int, int]]] = {}
+        for i in numbers:
+            for p, token in enumerate(sets[i][1][:len(sets[i][1]) - needs[i] + 1]):
+                index.setdefault(token, []).append((i, p))
+        return index
 
     # words that every base phrase or every matching block must hold one of
-    tokens = sorted({*index, *(min(p.split(), key=lambda x: (rank.get(x, 0), x)) for p in PHRASES.values())})
+    whole = indexed(list(range(len(sets))))
+    tokens = sorted({*whole, *(min(p.split(), key=lambda x: (rank.get(x, 0), x)) for p in PHRASES.values())})
     likely = F.col("t").rlike(f"(?i)(?<!{_WORD})(?:{'|'.join(tokens)})(?!{_WORD})")
     none = F.array().cast("array<string>")
     rows = rows.withColumn("l", F.when(likely, F.transform("w", lambda x: F.translate(x, _UPPER, _LOWER))).otherwise(none))
     rows = rows.select("doc_id", F.size("w").cast("long").alias("n_words"), "l",
                        *[_places(F.col("l"), p).alias(f"p{i}") for i, p in enumerate(PHRASES.values())])
 
-    postings = F.create_map(*[x for t, e in index.items() for x in (
-        F.lit(t), F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in e]))]) if index else None
     tops = F.array(*[F.struct(F.lit(label).alias("label"), _lits(s).alias("s"), F.lit(n).alias("need")) for (label, s), n in zip(sets, needs)])
 
-    def matches(block: Column) -> Column:
+    def matches(block: Column, index: dict[str, list[tuple[int, int]]]) -> Column:
         """All verified templates of a block (start, v), v its template words in order."""
         v = block["v"]
+        postings = F.create_map(*[x for t, e in index.items() for x in (
+            F.lit(t), F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in e]))])
         found = F.flatten(F.transform(F.array_intersect(_lits(list(index)), v), lambda t: F.transform(
             postings[t], lambda e: F.struct(e["i"].alias("i"), e["p"].alias("p"), (F.array_position(v, t) - 1).alias("q")))))
 
@@ -131,15 +149,27 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     def shown(m: Column, *names: str) -> Column:
         return F.struct(*[m[x].alias(x) for x in names])
 
-    if index:
-        starts = F.when(F.size("l") > 0, F.sequence(F.lit(0), F.greatest(F.size("l") - 1, F.lit(0)), F.lit(STEP))).otherwise(F.array().cast("array<int>"))
-        blocks = F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_intersect(_lits(order), F.slice("l", s + 1, BLOCK)).alias("v")))
-        rows = rows.withColumn("b", F.filter(blocks, lambda b: F.arrays_overlap(b["v"], _lits(list(index)))))
-        rows = rows.withColumn("m", F.filter(F.transform("b", matches), lambda m: F.size(m) > 0))
-        rows = rows.withColumn("notices", F.transform(F.flatten("m"), lambda m: shown(m, "start", "template", "label", "share")))
-        rows = rows.withColumn("blocks", F.transform("m", lambda m: shown(F.array_max(m), "start", "label", "share")))
+    def found(numbers: list[int], block: int, step: int, name: str) -> Column:
+        """Of each block that holds any of these templates: all that it holds."""
+        nonlocal rows
+        index = indexed(numbers)
+        starts = F.when(F.size("l") > 0, F.sequence(F.lit(0), F.greatest(F.size("l") - 1, F.lit(0)), F.lit(step))).otherwise(F.array().cast("array<int>"))
+        blocks = F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_intersect(_lits(order), F.slice("l", s + 1, block)).alias("v")))
+        rows = rows.withColumn(f"b{name}", F.filter(blocks, lambda b: F.arrays_overlap(b["v"], _lits(list(index)))))
+        rows = rows.withColumn(f"m{name}", F.filter(F.transform(f"b{name}", lambda b: matches(b, index)), lambda m: F.size(m) > 0))
+        return F.col(f"m{name}")
+
+    if whole:
+        parts = []
+        for k, (block, step) in enumerate(sorted({g for g, (_, s) in zip(grids, sets) if s})):
+            of_grid = found([i for i, g in enumerate(grids) if g == (block, step)], block, step, str(k))
+            parts.append(F.transform(F.flatten(of_grid), lambda m, n=block: F.struct(
+                m["start"].alias("start"), F.lit(n).alias("words"), *[m[x].alias(x) for x in ("template", "label", "share")])))
+        of_block = found(list(range(len(sets))), BLOCK, STEP, "")
+        rows = rows.withColumn("notices", F.concat(*parts))
+        rows = rows.withColumn("blocks", F.transform(of_block, lambda m: shown(F.array_max(m), "start", "label", "share")))
     else:
-        rows = rows.withColumn("notices", F.array().cast("array<struct<start:int,template:int,label:string,share:double>>"))
+        rows = rows.withColumn("notices", F.array().cast("array<struct<start:int,words:int,template:int,label:string,share:double>>"))
         rows = rows.withColumn("blocks", F.array().cast("array<struct<start:int,label:string,share:double>>"))
     at = F.concat(*[F.col(f"p{i}") for i in range(len(PHRASES))])
     base = F.filter(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(x)) for i, x in enumerate(PHRASES)]), lambda x: x.isNotNull())

@@ -154,6 +154,16 @@ def test_licenses_finds_all_of_a_block(frame):
         assert {m.label for m in r.notices} == {licenses.TEMPLATES[m.template][0] for m in r.notices} == {"lgpl", "mpl-2"}
 
 
+def test_licenses_find_long_notices_at_any_place(frame):
+    apache = "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+    got = licenses.scan(frame([(k, "foo " * k + apache) for k in range(64)])).collect()
+    assert len(got) == 64 and {r.labels for r in got} == {"apache-2"}
+    long = " ".join(f"word{k}" for k in range(100))
+    wordy = long.replace("word50", "some other words here word50")
+    got = licenses.scan(frame([(k, "foo " * 5 * k + wordy + " bar" * 30) for k in range(64)]), [("long", long), ("none", "")]).collect()
+    assert len(got) == 64 and {(r.labels, r.score) for r in got} == {("long", 1.0)}
+
+
 def test_language(spark):
     rng = random.Random(6)
     kinds = {"aa": ["ba", "bo", "bi", "tata"], "bb": ["xyz", "kry", "zzk", "wq"]}
