@@ -123,21 +123,26 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
           per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT) -> ByteNet | None:
     """A network from the rows where ``learn`` holds and the language is not null.
 
-    Bounded sample: of each language the ``per_language`` rows of smallest id hash, of each
-    ``per_text`` windows spread over the text by hash. None if there is nothing to learn from.
+    Bounded sample: of each language the ``per_language`` ids of smallest hash, of each id one row
+    and of it ``per_text`` windows spread over the text by hash. Rows without id are known by
+    their text instead, rows without a byte of text teach nothing. None if there is nothing to
+    learn from.
     """
-    rows = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").cast("binary").alias("t"))
-    # of each language some three times the rows wanted, by hash, before any are put in order
-    counts = rows.groupBy("l").agg(F.count("*").alias("c"))
-    near = rows.select("i", "l", F.shiftrightunsigned(F.xxhash64("i"), 1).alias("h")).join(counts, "l").where(
-        F.col("h") / 2.0 ** 63 <= 3.0 * per_language / F.col("c"))
-    first = Window.partitionBy("l").orderBy("h", "i")
-    ids = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("i", "l").distinct()
-    picked = rows.join(F.broadcast(ids), ["i", "l"]).where(F.octet_length("t") > 0)
+    rows = docs.where(learn & F.col(lang).isNotNull()).select(
+        F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").cast("binary").alias("t")).where(
+        F.octet_length("t") > 0)
+    known = F.when(F.col("i").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("i"))
+    rows = rows.withColumn("h", F.shiftrightunsigned(known, 1))
+    # of each language some three times the ids wanted, by hash, before any are put in order
+    counts = rows.groupBy("l").agg(F.approx_count_distinct("h").alias("c"))
+    near = rows.select("l", "h").join(F.broadcast(counts), "l").where(F.col("h") / 2.0 ** 63 <= 3.0 * per_language / F.col("c"))
+    first = Window.partitionBy("l").orderBy("h")
+    ids = near.select("l", "h").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("l", "h")
+    picked = rows.join(F.broadcast(ids), ["l", "h"])
     room = F.greatest(F.octet_length("t") - LENGTH + 1, F.lit(1))
     cuts = F.array(*[F.substring("t", (F.pmod(F.xxhash64("i", F.lit(k)), room) + 1).cast("int"), LENGTH) for k in range(per_text)])
-    got = picked.select("l", F.explode(cuts).alias("w")).orderBy("l", "w").collect()
+    one = picked.select("l", "h", cuts.alias("w")).groupBy("l", "h").agg(F.min("w").alias("w"))
+    got = one.select("l", F.explode("w").alias("w")).orderBy("l", "w").collect()
     if not got:
         return None
     languages = sorted({r[0] for r in got})

@@ -185,6 +185,30 @@ def test_language(spark):
     assert {r.doc_id for r in langid.known_language(unknown).collect()} == {1, 903}
 
 
+def test_language_sample_is_not_crowded_out(spark, monkeypatch):
+    rng = random.Random(7)
+    kinds = {"aa": ["ba", "bo", "bi", "tata"], "bb": ["xyz", "kry", "zzk", "wq"]}
+    some = lambda k: " ".join(rng.choices(kinds[k], k=rng.randint(40, 90)))
+    seen, fit = [], langid.fit
+    monkeypatch.setattr(langid, "fit", lambda x, y, names: seen.append((x, y, names)) or fit(x, y, names))
+
+    def learned(rows):
+        got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+        assert len(got) == len(rows) and all(r.lang_pred == r.lang for r in got if r.text)
+        x, y, names = seen.pop()
+        assert names == ["aa", "bb"]
+        return [(int((y == k).sum()), len({w.tobytes() for w in x[y == k]})) for k in range(2)]
+
+    with_ids = [(i, some(k), k) for i in range(400) for k in ["ab"[i % 2] * 2]]
+    nameless = [(None, some(k), k) for k in kinds for _ in range(700)]
+    least = 3 * 100
+    assert all(n <= 3 * langid.PER_LANGUAGE and distinct > least for n, distinct in learned(with_ids + nameless))
+    assert all(n <= 3 * langid.PER_LANGUAGE and distinct > least for n, distinct in learned(nameless))
+    hot = spark.range(4000).where(~langid.held_out("id")).orderBy(F.shiftrightunsigned(F.xxhash64("id"), 1)).first().id
+    for i, t in ((hot, some("aa")), (None, some("aa")), (None, "")):
+        assert all(n <= 3 * langid.PER_LANGUAGE and distinct > least for n, distinct in learned(with_ids + [(i, t, "aa")] * 5000))
+
+
 def test_language_windows_cover_all_bytes():
     net = langid.ByteNet(["a", "b"], {w: np.random.default_rng(w).normal(size=(w, 256, langid.FILTERS)).astype(np.float32) for w in langid.WIDTHS},
                          np.zeros(24, np.float32), np.random.default_rng(1).normal(size=(24, 2)).astype(np.float32), np.zeros(2, np.float32))
