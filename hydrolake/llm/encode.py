@@ -60,12 +60,14 @@ class _Stops(dict):
 
 class Encoder:
     """``ids(text)``: little-endian unsigned 32-bit ids, equal to ``encode(text,
-    add_special_tokens=False).ids`` of the library."""
+    add_special_tokens=False).ids`` of the library. ``plain``: the strings of special tokens are
+    ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = plain
         self.vocab = self.tok.get_vocab_size()
         pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"]
         #: keeps: byte-level, the space before a word belongs to it. words: white space dropped.
@@ -108,6 +110,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One per worker process and vocabulary."""
-    return Encoder(path)
+    return Encoder(path, plain)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolake.llm import (decontaminate, langid, licenses, packing, quality, shards, simhash, substrings, tokenfiles,
-                           topk)
+from hydrolake.llm import (alignment, bestfit, centroids, decontaminate, langid, licenses, packing, quality, shards,
+                           simhash, substrings, tokenfiles, topk)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -107,6 +107,47 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, whole where they fit, in few sequences of 1024 tokens."""
+    return bestfit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        with_ids=False).drop("ids")
+
+
+@query
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between byte-level and sentencepiece tokens of every whole text."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model")).drop("groups")
+
+
+@query
+def op13_cluster_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's centroid among 40, after five rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _cluster_sql(k: int = 40, rounds: int = 5) -> str:
+    """Plain k-means, one pair of tables a round; sums of integers in doubles are exact here."""
+    sql = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q, sha256('2:' || vec_id) AS h FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS k, q AS c FROM v QUALIFY row_number() OVER (ORDER BY h) <= {k})"""]
+    for r in range(rounds + 1):
+        sql.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, any_value(q) AS q, min({{d: list_inner_product(q, q) - 2 * list_inner_product(q, c) + list_inner_product(c, c), k: k}}) AS b
+  FROM v, c{r} GROUP BY vec_id)""")
+        if r < rounds:
+            sql.append(f"""m{r} AS (SELECT k, list(x ORDER BY i) AS c FROM (SELECT k, i, floor(sum(x) / count(*)) AS x
+  FROM (SELECT b.k AS k, unnest(range(64)) AS i, unnest(q) AS x FROM a{r}) GROUP BY k, i) GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT k, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (k))""")
+    return f"""WITH {", ".join(sql)}
+SELECT vec_id, k::INTEGER AS cluster, b.d::BIGINT AS distance, (sum(b.d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(b.d) OVER ())::BIGINT AS inertia,
+ sha256(array_to_string(list_transform(c, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON b.k = k"""
+
+
+ORACLE_SQL["op13_cluster_centroids"] = _cluster_sql()
+
+
 def _license_sql() -> str:
     """The scan without its filters, which must not change the result."""
     words = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
