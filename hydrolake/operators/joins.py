@@ -129,13 +129,57 @@ def reading_at(latest: DataFrame, history: DataFrame, key: str, date: Column,
     return joined.select(key, date.alias(date_col), picked.alias(value))
 
 
+#: Periods are filed by length: class c holds those of up to BASE^(c + 1) days, in buckets of BASE^c.
+BASE, CLASSES = 16, 6
+
+
+def _filed(periods: DataFrame, keys: list[str]) -> tuple[DataFrame, list[int], int]:
+    """Periods with their first and last day as numbers and their class, the classes in use, and the
+    horizon up to which open periods are filed. One job over the periods, which returns one row."""
+    first, end = F.unix_date(F.to_date("start_date")), F.unix_date(F.to_date("end_date"))
+    p = periods.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "start_date", "end_date", "quality_state",
+                       first.alias("first"), end.alias("last")).where("first IS NOT NULL AND (end_date IS NULL OR first <= last)")
+    horizon = p.agg(F.max(F.greatest("first", "last"))).first()[0]
+    p = p.withColumn("last", F.coalesce("last", F.lit(horizon)))
+    days = F.col("last") - F.col("first") + 1
+    p = p.withColumn("class", F.lit(CLASSES) - sum(F.when(days <= BASE ** (c + 1), 1).otherwise(0) for c in range(CLASSES)))
+    used = sorted(r[0] for r in p.select("class").distinct().collect())
+    return p, used, horizon
+
+
 def attach_quality(obs: DataFrame, periods: DataFrame, keys: list[str], date: str) -> DataFrame:
     """Quality state of the period a reading falls in; open periods have no end.
 
-    The join is an equi-join on the series keys with a range condition on top.
+    An interval join by time buckets. A period is filed under the few buckets it touches, of a
+    width that follows its length; the periods of a key and bucket lie in one row, so a reading
+    meets at most one row per class of lengths, by equality, and looks in it for the exact
+    range. However many periods a key has, a reading sees only those near its date, and the
+    readings of a key spread over its buckets. Open periods are filed up to the horizon, the last
+    day any period names; later readings look there.
+
+    A reading in several periods gives a row for each; one in none, without a date or with a null
+    key keeps a null state. Periods without a start, or that end before they start, hold nothing.
     """
-    p = periods.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("start_date").alias("__start"),
-                       F.col("end_date").alias("__end"), "quality_state")
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
-    inside = (F.col(date) >= F.col("__start")) & (F.col("__end").isNull() | (F.col(date) <= F.col("__end")))
-    return obs.join(p, same & inside, "left").drop("__start", "__end", *[f"__{k}" for k in keys])
+    p, used, horizon = _filed(periods, keys)
+    names = set(obs.columns)
+    free = lambda stem: next(n for n in (f"{stem}{'_' * i}" for i in range(len(names) + 1)) if n not in names)
+    found, left = [], obs
+    day = F.least(F.unix_date(F.to_date(date)), F.lit(horizon))
+    for c in used:
+        width = BASE ** c
+        near = p.where(F.col("class") == c).withColumn("bucket", F.explode(F.sequence(F.floor(F.col("first") / width), F.floor(F.col("last") / width))))
+        held, slot = free(f"__near{c}"), free(f"__slot{c}")
+        by = [F.col(f"__k{i}").alias(f"{slot}k{i}") for i in range(len(keys))]
+        near = near.groupBy(*by, F.col("bucket").alias(f"{slot}b")).agg(
+            F.collect_list(F.struct("start_date", "end_date", "quality_state")).alias(held))
+        same = reduce(lambda a, b: a & b, [F.col(f"{slot}k{i}") == F.col(k) for i, k in enumerate(keys)], F.col(f"{slot}b") == F.floor(day / width))
+        left = left.join(near, same, "left").drop(f"{slot}b", *[f"{slot}k{i}" for i in range(len(keys))])
+        found.append(held)
+    if not found:
+        return obs.withColumn("quality_state", F.lit(None).cast(periods.schema["quality_state"].dataType))
+    empty = F.array().cast(left.schema[found[0]].dataType)
+    inside = F.filter(F.concat(*[F.coalesce(F.col(f), empty) for f in found]), lambda s: (F.col(date) >= s["start_date"]) & (
+        s["end_date"].isNull() | (F.col(date) <= s["end_date"])))
+    state = free("__state")
+    out = left.select(*[F.col(f"`{c}`") for c in obs.columns], F.explode_outer(F.transform(inside, lambda s: F.struct(s["quality_state"].alias("s")))).alias(state))
+    return out.select(*[F.col(f"`{c}`") for c in obs.columns], F.col(f"{state}.s").alias("quality_state"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from hydrolake.functions._base import blank_to_null
 
@@ -17,7 +17,7 @@ from hydrolake.functions._base import blank_to_null
 class Merged(NamedTuple):
     """``rows`` carries ``merge_action``; ``stats`` counts the actions.
 
-    Both are lazy. To use both at scale, write ``rows`` and count from there.
+    Both are lazy and each is a job; :func:`counted` gives both from one.
     """
     rows: DataFrame
     stats: DataFrame
@@ -43,11 +43,23 @@ def _same(cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, pairs, F.lit(True))
 
 
+def action_counts() -> list[Column]:
+    """Counts of the merge actions, for an aggregation or for metrics observed by a write."""
+    return [F.count(F.when(F.col("merge_action") == a, 1)).alias(a) for a in ("added", "updated", "unchanged", "kept")]
+
+
 def _stats(rows: DataFrame) -> DataFrame:
-    def n(action: str) -> Column:
-        return F.count(F.when(F.col("merge_action") == action, 1)).alias(action)
+    return rows.agg(*action_counts())
+
 
-    return rows.agg(n("added"), n("updated"), n("unchanged"), n("kept"))
+def counted(merged: Merged) -> tuple[DataFrame, Observation]:
+    """The rows of a merge and their action counts from one job: the write of the rows observes them.
+
+    Put it last before the write (``observation.get`` then has the counts); behind a shuffle a
+    task that a lost executor makes run again could count twice.
+    """
+    seen = Observation()
+    return merged.rows.observe(seen, *action_counts()), seen
 
 
 def _finish(joined: DataFrame, keys: list[str], rest: list[str], action: Column) -> Merged:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from hydrolake.operators import merge
+from hydrolake.operators import bucketed, merge
 from hydrolake.plans.registry import query, table, text
+from hydrolake.session import scratch_path
 
 _OLD = """SELECT o_orderkey, o_custkey, o_orderstatus, 'run1' AS fetched_at FROM orders WHERE o_orderpriority <> '5-LOW'"""
 _NEW = """SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_orderstatus, 'run2' AS fetched_at
@@ -39,6 +42,36 @@ def upsert_stats(spark, sf):
     return merge.upsert(old, new, ["o_orderkey"], ["fetched_at"]).stats
 
 
+_COUNTS = f"""SELECT count(*) FILTER (merge_action = 'added') AS added, count(*) FILTER (merge_action = 'updated') AS updated,
+ count(*) FILTER (merge_action = 'unchanged') AS unchanged, count(*) FILTER (merge_action = 'kept') AS kept FROM {_MERGED}"""
+
+
+@query(f"SELECT * FROM ({_COUNTS}), (SELECT count(*) AS n_rows FROM {_MERGED})")
+def upsert_observed(spark, sf):
+    """The merged rows are written once; their counts come with that write."""
+    old, new = _sides(spark, sf)
+    rows, seen = merge.counted(merge.upsert(old, new, ["o_orderkey"], ["fetched_at"]))
+    path = scratch_path(spark, "merged")
+    rows.write.parquet(path)
+    n = F.count(F.lit(1)).alias("n_rows")
+    return spark.read.parquet(path).agg(n).select(*[F.lit(c).cast("bigint").alias(a) for a, c in seen.get.items()], "n_rows")
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN {_WINS} THEN nc ELSE oc END AS o_custkey, CASE WHEN {_WINS} THEN ns ELSE os END AS o_orderstatus,
+ CASE WHEN {_WINS} THEN 'run2' ELSE 'run1' END AS fetched_at FROM {_MERGED}""")
+def upsert_bucketed(spark, sf):
+    """The archive lies bucketed by key; only the batch is shuffled."""
+    old, new = _sides(spark, sf)
+    name, folder = f"orders_{uuid.uuid4().hex}", scratch_path(spark, "bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed.create(old, name, ["o_orderkey"], buckets, folder)
+    last = bucketed.merge_tables(spark, name, new, ["o_orderkey"], lambda a, b, k: merge.upsert(a, b, k, ["fetched_at"]), folder=folder)
+    spark.sql(f"DROP VIEW {name}")
+    for v in bucketed.versions(spark, name):  # the catalog forgets them, the files stay
+        spark.sql(f"DROP TABLE {name}_v{v}")
+    return spark.read.parquet(f"{folder}/{name}_v{last}")
+
+
 @query("""SELECT o_orderkey, CASE WHEN wins THEN n_kind ELSE o_kind END AS kind, CASE WHEN wins THEN o_custkey + 1 ELSE o_custkey END AS value, merge_action FROM (
  SELECT o_orderkey, o_custkey, o_kind, n_kind, CASE WHEN o_kind = 'current' AND n_kind <> 'current' THEN 'unchanged' ELSE 'updated' END AS merge_action,
  NOT (o_kind = 'current' AND n_kind <> 'current') AS wins FROM (

@@ -15,11 +15,27 @@ from hydrolake.sources.files import payload_rows, run_log_fields
 def read_snapshots(spark, sf):
     path = scratch_path(spark, "snapshots")
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", text(F.to_date("ts")).alias("day"))
-    events.repartition("day").write.option("header", True).partitionBy("day").csv(path)
+    # some thousand events a file, however many a day has
+    events.repartition("day", F.expr("event_id div 5000")).write.option("header", True).partitionBy("day").csv(path)
     df = sources.read_snapshots(spark, f"{path}/*", "event_id bigint, user_id bigint, event_type string")
     return df.withColumn("snapshot_date", text("snapshot_date"))
 
 
+@query("""SELECT event_id, CASE WHEN day(ts) % 2 = 0 THEN user_id::VARCHAR END AS user_id, concat('"', event_type, '", and', chr(10), 'more') AS note,
+ CASE WHEN day(ts) % 2 = 1 THEN event_type END AS "type", strftime(ts, '%Y-%m-%d') AS snapshot_date FROM events""")
+def read_snapshots_by_header(spark, sf):
+    """Files of odd and of even days have other columns in another order; no schema is given."""
+    path = scratch_path(spark, "headers")
+    events = table(spark, sf, "events").select(
+        "event_id", "user_id", F.col("event_type").alias("type"), text(F.to_date("ts")).alias("day"), (F.dayofmonth("ts") % 2).alias("odd"),
+        F.concat(F.lit('"'), "event_type", F.lit('", and\nmore')).alias("note"))
+    events = events.repartition("day", F.expr("event_id div 5000"))
+    for odd, columns in ((0, ["event_id", "user_id", "note", "day"]), (1, ["note", "type", "event_id", "day"])):
+        events.where(F.col("odd") == odd).select(columns).write.mode("append").option("header", True).option("escape", '"').partitionBy("day").csv(path)
+    df = sources.read_snapshots(spark, f"{path}/*")
+    return df.select(F.col("event_id").cast("bigint").alias("event_id"), "user_id", "note", "type", text("snapshot_date").alias("snapshot_date"))
+
+
 @query("""SELECT user_id, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events
  WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-05' OR event_type = 'click' GROUP BY user_id, strftime(ts, '%Y-%m-%d')""")
 def write_snapshots(spark, sf):
@@ -44,12 +60,12 @@ def payload_shapes(spark, sf):
 @query("""SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY ALL""")
 def read_payloads(spark, sf):
     path = scratch_path(spark, "payloads")
-    # a gzip file per day and event type, its lines one JSON list
+    # gzip files by day and event type, their lines one JSON list of events from a range of 5000 ids
     records = table(spark, sf, "events").select(
-        text(F.to_date("ts")).alias("day"), "event_type", "event_id", F.replace("props", F.lit("}"), F.lit(', "pad": [null]}')).alias("p"))
-    lists = records.groupBy("day", "event_type").agg(
+        text(F.to_date("ts")).alias("day"), "event_type", F.expr("event_id div 5000").alias("chunk"), F.replace("props", F.lit("}"), F.lit(', "pad": [null]}')).alias("p"))
+    lists = records.groupBy("day", "event_type", "chunk").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list("p"), ",\n"), F.lit("]")).alias("value"))
-    lists.repartition("day", "event_type").write.partitionBy("day", "event_type").option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    lists.drop("chunk").write.partitionBy("day", "event_type").option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
     rows = sources.read_payloads(spark, path, "k bigint", ["day"])
     return rows.where("file_name like '%.gz'").groupBy("k", text("day").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -74,7 +90,7 @@ def read_pages(spark, sf):
     path = scratch_path(spark, "pages")
     pages = table(spark, sf, "pages").select(text("page_id").alias("page"), F.col("html").alias("value"))
     # a file per page, as a crawler lands them
-    pages.repartition(8, "page").write.option("maxRecordsPerFile", 1).partitionBy("page").text(path)
+    pages.repartition("page").write.option("maxRecordsPerFile", 1).partitionBy("page").text(path)
     raw = sources.read_pages(spark, f"{path}/*")
     html = F.regexp_replace("html", r"\n\z", "")  # the text writer ends a file with a line feed
     return raw.select(F.regexp_extract("url", r"/page=(\d+)/", 1).cast("bigint").alias("page_id"), F.md5(html).alias("digest"),

@@ -8,6 +8,7 @@ from hydrolake.functions import fixed
 from hydrolake.functions._base import col, extract, let
 from hydrolake.functions.dates import cell_date
 from hydrolake.operators.merge import path_exists, touched_partitions
+from hydrolake.session import scratch_path
 
 REGISTRY_SCHEMA = T.StructType(
     [T.StructField(n, T.ArrayType(T.StringType()) if n == "cron" else
@@ -21,15 +22,16 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | str |
     """Dated CSV snapshots as text columns plus ``snapshot_date`` from the file name.
 
     With a schema columns are matched by place and headers are checked against it.
-    Without one every column stays text, and files may differ in their columns:
-    each distinct header is read on its own and columns meet by name.
+    Without one every column stays text, and files may differ in their columns,
+    which then meet by name; a file is one row while it is read, so give a schema
+    for files too large for that.
     """
-    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-              .option("recursiveFileLookup", recursive))
     if schema:
+        reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                  .option("recursiveFileLookup", recursive))
         df = reader.schema(schema).option("enforceSchema", False).csv(path)
     else:
-        df = _by_header(reader, spark, path, recursive)
+        df = _by_header(spark, path, recursive)
     parts = F.split(F.col("_metadata.file_path" if schema else "__path"), "/")
     # files written by Spark have no dates of their own, their folders do
     name = F.when(F.element_at(parts, -1).startswith("part-"), F.element_at(parts, -2)) \
@@ -40,17 +42,63 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType | str |
     return df.select(*[F.col(f"`{c}`") for c in rest], F.try_to_date(day).alias("snapshot_date"))
 
 
-def _by_header(reader, spark: SparkSession, path: str, recursive: bool) -> DataFrame:
-    """All files, one read per distinct header line; few headers, however many files."""
-    first = (spark.read.option("recursiveFileLookup", recursive).text(path)
-             .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), "value")
-             .where("b = 0").groupBy("f").agg(F.first("value").alias("h")))
-    groups = first.groupBy("h").agg(F.sort_array(F.collect_list("f")).alias("f")).orderBy("h").collect()
-    done = None
-    for g in groups:
-        df = reader.csv(g["f"]).select("*", F.col("_metadata.file_path").alias("__path"))
-        done = df if done is None else done.unionByName(df, allowMissingColumns=True)
-    return reader.csv(path).select("*", F.col("_metadata.file_path").alias("__path")) if done is None else done
+#: A CSV record that may hold quoted line ends, and a field after its comma.
+_RECORD, _FIELD = r'(?:[^"\r\n]++|"[^"]*+")++', r',((?:[^",]++|"[^"]*+")*+)'
+
+
+def csv_fields(record: Column | str) -> Column:
+    """The fields of a CSV record as an array: quotes undone, empty fields null, quoted empty ones ''."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), col(record)), F.lit(_FIELD), F.lit(1))
+
+    def plain(f: Column) -> Column:
+        inner = F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+        return F.when(f.startswith('"') & f.endswith('"') & (F.length(f) > 1), inner).when(f != "", f)
+
+    return F.transform(raw, plain)
+
+
+def csv_rows(text: Column | str) -> Column:
+    """A whole CSV file as an array of ``(header, fields)``, one per record behind the first.
+
+    Blank lines are no records; a file with a header alone gives one row with null fields. Unnamed
+    columns are called by their place, repeated names get their place added.
+    """
+    body = F.regexp_replace(col(text), r"^\ufeff", "")
+    records = F.regexp_extract_all(body, F.lit(_RECORD), F.lit(0))
+
+    def named(header: Column) -> Column:
+        known = F.transform(header, lambda h, i: F.coalesce(h, F.concat(F.lit("_c"), i)))
+        return let(known, lambda names: F.transform(names, lambda n, i: F.when(
+            F.size(F.filter(names, lambda m: F.lower(m) == F.lower(n))) > 1, F.concat(n, i)).otherwise(n)))
+
+    def rows(r: Column) -> Column:
+        def with_header(header: Column) -> Column:
+            behind = F.transform(F.slice(r, 2, F.greatest(F.size(r) - 1, F.lit(0))), lambda x: F.struct(
+                header.alias("header"), csv_fields(x).alias("fields")))
+            alone = F.array(F.struct(header.alias("header"), F.lit(None).cast("array<string>").alias("fields")))
+            return F.when(F.size(r) > 1, behind).otherwise(alone)
+
+        return F.when(F.size(r) > 0, let(named(csv_fields(F.get(r, F.lit(0)))), with_header))
+
+    return let(records, rows)
+
+
+def _by_header(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+    """Every record under its own file's header; columns of all files meet by name.
+
+    Each file is read once, as one row, and its records carry its header along, so neither paths
+    nor records meet on the driver or in a shuffle. Records are written to the shared folder; the
+    distinct headers, read from there, name the columns.
+    """
+    whole = spark.read.option("recursiveFileLookup", recursive).text(path, wholetext=True)
+    records = whole.select(F.col("_metadata.file_path").alias("path"), F.inline(csv_rows("value")))
+    held = scratch_path(spark, "snapshots")
+    records.write.parquet(held)
+    records = spark.read.schema(records.schema).parquet(held)
+    headers = sorted(r.header for r in records.select("header").distinct().collect())
+    names = list(dict.fromkeys(n for h in headers for n in h))
+    return records.where("fields IS NOT NULL").select(
+        *[F.get("fields", F.array_position("header", F.lit(n)).cast("int") - 1).alias(n) for n in names], F.col("path").alias("__path"))
 
 
 def write_snapshots(df: DataFrame, path: str, date_col: str = "date",

@@ -1,7 +1,7 @@
 """Structured Streaming counterparts of polling with overlap."""
 
 from hydrolake.streaming.streams import (
-    daily_stream, dedup_stream, drain, freshness_stream, ingest_stream, upsert_stream,
+    FreshnessMonitor, daily_stream, dedup_stream, drain, freshness_stream, ingest_stream, upsert_stream,
 )
 
 __all__ = [n for n in dir() if not n.startswith("_")]
