@@ -159,12 +159,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
         rows = rows.withColumn(f"m{name}", F.filter(F.transform(f"b{name}", lambda b: matches(b, index)), lambda m: F.size(m) > 0))
         return F.col(f"m{name}")
 
+    def with_words(block: int):
+        return lambda m: F.struct(m["start"].alias("start"), F.lit(block).alias("words"), *[m[x].alias(x) for x in ("template", "label", "share")])
+
     if whole:
         parts = []
         for k, (block, step) in enumerate(sorted({g for g, (_, s) in zip(grids, sets) if s})):
             of_grid = found([i for i, g in enumerate(grids) if g == (block, step)], block, step, str(k))
-            parts.append(F.transform(F.flatten(of_grid), lambda m, n=block: F.struct(
-                m["start"].alias("start"), F.lit(n).alias("words"), *[m[x].alias(x) for x in ("template", "label", "share")])))
+            parts.append(F.transform(F.flatten(of_grid), with_words(block)))
         of_block = found(list(range(len(sets))), BLOCK, STEP, "")
         rows = rows.withColumn("notices", F.concat(*parts))
         rows = rows.withColumn("blocks", F.transform(of_block, lambda m: shown(F.array_max(m), "start", "label", "share")))

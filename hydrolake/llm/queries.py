@@ -154,15 +154,16 @@ def _license_sql() -> str:
     base = " UNION ALL ".join(
         f"SELECT doc_id, i, '{label}' AS label FROM p WHERE " + " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1))
         for label, phrase in licenses.PHRASES.items())
-    tops = ", ".join("('{}', [{}])".format(label, ", ".join(f"'{w}'" for w in sorted(set(t.split())))) for label, t in licenses.TEMPLATES)
+    tops = ", ".join("('{}', [{}], {}, {})".format(label, ", ".join(f"'{w}'" for w in sorted(set(t.split()))), *licenses.grid(t))
+                     for label, t in licenses.TEMPLATES)
     return f"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{words}') AS ws FROM documents),
 p AS (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM w),
 b AS ({base}),
-t(label, top) AS (VALUES {tops}),
-k AS (SELECT doc_id, s, list_distinct(ws[s + 1:s + {licenses.BLOCK}]) AS block FROM (SELECT doc_id, ws, unnest(range(0, len(ws), {licenses.STEP})) AS s FROM w)),
-m AS (SELECT doc_id, s, label, len(list_intersect(top, block)) AS n, n / len(top) AS share FROM k, t WHERE n >= ceil(0.9 * len(top) - 1e-9)),
-f AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY doc_id, s ORDER BY share DESC, n DESC, label DESC) = 1),
+t(label, top, size, step) AS (VALUES {tops}),
+g AS (SELECT DISTINCT size, step FROM t),
+k AS (SELECT doc_id, size, list_distinct(ws[s + 1:s + size]) AS block FROM (SELECT doc_id, ws, size, unnest(range(0, len(ws), step)) AS s FROM w, g)),
+f AS (SELECT doc_id, label, len(list_intersect(top, block)) AS n, n / len(top) AS share FROM k JOIN t USING (size) WHERE n >= ceil(0.9 * len(top) - 1e-9)),
 a AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM b GROUP BY doc_id),
 e AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM f) GROUP BY doc_id),
 h AS (SELECT doc_id, max(share) AS share FROM f GROUP BY doc_id)

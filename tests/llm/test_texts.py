@@ -5,11 +5,13 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from hydrolake.llm import langid, licenses, quality, shards, substrings
+from hydrolake.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.conftest import EDGE
 
 
@@ -51,12 +53,33 @@ def test_dedup_against_brute_force(frame, window, period):
     assert all(sum(b - a for a, b in r.spans) == r.n_removed for r in got)
 
 
+def brute_spans(docs, window):
+    """Per document the numbers of the words that repeated windows cover."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in docs]
+    key = lambda i: float("inf") if i is None else i
+    first = {}
+    for (i, _), w in zip(docs, split):
+        for p in range(len(w) - window + 1):
+            first[tuple(w[p:p + window])] = min(first.get(tuple(w[p:p + window]), float("inf")), key(i))
+    return [{q for p in range(len(w) - window + 1) if first[tuple(w[p:p + window])] < key(i) for q in range(p, p + window)} for (i, _), w in zip(docs, split)]
+
+
+def brute_cut(text, gone):
+    """The text without these words and the white space after each."""
+    if text is None or not gone:
+        return text
+    pieces = re.findall(r"([^\x20\x09-\x0D]+)([\x20\x09-\x0D]*)", text)
+    lead = re.match(r"[\x20\x09-\x0D]*", text)[0]
+    return lead + "".join(w + s for k, (w, s) in enumerate(pieces) if k not in gone)
+
+
 def test_dedup_carries_columns(frame):
     docs = frame(repeating(1) + EDGE)
     cut = substrings.dedup(docs, carry=True)
     assert cut.columns == docs.columns and cut.count() == docs.count()
-    texts = {r.text for r in docs.collect()}
-    assert sum(r.text in texts for r in cut.collect()) > 30  # untouched texts keep their white space
+    want = [brute_cut(t, gone) for (_, t), gone in zip(repeating(1) + EDGE, brute_spans(repeating(1) + EDGE, 13))]
+    assert Counter(r.text for r in cut.collect()) == Counter(want)
+    assert substrings.without(b"line one\nline two  gone\n\nline three", [[4, 5]]) == b"line one\nline two  line three"
     assert substrings.dedup(frame([])).collect() == []
 
 
@@ -113,22 +136,26 @@ def brute_base(t):
     return len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))
 
 
-def brute_blocks(t, least=0.9):
+def brute_notices(t, least=0.9):
+    """All (start, words of the block, template) pairs, each template in blocks by its own length."""
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
     out = set()
-    for s in range(0, len(w), 16):
-        block, best = set(w[s:s + 32]), None
-        for label, text in licenses.TEMPLATES:
-            top = set(text.split())
-            n = len(top & block)
+    for number, (label, text) in enumerate(licenses.TEMPLATES):
+        size, step, top = 32, 16, set(text.split())
+        while size - step + 1 < 1.5 * len(text.split()):
+            size, step = 2 * size, 2 * step
+        for s in range(0, len(w), step):
+            n = len(top & set(w[s:s + size]))
             if n >= least * len(top) - 1e-9:
-                best = max(best or (0, 0, ""), (n / len(top), n, label))
-        if best:
-            out.add((s, best[2]))
+                out.add((s, size, number, n / len(top)))
     return out
 
 
+BOTH = "subject to the terms of the mozilla public license v 2 0 or under the terms of the gnu lesser general public license"
+APACHE = "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+
+
 def test_licenses_against_brute_force(frame):
     rng = random.Random(4)
     pool = " ".join(t for _, t in licenses.TEMPLATES).split() + ["x"] * 60 + ["Café", "İ", "Key"]
@@ -136,28 +163,45 @@ def test_licenses_against_brute_force(frame):
     for i in range(100):
         filler = " ".join(rng.choices(["foo", "bar", "mit", "license", "the"], k=rng.randint(0, 40)))
         docs.append((200 + i, f"{filler} {rng.choice(licenses.TEMPLATES)[1].title()}. Under the\nMIT license; CC-BY-NC under the mit license {filler}"))
-    docs += EDGE
+    docs += [(400 + k, "foo " * k + BOTH) for k in range(0, 32, 5)] + [(500 + k, "foo " * k + APACHE) for k in range(0, 64, 9)] + EDGE
     got = licenses.scan(frame(docs)).collect()
-    want = Counter((i, *brute_base(t), frozenset(brute_blocks(t))) for i, t in docs)
+    want = Counter()
+    for i, t in docs:
+        base, found = brute_base(t), brute_notices(t)
+        labels = ",".join(sorted({*filter(None, base[-1].split(",")), *(licenses.TEMPLATES[n][0] for _, _, n, _ in found)}))
+        want[i, *base, frozenset(found), labels, 1.0 if base[1] else max([x[3] for x in found], default=0.0)] += 1
     assert Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels,
-                    frozenset((b.start, b.label) for b in r.blocks)) for r in got) == want
-    for r in got:
-        assert r.labels == ",".join(sorted({*filter(None, r.base_labels.split(",")), *(b.label for b in r.blocks)})) and 0 <= r.score <= 1
+                    frozenset((m.start, m.words, m.template, m.share) for m in r.notices), r.labels, r.score) for r in got) == want
     assert licenses.scan(frame([])).collect() == []
 
 
 def test_licenses_finds_all_of_a_block(frame):
-    both = "subject to the terms of the mozilla public license v 2 0 or under the terms of the gnu lesser general public license"
-    got = licenses.scan(frame([(k, "foo " * k + both) for k in range(32)])).collect()
+    got = licenses.scan(frame([(k, "foo " * k + BOTH) for k in range(32)])).collect()
     for r in got:
         assert r.labels == "lgpl,mpl-2" and r.score == 1
         assert {m.label for m in r.notices} == {licenses.TEMPLATES[m.template][0] for m in r.notices} == {"lgpl", "mpl-2"}
 
 
 def test_licenses_find_long_notices_at_any_place(frame):
-    apache = "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
-    got = licenses.scan(frame([(k, "foo " * k + apache) for k in range(64)])).collect()
+    got = licenses.scan(frame([(k, "foo " * k + APACHE) for k in range(64)])).collect()
     assert len(got) == 64 and {r.labels for r in got} == {"apache-2"}
+
+
+def test_license_twin_states_the_query(spark, tmp_path):
+    """Two licenses in one block, and a notice longer than half a block, through query and twin."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    texts = ["foo " * k + t for k in range(40) for t in (BOTH, APACHE)] + [t for _, t in EDGE]
+    pq.write_table(pa.table({"doc_id": range(len(texts)), "text": texts}), f"{tmp_path}/documents.parquet")
+    got = QUERIES["op9_license_scan"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    rel = con.execute(ORACLE_SQL["op9_license_scan"])
+    names = [d[0] for d in rel.description]
+    want = rel.fetchall()
+    assert sorted(map(str, got.select(names).collect())) == sorted(str(Row(**dict(zip(names, r)))) for r in want)
+    assert {r[names.index("labels")] for r in want} >= {"lgpl,mpl-2", "apache-2"}
     long = " ".join(f"word{k}" for k in range(100))
     wordy = long.replace("word50", "some other words here word50")
     got = licenses.scan(frame([(k, "foo " * 5 * k + wordy + " bar" * 30) for k in range(64)]), [("long", long), ("none", "")]).collect()
