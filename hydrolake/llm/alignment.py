@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,59 +15,111 @@ from pyspark.sql import DataFrame, Window, functions as F
 from sentencepiece import SentencePieceProcessor
 
 from hydrolake.llm.common import keyed, slices, written
-from hydrolake.llm.encode import encoder
+from hydrolake.llm.encode import _RUN, encoder
 
 #: Text bytes merged together; bytes of one lane of the state vector; pieces kept per worker.
 BATCH, LANE, KEPT = 4 << 20, 8192, 300_000
 
-#: A space of the vocabulary, and a piece that stands for one byte.
+#: A space of the vocabulary, and an entry that stands for one byte.
 _SPACE, _BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
-#: Spaces and what follows them up to the next space.
-_PIECE = re.compile(" +[^ ]+")
 
 
-class Pieces:
-    """Ids of ``" " + text`` by a sentencepiece model, as little-endian unsigned 32-bit numbers.
+class Pair:
+    """Both tokenizers, and the bytes of every entry of both vocabularies.
 
-    Where no entry of the vocabulary holds a space behind another character, merges never cross
-    into a space, so the ids of a text are those of its pieces one after another; each piece is
-    merged once per worker. Other texts and vocabularies are encoded whole.
+    ``encode`` gives the ids that each has for whole texts with a space before them. Where no entry
+    of the sentencepiece vocabulary holds a space behind another character, its merges never cross
+    into a space, as those of the byte-level side never do (see ``encode.py``); so the ids of a text
+    are those of its pieces from space to space, each encoded once per worker, all new ones of a
+    batch in one call. Texts with a space beside other white space, or one at the end, are encoded
+    whole, and so are all if the vocabulary is another kind.
     """
 
-    def __init__(self, path: str):
-        self.model = SentencePieceProcessor(model_file=path)
-        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace(_SPACE, " ").encode() for p in names]
-        self.apart = not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in names)
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, num_threads=1), "<u4").tobytes()
-
-    def piece(self, piece: str) -> bytes:
-        if (ids := self.known.get(piece)) is None:
-            ids = self.whole(piece[1:])  # the model adds one space
-            if len(self.known) < KEPT:
-                self.known[piece] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        if not self.apart or not text or text[-1] == " ":
-            return self.whole(text)
-        return b"".join(map(self.piece, _PIECE.findall(" " + text)))
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = encoder(path_a, True), SentencePieceProcessor(model_file=path_b)
+        letter = {c: n for n, c in self.a.letters.items()}
+        shown = [self.a.tok.id_to_token(i) or "" for i in range(self.a.vocab)]
+        bytes_a = [bytes(map(letter.__getitem__, t)) if all(c in letter for c in t) else t.encode() for t in shown]
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace(_SPACE, " ").encode() for p in names]
+        self.len_a, self.len_b = (np.array(list(map(len, x)), np.int64) for x in (bytes_a, bytes_b))
+        #: of each side all bytes in a row, where an entry starts in them, and its length
+        self.spelling = [(np.frombuffer(b"".join(x), np.uint8), np.cumsum(n) - n, n) for x, n in ((bytes_a, self.len_a), (bytes_b, self.len_b))]
+        self.apart = self.a.keeps and not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in names)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        #: decimal text of A ids before a comma and before the end of their side, then of B ids
+        self.size_a, self.size_b = len(shown), len(names)
+        self.decimals = np.array([f"{i}{end}" for end, n in ((",", self.size_a), ("|", self.size_a), (",", self.size_b), (";", self.size_b))
+                                  for i in range(n)], bytes)
+        self.decimals = self.decimals.view(np.uint8).reshape(len(self.decimals), -1)
+
+    def fresh(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of pieces not known yet, which are kept while there is room."""
+        lists = self.b.encode(pieces, num_threads=1)
+        flat, ends = np.fromiter(chain.from_iterable(lists), "<u4").tobytes(), np.cumsum([4 * len(x) for x in lists]).tolist()
+        new = {p: (self.a.chunk(p), flat[s:e]) for p, s, e in zip(pieces, [0, *ends], ends)}
+        if len(self.known) < KEPT:
+            self.known.update(new)
+        return new
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of A and all of B, and how many of each every text has; none where a text is empty
+        or the bytes of one side's ids do not join to a space and the text."""
+        cut = [t.split(" ") if t and self.apart and t[-1] != " " and not _RUN.search(" " + t) else None for t in texts]
+        new = self.fresh(list({p for c in cut if c for p in c} - self.known.keys()))
+        sides: tuple[list[bytes], list[bytes]] = [], []
+        for text, pieces in zip(texts, cut):
+            if pieces:
+                both = [self.known.get(p) or new[p] for p in pieces]
+                ids = [b"".join([x[side] for x in both]) for side in (0, 1)]
+            elif text:
+                ids = self.a.ids(" " + text), np.array(self.b.encode(text, num_threads=1), "<u4").tobytes()
+            else:
+                ids = b"", b""
+            for side, x in zip(sides, ids):
+                side.append(x)
+        want = [b" " + t.encode() if t else b"" for t in texts]
+        counts = [np.array([len(x) // 4 for x in side], np.int64) for side in sides]
+        flat = [np.frombuffer(b"".join(side), "<u4").astype(np.int64) for side in sides]
+        fine = self.spelt(flat[0], counts[0], 0, want) & self.spelt(flat[1], counts[1], 1, want)
+        if not fine.all():
+            flat = [x[np.repeat(fine, n)] for x, n in zip(flat, counts)]
+            counts = [np.where(fine, n, 0) for n in counts]
+        return flat[0], flat[1], counts[0], counts[1]
+
+    def spelt(self, ids: np.ndarray, counts: np.ndarray, side: int, want: list[bytes]) -> np.ndarray:
+        """Of each text, whether the bytes of its ids are these."""
+        table, first, size = self.spelling[side]
+        many = size[ids]
+        place = np.repeat(first[ids] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        got, text = table[place], np.frombuffer(b"".join(want), np.uint8)
+        total = np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(counts)])]
+        wanted = np.array(list(map(len, want)), np.int64)
+        same = np.diff(total) == wanted
+        if same.all():
+            wrong = np.flatnonzero(got != text)
+            same[np.searchsorted(np.cumsum(wanted), wrong, "right")] = False
+        else:
+            ends = np.cumsum(wanted)
+            for d in np.flatnonzero(same):
+                same[d] = np.array_equal(got[total[d]:total[d + 1]], text[ends[d] - wanted[d]:ends[d]])
+        return same
+
+    def groups(self, ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> bytes:
+        """``a1,a2|b1;a3|b2,b3`` of one document."""
+        group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
+        many_a, many_b = np.bincount(group_a), np.bincount(group_b)
+        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        codes[np.arange(len(ids_a)) + (np.cumsum(many_b) - many_b)[group_a]] = ids_a + self.size_a * cut_a
+        codes[np.arange(len(ids_b)) + np.cumsum(many_a)[group_b]] = 2 * self.size_a + ids_b + self.size_b * cut_b
+        shown = self.decimals[codes].ravel()
+        return shown[shown != 0].tobytes()[:-1]
 
 
 @lru_cache(maxsize=1)
-def _sides(path_a: str, path_b: str) -> tuple:
-    """Per worker: both encoders, the bytes and byte lengths of their entries, and the decimal
-    text of each id before a comma and before the end of its side."""
-    a, b = encoder(path_a, True), Pieces(path_b)
-    letter = {c: n for n, c in a.letters.items()}
-    names = [a.tok.id_to_token(i) or "" for i in range(a.vocab)]
-    bytes_a = [bytes(map(letter.__getitem__, t)) if all(c in letter for c in t) else t.encode() for t in names]
-    lengths = [np.array(list(map(len, x)), np.int64) for x in (bytes_a, b.bytes)]
-    texts = [f"{i}{sep}" for sep, n in ((",", len(bytes_a)), ("|", len(bytes_a)), (",", len(b.bytes)), (";", len(b.bytes))) for i in range(n)]
-    return a, b, bytes_a, lengths, texts
+def pair(path_a: str, path_b: str) -> Pair:
+    """One per worker process."""
+    return Pair(path_a, path_b)
 
 
 def _lanes(end_a: np.ndarray, end_b: np.ndarray, ends: np.ndarray, lane: int) -> np.ndarray:
@@ -112,16 +165,6 @@ def merge(end_a: np.ndarray, end_b: np.ndarray, ends: np.ndarray, lane: int = LA
     return join(left), join(right), cut_a, cut_b
 
 
-def _groups_text(ids_a, ids_b, cut_a, cut_b, texts, size_a, size_b) -> str:
-    """``a1,a2|b1;a3|b2,b3`` of one document."""
-    group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
-    many_a, many_b = np.bincount(group_a), np.bincount(group_b)
-    codes = np.empty(len(ids_a) + len(ids_b), np.int64)
-    codes[np.arange(len(ids_a)) + (np.cumsum(many_b) - many_b)[group_a]] = ids_a + size_a * cut_a
-    codes[np.arange(len(ids_b)) + np.cumsum(many_a)[group_b]] = 2 * size_a + ids_b + size_b * cut_b
-    return "".join(map(texts.__getitem__, codes.tolist()))[:-1]
-
-
 ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, "
            "chunk long, kinds array<int>, times array<long>, pairs array<long>")
 
@@ -135,34 +178,30 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False
     occur in it (in ascending order, from -1), ``times`` their links.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, bytes_a, (len_a, len_b), texts = _sides(path_a, path_b)
-        chunk = TaskContext.get().partitionId() << 32
+        both, chunk = pair(path_a, path_b), TaskContext.get().partitionId() << 32
         for part in slices(batches, "text", batch):
             n = part.num_rows
-            some, ids_a, ids_b = [], [], []
-            for d, t in enumerate(part["text"].to_pylist()):
-                if t:
-                    x, y = (np.frombuffer(f(t.decode()), "<u4").astype(np.int64) for f in (lambda s: a.ids(" " + s), b.ids))
-                    whole = b" " + t
-                    if b"".join(map(bytes_a.__getitem__, x.tolist())) == whole == b"".join(map(b.bytes.__getitem__, y.tolist())):
-                        some.append(d)
-                        ids_a.append(x)
-                        ids_b.append(y)
-            some = np.array(some, np.int64)
-            n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (ids_a, ids_b))
-            flat_a, flat_b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids_a, ids_b))
-            end_a, end_b = np.cumsum(len_a[flat_a]), np.cumsum(len_b[flat_b])
+            flat_a, flat_b, all_a, all_b = both.encode([(t or b"").decode() for t in part["text"].to_pylist()])
+            some = np.flatnonzero(all_a)
+            n_a, n_b = all_a[some], all_b[some]
+            end_a, end_b = np.cumsum(both.len_a[flat_a]), np.cumsum(both.len_b[flat_b])
             last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
             left, right, cut_a, cut_b = merge(end_a, end_b, end_a[last_a - 1], lane)
             owner = np.repeat(np.arange(len(some)), n_a)
-            pairs, kind, sums = np.unique((flat_a[left] << 32) | flat_b[right], return_inverse=True, return_counts=True)
+            found = pa.array((flat_a[left] << 32) | flat_b[right]).dictionary_encode()
+            pairs = found.dictionary.to_numpy()
+            order = pairs.argsort()
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            pairs, kind = pairs[order], rank[found.indices.to_numpy()]
+            sums = np.bincount(kind, minlength=len(pairs))
             in_doc, times = np.unique(owner[left] * max(1, len(pairs)) + kind, return_counts=True)
             doc_of, kind = np.divmod(in_doc, max(1, len(pairs)))
             bounds = np.searchsorted(doc_of, np.arange(len(some) + 1))
             step = np.diff(kind, prepend=-1)
             step[bounds[:-1]] = kind[bounds[:-1]] + 1
-            shown = [_groups_text(x, y, cut_a[p - len(x):p], cut_b[q - len(y):q], texts, len(bytes_a), len(b.bytes))
-                     for x, y, p, q in zip(ids_a, ids_b, last_a.tolist(), last_b.tolist())]
+            shown = [both.groups(flat_a[p - m:p], flat_b[q - k:q], cut_a[p - m:p], cut_b[q - k:q])
+                     for p, m, q, k in zip(last_a.tolist(), n_a.tolist(), last_b.tolist(), n_b.tolist())]
             place = np.full(n, -1)
             place[some] = np.arange(len(some))
             kinds_of = np.zeros(n + 1, np.int64)
@@ -177,11 +216,11 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False
             def lists(starts: np.ndarray, values: np.ndarray, kind: pa.DataType, mask: np.ndarray | None = None) -> pa.Array:
                 return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, kind), mask=None if mask is None else pa.array(mask))
 
-            sha = [hashlib.sha256(shown[p].encode()).hexdigest() if p >= 0 else "" for p in place.tolist()]
+            sha = [hashlib.sha256(shown[p]).hexdigest() if p >= 0 else "" for p in place.tolist()]
             yield pa.RecordBatch.from_arrays([
                 pa.concat_arrays([part["doc_id"], pa.nulls(1, pa.int64())]), spread(n_a), spread(n_b),
                 spread(np.bincount(owner[cut_a], minlength=len(some))), spread(np.bincount(owner[left], minlength=len(some))), pa.array(sha + [""]),
-                pa.array([shown[p] if with_groups and p >= 0 else None for p in place.tolist()] + [None], pa.string()),
+                pa.array([shown[p].decode() if with_groups and p >= 0 else None for p in place.tolist()] + [None], pa.string()),
                 pa.array(np.full(n + 1, chunk)), lists(starts, step, pa.int32()),
                 lists(np.append(starts[:-1], len(times) + len(sums)), np.concatenate([times, sums]), pa.int64()),
                 lists(np.append(np.zeros(n + 1), len(pairs)), pairs, pa.int64(), np.arange(n + 1) < n)],

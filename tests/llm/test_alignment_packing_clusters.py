@@ -92,7 +92,7 @@ def brute_alignment(docs):
     """Encoded whole, bytes joined, all token ranges compared within their document."""
     tok, sp = Tokenizer.from_file(BYTES), SentencePieceProcessor(model_file=PIECES)
     tok.encode_special_tokens = True
-    letter = {c: i for i, c in alignment.encoder(BYTES, True).letters.items()}
+    letter = {c: i for i, c in alignment.pair(BYTES, PIECES).a.letters.items()}
     done, links = [], Counter()
     for i, t in docs:
         a = tok.encode(" " + (t or ""), add_special_tokens=False).ids
