@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from hydrolake.session import scratch_path
 
@@ -36,6 +38,22 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                        F.col(text).cast("string").cast("binary").alias("text"))
 
 
+def free(df: DataFrame, stem: str) -> str:
+    """A column name that the table lacks."""
+    names = {c.lower() for c in df.columns}
+    while stem.lower() in names:
+        stem += "_"
+    return stem
+
+
+def nullable(schema: StructType) -> StructType:
+    """The schema with null allowed everywhere, which Python functions return carried columns under."""
+    text = schema.json()
+    for name in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{name}":false', f'"{name}":true')
+    return StructType.fromJson(json.loads(text))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that one holds about ``most`` bytes of a text column (or one row)."""
     for batch in batches:
@@ -45,7 +63,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20)
             yield batch.slice(i, step)
 
 
-
 def bucket(n: int, *cols: Column | str) -> Column:
     """A bucket from 0 to n - 1 by the hash of columns."""
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")

@@ -43,14 +43,14 @@ class Index:
     """BM25 weights of test items by term, each item's sum scaled to one: a passage with all of an
     item's terms scores 1 on it. Postings lie in item order, cut in blocks that keep their maximum."""
 
-    def __init__(self, items: list[tuple], size: int = 5):
-        """items: (id, question, answer), as texts."""
+    def __init__(self, items: list[tuple], size: int = 5, one_text: bool = False):
+        """items: (id, question, answer), as texts; one_text: both are parts of one text."""
         self.items, self.size = [], size
         bags = []
-        for key, question, answer in sorted(items, key=lambda x: (x[0], x[1], x[2])):
+        for key, question, answer in sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2])):
             q, a = words(question.encode()), words(answer.encode())
             if bag := Counter(q if question == answer else q + a):
-                self.items.append((key, q, a))
+                self.items.append((key, q, a, q + a if one_text and question != answer else []))
                 bags.append(bag)
         n, mean = len(bags), sum(b.total() for b in bags) / max(1, len(bags))
         seen = Counter(t for b in bags for t in b)
@@ -108,16 +108,18 @@ class Index:
         if not terms:
             return []
         out, made = [], {}
+
+        def share(side: list[bytes]) -> float:
+            n = min(self.size, len(side))
+            if n not in made:
+                made[n] = shingles(w, n)
+            own = shingles(side, n)
+            return len(own & made[n]) / len(own)
+
         for i, score in self.search(terms, least):
-            key, *sides = self.items[i]
-            shares = []
-            for side in sides:
-                n = min(self.size, len(side))
-                if n not in made:
-                    made[n] = shingles(w, n)
-                own = shingles(side, n)
-                shares.append(len(own & made[n]) / len(own))
-            if min(shares) >= overlap:
+            key, question, answer, whole = self.items[i]
+            shares = share(question), share(answer)
+            if min(shares) >= overlap or whole and share(whole) >= overlap:
                 out.append((key, score, *shares))
         return out
 
@@ -126,13 +128,13 @@ def indexes(items: DataFrame, item_id: str, text: str, question: str | None, ans
     """Indexes of about INDEX_BYTES of item text each; one for usual benchmarks. However large the
     test set is, no item is left out and no task holds more than one index."""
     cols = [F.col(c).cast("string") for c in ((question, answer) if question else (text, text))]
-    rows = items.select(F.col(item_id).cast("long").alias("i"), cols[0].alias("q"), cols[1].alias("a")).where("i IS NOT NULL")
-    size = rows.agg(F.sum(F.octet_length("q") + F.octet_length("a"))).first()[0] or 0
-    n = parts(size, 2 * INDEX_BYTES)
+    rows = items.select(F.col(item_id).cast("long").alias("i"), cols[0].alias("q"), cols[1].alias("a"))
+    size = rows.agg(F.sum(F.octet_length("q") + (F.octet_length("a") if question else F.lit(0)))).first()[0] or 0
+    n = parts(size, INDEX_BYTES)
     for k in range(n):
-        part = rows.where(bucket(n, "i") == k) if n > 1 else rows
+        part = rows.where(bucket(n, "i", "q", "a") == k) if n > 1 else rows
         got = [(r[0], r[1] or "", r[2] or "") for r in part.collect()]
-        yield Index(got if question else [(i, *parted(q)) for i, q, _ in got])
+        yield Index(got) if question else Index([(i, *parted(q)) for i, q, _ in got], one_text=True)
 
 
 LEAKS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -147,10 +149,12 @@ def find(docs: DataFrame, items: DataFrame, least: float = 0.6, overlap: float =
     ``least`` of their own full BM25 score are retrieved, and kept if at least ``overlap`` of
     their question's and of their answer's five-word shingles stand in the document (shorter
     sides: the whole side). Documents are only scanned: nothing is shuffled, and a hot source is
-    as cheap as any. Items without question and answer columns are parted at the last sentence.
+    as cheap as any. Items without question and answer columns are parted at the last sentence, and
+    such an item is also held if ``overlap`` of the shingles of its whole text are: one changed word
+    in a short last sentence does not hide it.
 
-    Null text holds nothing. Null ids stay null. Repeated rows are reported each. Items without
-    words or id are passed over. Empty tables give no rows.
+    Null text holds nothing. Null ids, of documents and of items, stay null. Repeated rows are
+    reported each. Items without words are passed over. Empty tables give no rows.
     """
     def run(index: Index):
         def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +183,11 @@ def leaking(index: Index, text: str = "text", least: float = 0.6, overlap: float
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item."""
+    """The documents that hold no benchmark item, items without id included.
+
+    Null texts hold nothing and stay, and so do repeated rows and null ids. An empty table of
+    documents gives no rows, one of items keeps all. Columns may have any name.
+    """
     for index in indexes(items, "item_id", "text", None, None):
         docs = docs.where(~leaking(index))
     return docs

@@ -9,10 +9,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hydrolake.llm.common import free
+
 #: Bytes of a window; filter widths; filters of each width.
 LENGTH, WIDTHS, FILTERS = 128, (2, 3, 4), 8
-#: Training rows per language and windows of each: the bound of what the driver collects.
-PER_LANGUAGE, PER_TEXT = 600, 3
+#: Training rows per language, windows of each, and languages: the bound of what the driver collects.
+PER_LANGUAGE, PER_TEXT, LANGUAGES = 600, 3, 200
 #: Windows scored at once.
 CHUNK = 512
 
@@ -120,11 +122,12 @@ def predict(net: ByteNet, tables: list, texts: list[bytes]) -> tuple[np.ndarray,
 
 
 def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-          per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT) -> ByteNet | None:
+          per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT, languages: int = LANGUAGES) -> ByteNet | None:
     """A network from the rows where ``learn`` holds and the language is not null.
 
-    Bounded sample: of each language the ``per_language`` ids of smallest hash, of each id one row
-    and of it ``per_text`` windows spread over the text by hash. Rows without id are known by
+    Bounded sample: of the ``languages`` values with most ids (ties: smaller name; the rest, as a
+    dirty column may have, are not learned) each the ``per_language`` ids of smallest hash, of each id
+    one row and of it ``per_text`` windows spread over the text by hash. Rows without id are known by
     their text instead, rows without a byte of text teach nothing. None if there is nothing to
     learn from.
     """
@@ -134,7 +137,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     known = F.when(F.col("i").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("i"))
     rows = rows.withColumn("h", F.shiftrightunsigned(known, 1))
     # of each language some three times the ids wanted, by hash, before any are put in order
-    counts = rows.groupBy("l").agg(F.approx_count_distinct("h").alias("c"))
+    counts = rows.groupBy("l").agg(F.approx_count_distinct("h").alias("c")).orderBy(F.desc("c"), "l").limit(languages)
     near = rows.select("l", "h").join(F.broadcast(counts), "l").where(F.col("h") / 2.0 ** 63 <= 3.0 * per_language / F.col("c"))
     first = Window.partitionBy("l").orderBy("h")
     ids = near.select("l", "h").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("l", "h")
@@ -145,9 +148,9 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     got = one.select("l", F.explode("w").alias("w")).orderBy("l", "w").collect()
     if not got:
         return None
-    languages = sorted({r[0] for r in got})
+    names = sorted({r[0] for r in got})
     x = np.frombuffer(b"".join(bytes(r[1]).lower().ljust(LENGTH) for r in got), np.uint8).reshape(-1, LENGTH)
-    return fit(x, np.array([languages.index(r[0]) for r in got]), languages)
+    return fit(x, np.array([names.index(r[0]) for r in got]), names)
 
 
 def language(net: ByteNet | None, text: str = "text") -> Column:
@@ -175,18 +178,28 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with ``held_out``, ``lang_pred`` and ``score``, by a network learned from its rows
-    that are not held out. Columns of these names in ``docs`` are replaced."""
-    net = train(docs, ~held_out(doc_id), text, lang, doc_id)
-    return docs.withColumn("__l", language(net, text)).withColumn("held_out", held_out(doc_id)).withColumns(
-        {"lang_pred": F.col("__l.lang_pred"), "score": F.col("__l.score")}).drop("__l")
+    that are not held out.
+
+    Columns of these three names in ``docs`` are replaced; any other name may stand beside them.
+    Null texts and texts without a letter are ``und`` with score 0, empty tables give no rows,
+    repeated rows are predicted each, null ids are never held out. Of two languages with the same
+    probability the first by name counts.
+    """
+    net, told = train(docs, ~held_out(doc_id), text, lang, doc_id), free(docs, "told")
+    return docs.withColumn(told, language(net, text)).withColumn("held_out", held_out(doc_id)).withColumns(
+        {"lang_pred": F.col(f"{told}.lang_pred"), "score": F.col(f"{told}.score")}).drop(told)
 
 
 def known_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """Documents whose language is told: not ``und``, mean probability of at least ``least``.
 
-    If no row has a language to learn from, all texts with a letter stay.
+    If no row has a language to learn from, all texts with a letter stay. Null texts and texts
+    without a letter go, repeated rows and null ids are judged each by their text, and columns
+    may have any name. An empty table gives no rows.
     """
     net = train(docs, ~held_out())
     if net is None:
         return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
-    return docs.withColumn("__l", language(net)).where((F.col("__l.lang_pred") != "und") & (F.col("__l.score") >= least)).select(docs.columns)
+    told = free(docs, "told")
+    known = docs.withColumn(told, language(net)).where((F.col(f"{told}.lang_pred") != "und") & (F.col(f"{told}.score") >= least))
+    return known.select(*[F.col(f"`{c}`") for c in docs.columns])

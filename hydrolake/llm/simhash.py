@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from xxhash import xxh64_intdigest
 
-from hydrolake.llm.common import keyed, parts, slices, written
+from hydrolake.llm.common import keyed, nullable, parts, slices, written
 from hydrolake.llm.components import components
 
 #: Distinct fingerprints at home in one shard; sample rows per shard that the tree is built on.
@@ -179,33 +182,57 @@ def links(distinct: DataFrame, bits: int, shard: int = SHARD) -> DataFrame:
     return rows.repartition(leaves, "leaf").groupBy("leaf").applyInArrow(linked, "a long, b long")
 
 
+def grouped(fps: DataFrame, bits: int, shard: int) -> DataFrame:
+    """``(fp, root, component)`` of each distinct fingerprint of rows with an id: the smallest
+    fingerprint, and the smallest id, reachable over links."""
+    distinct = fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first"))
+    distinct = written(distinct, "distinct")
+    roots = components(links(distinct, bits, shard)).withColumnRenamed("node", "fp")
+    least = roots.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("least"))
+    reached = distinct.join(roots, "fp", "left").join(least, "root", "left")
+    return reached.select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("component"))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 3, shard: int = SHARD) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every row: the smallest id reachable over links
     between fingerprints that differ in at most ``bits`` bits.
 
     Copies collapse to one distinct fingerprint by partial aggregation before anything is
-    compared. Null and blank texts share fingerprint zero and are linked like any other. A
-    repeated id is one document with several texts. A null id links nothing and has a null
+    compared. Null and blank texts share fingerprint zero and are linked like any other. Rows that
+    repeat an id are judged each by its own text. A null id links nothing and has a null
     component. An empty table gives no rows.
     """
     fps = written(fingerprints(docs, doc_id, text), "fingerprints")
-    distinct = fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first"))
-    distinct = written(distinct, "distinct")
-    roots = components(links(distinct, bits, shard)).withColumnRenamed("node", "fp")
-    least = roots.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("least"))
-    reached = distinct.join(roots, "fp", "left").join(least, "root", "left")
-    reached = reached.select("fp", F.coalesce("least", "first").alias("component"))
-    return fps.join(reached, "fp", "left").select(
+    return fps.join(grouped(fps, bits, shard), "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id stays.
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 3, shard: int = SHARD) -> DataFrame:
+    """The documents without near copies: of each component one row with its smallest id stays.
 
-    Of rows that share that id the one with the smallest text stays. Rows without an id stay.
+    Rows that repeat an id are judged each by its own text: unlike texts stay, and of those of one
+    component the smallest text. They are chosen by an aggregation, so an id that a third of all
+    rows repeat is no task of its own. Rows without an id stay. Null and blank texts are near
+    copies of each other. An empty table gives no rows. Columns may have any name.
     """
-    kept = classes(docs, doc_id, text).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    one = Window.partitionBy("__kept").orderBy(F.col(text).asc_nulls_first())
-    named = docs.join(kept, F.col(doc_id).cast("long") == F.col("__kept")).withColumn("__row", F.row_number().over(one))
-    return named.where("__row = 1").select(docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))
+    fps = written(fingerprints(docs, doc_id, text), "fingerprints")
+    known = written(fps.where("doc_id IS NOT NULL").join(grouped(fps, bits, shard), "fp"), "known")
+    ids = known.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.col("doc_id") == F.col("component")).alias("stays"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.struct("*").alias("row"))
+    once = rows.join(ids.where("n = 1 AND stays").select("doc_id"), "doc_id", "left_semi").select("row")
+    parts_ = [once, rows.where("doc_id IS NULL").select("row")]
+    if not ids.where("n > 1").isEmpty():
+        again = rows.join(ids.where("n > 1").select("doc_id"), "doc_id", "left_semi")
+        schema = nullable(StructType.fromDDL("doc_id long, fp long, text string").add("row", again.schema["row"].dataType))
+        row_type = to_arrow_schema(schema).field("row").type
+
+        def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, "text"):
+                fp = np.array([fingerprint((t or "").encode()) for t in b["text"].to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp), b["text"], b["row"].cast(row_type)], ["doc_id", "fp", "text", "row"])
+
+        stay = known.where("doc_id = component").select("doc_id", "fp", "root").distinct()
+        again = again.mapInArrow(marked, schema).join(stay, ["doc_id", "fp"])
+        parts_.append(again.groupBy("doc_id", "root").agg(F.min_by("row", F.struct(F.col("text").isNotNull(), "text")).alias("row")).select("row"))
+    return reduce(DataFrame.unionByName, parts_).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

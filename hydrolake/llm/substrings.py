@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 from xxhash import xxh3_64_intdigest
 
-from hydrolake.llm.common import bucket, parts, text_bytes
+from hydrolake.llm.common import bucket, nullable, parts, text_bytes
 
 #: Text bytes of one block of documents; anchors or windows of one bucket that meet in a task.
 BLOCK_BYTES, BUCKET = 4 << 20, 1 << 20
@@ -128,6 +130,13 @@ def _flags(table: pa.Table, buckets: np.ndarray) -> np.ndarray:
     return flags
 
 
+def without(text: bytes, spans: list[list[int]]) -> bytes:
+    """A text without some ranges of its words and the white space after each of these words."""
+    starts = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)] + [len(text)]
+    edges = [0, *(starts[i] for span in spans for i in span), len(text)]
+    return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
 def dedup(docs: DataFrame, window: int = 13, period: int = 7, doc_id: str = "doc_id", text: str = "text",
           carry: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every document with the words left that no repeated window covers.
@@ -135,8 +144,8 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, doc_id: str = "doc
     Words stand between ASCII white space. A window is ``window`` words in a row of one document;
     its words go if the same words also start in a document with a smaller id. Returns
     ``doc_id, n_words, n_removed, kept`` (kept words joined by one space) and ``spans`` (word
-    ranges removed, end exclusive). With ``carry`` it returns the columns of ``docs``, the text
-    cut where words went and otherwise unchanged.
+    ranges removed, end exclusive). With ``carry`` it returns the columns of ``docs``; a removed word
+    takes the white space after it along, and all other bytes of the text stay as they are.
 
     1. *Anchors.* Each document hashes runs of ``window - period + 1`` words, only at positions
        of a difference cover modulo ``period``. Two equal windows share an aligned anchor, wherever
@@ -225,15 +234,15 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, doc_id: str = "doc
                 spans.append([])
             kept.append(b" ".join(words))
         out = {"doc_id": table["doc_id"], "n_words": pa.array(block.sizes), "n_removed": pa.array(removed.astype(np.int64)),
-               "kept": pa.array(kept, pa.binary()), "spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "rest": table["rest"]}
+               "kept": pa.array(kept, pa.binary()), "spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))),
+               "rest": table["rest"].cast(empty.schema.field("rest").type)}
         if carry:
-            texts = [t if not lost else k for t, k, lost in zip(table["text"].to_pylist(), kept, removed)]
-            out["kept"] = pa.array(texts, pa.binary())
+            out["kept"] = pa.array([without(t, gone) if gone else t for t, gone in zip(table["text"].to_pylist(), spans)], pa.binary())
         return pa.table(out)
 
-    kinds = rows.schema["rest"].dataType.simpleString()
-    schema = f"doc_id long, n_words long, n_removed long, kept binary, spans array<array<long>>, rest {kinds}"
-    empty = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
+    schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept binary, spans array<array<long>>")
+    schema = nullable(schema.add("rest", rows.schema["rest"].dataType))
+    empty = to_arrow_schema(schema).empty_table()
     by_block = rows.groupBy("block")
     sent = by_block.applyInArrow(send_anchors, "bucket int, block int, p0 binary")
     bits = "block int, bucket int, bits binary"

@@ -1,14 +1,16 @@
 """The stages against plain Python on a small table; the queries against SQL where it exists."""
 
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from hydrolake.llm import decontaminate, langid
 from hydrolake.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.conftest import EDGE
 from tests.llm.test_search import brute_leaks, brute_near, plain_fingerprint
-from tests.llm.test_texts import brute_dedup
+from tests.llm.test_texts import brute_cut, brute_spans
 from tests.oracle import connect
 
 SF = "/root/testdata/sf0.001"
@@ -46,10 +48,10 @@ def test_stages(spark, tmp_path):
             root = brute_near(np.array([plain_fingerprint(r.text) for r in rows], np.uint64), 3)
             assert {r.doc_id for r in after} == {rows[k].doc_id for k in set(root)}
         elif name == "repeated_passages":
-            want = {i: (t, lost) for i, _, lost, t in brute_dedup([(r.doc_id, r.text) for r in before], 13)}
-            old = {r.doc_id: r.text for r in before}
+            old = [(r.doc_id, r.text) for r in before]
+            want = {i: brute_cut(t, gone) for (i, t), gone in zip(old, brute_spans(old, 13))}
             assert len(after) == len(before)
-            assert all(r.text == (want[r.doc_id][0] if want[r.doc_id][1] else old[r.doc_id]) and r.n_chars == len(r.text) for r in after)
+            assert all(r.text == want[r.doc_id] and r.n_chars == len(r.text) for r in after)
         elif name == "leaks":
             items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
             found = brute_leaks([(r.doc_id, r.text) for r in before], items, 0.6, 0.8)
@@ -63,11 +65,17 @@ def test_stages(spark, tmp_path):
 def test_stages_on_edges(spark, frame):
     import corpus_pipeline as c
 
-    docs = frame(EDGE)
-    for rows in (docs, docs.where("false")):
-        for name, stage in c.STAGES:
-            got = stage(spark, rows, SF)
-            assert name == "packed" or got.columns == docs.columns
-            got.collect()
+    docs = frame(EDGE).withColumns({n: F.lit(n) for n in ("told", "__l", "__kept", "__row", "row", "held_out", "lang_pred", "kept", "spans", "root", "two words")})
+    ids = lambda df: Counter(r.doc_id for r in df.select("doc_id").collect())
+    want = {"language": Counter([1, 5, 5, 6, 6, None, 7, 8]), "near_copies": Counter([1, 2, 6, 6, 7, 8, 9, None, None]),
+            "repeated_passages": Counter(i for i, _ in EDGE), "leaks": Counter(i for i, _ in EDGE), "packed": None}
+    for name, stage in c.STAGES:
+        got = stage(spark, docs, SF)
+        if name == "packed":
+            assert set(ids(got)) == {i for i, _ in EDGE}
+        else:
+            assert got.columns == docs.columns and ids(got) == want[name], (name, ids(got))
+            assert all(r.told == "told" and r.row == "row" and r.lang_pred == "lang_pred" for r in got.collect())
+        assert stage(spark, docs.where("false"), SF).collect() == []
     assert langid.known_language(docs.where("doc_id in (2, 3, 4)")).count() == 0
     assert re.fullmatch(r"\w+", c.STAGES[0][0]) and decontaminate.words(None) == []

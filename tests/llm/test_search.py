@@ -1,5 +1,6 @@
 """Top-k, decontamination, SimHash: brute force and edge cases."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -43,24 +44,26 @@ def test_top_k_of_nothing(spark):
 
 
 def brute_leaks(docs, items, least, overlap):
-    index = decontaminate.Index([(i, *decontaminate.parted(t)) for i, t in items if i is not None and t])
-    weight = {}
-    for t, blocks in index.postings.items():
-        for found in blocks.values():
-            for i, w in found:
-                weight[i, t] = w
+    """BM25 of every document against every item, from the formula; then all shingles compared."""
+    split = lambda t: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", "".join(c if c.isascii() and c.isupper() is False else c.lower() for c in (t or "")))
+    known = []
+    for key, text in items:
+        m = re.match(r"(.*[.!?。！？])\s+(\S.*)", (text or "").strip(), re.S)
+        sides = [split(m[1]), split(m[2])] if m and split(m[1]) and split(m[2]) else [split(text)] * 2
+        if split(text):
+            known.append((key, split(text), sides, bool(m) and sides[0] != sides[1]))
+    n, mean = len(known), sum(len(w) for _, w, *_ in known) / max(1, len(known))
+    seen = Counter(t for _, w, *_ in known for t in set(w))
+    idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in seen.items()}
+    runs = lambda w, size: {tuple(w[k:k + size]) for k in range(len(w) - size + 1)}
     out = set()
     for d, text in docs:
-        w = decontaminate.words((text or "").encode())
-        for i, (key, *sides) in enumerate(index.items):
-            score = sum(weight.get((i, t), 0) for t in set(w))
-            if score >= least - 1e-9:
-                shares = []
-                for s in sides:
-                    n = min(5, len(s))
-                    own = decontaminate.shingles(s, n)
-                    shares.append(len(own & decontaminate.shingles(w, n)) / len(own))
-                if min(shares) >= overlap:
+        w = split(text)
+        for key, own, sides, parted in known:
+            weight = {t: idf[t] * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(own) / mean)) for t, f in Counter(own).items()}
+            if sum(weight[t] for t in weight.keys() & set(w)) >= least * sum(weight.values()) - 1e-9:
+                share = lambda s: len(runs(s, min(5, len(s))) & runs(w, min(5, len(s)))) / len(runs(s, min(5, len(s))))
+                if min(map(share, sides)) >= overlap or parted and share(own) >= overlap:
                     out.add((d, key))
     return out
 
@@ -78,9 +81,12 @@ def test_leaks_against_brute_force(spark, frame):
                 piece[rng.randrange(len(piece))] = word()
             text[rng.randint(0, len(text)):0] = piece
         docs.append((d, " ".join(text).upper() if d % 9 == 0 else " ".join(text)))
-    it = spark.createDataFrame(items + [(None, "no id here at all"), (90, None), (91, " .. ")], "item_id long, text string")
+    items += [(None, "no id here at all"), (90, None), (91, " .. "), (92, " ".join(f"q{k}" for k in range(19)) + ". Paris.")]
+    docs += [(300, "x no id here at all"), (301, items[-1][1].replace("Paris", "London")), (302, items[-1][1].replace("q9", "zz"))]
+    it = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.find(frame(docs + EDGE), it).collect()
-    want = brute_leaks(docs, items, 0.6, 0.8)
+    want = brute_leaks(docs + EDGE, items, 0.6, 0.8)
+    assert {(300, None), (301, 92)} <= want
     assert {(r.doc_id, r.item_id) for r in got} == want and len(want) > 50
     kept = {r.doc_id for r in decontaminate.clean(frame(docs), it).select("doc_id").collect()}
     assert kept == {d for d, _ in docs} - {d for d, _ in want}
@@ -157,7 +163,22 @@ def test_classes_edges(frame):
     docs = frame(EDGE)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert Counter(r.doc_id for r in kept.select("doc_id").collect()) == Counter([1, 2, 6, 7, 8, 9, None, None])
+    assert Counter(r.doc_id for r in kept.select("doc_id").collect()) == Counter([1, 2, 6, 6, 7, 8, 9, None, None])
+
+
+def test_one_row_stays_of_each_component(spark):
+    """Repeated ids of unlike and of near texts, a hot id, columns of any name."""
+    base = " ".join(f"w{k}" for k in range(300))
+    near = base.replace("w299", "other")
+    assert bin(plain_fingerprint(base) ^ plain_fingerprint(near)).count("1") <= 3
+    docs = [(1, base), (1, "quite another text of its own"), (2, near), (3, near), (3, "third of its kind, unlike all"), (3, "third of its kind, unlike all"),
+            (5, "twice under five"), (4, "twice under five"), (None, base)] + [(9, "hot id with one text")] * 500
+    rows = [(i, t, n, "a", "b", "c") for n, (i, t) in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __kept int, __row string, row string, fp string")
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(1, base), (1, "quite another text of its own"), (3, "third of its kind, unlike all"), (4, "twice under five"), (None, base), (9, "hot id with one text")])
 
 
 def test_components_of_a_long_path(spark):

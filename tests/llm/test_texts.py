@@ -185,6 +185,10 @@ def test_licenses_finds_all_of_a_block(frame):
 def test_licenses_find_long_notices_at_any_place(frame):
     got = licenses.scan(frame([(k, "foo " * k + APACHE) for k in range(64)])).collect()
     assert len(got) == 64 and {r.labels for r in got} == {"apache-2"}
+    long = " ".join(f"word{k}" for k in range(100))
+    wordy = long.replace("word50", "some other words here word50")
+    got = licenses.scan(frame([(k, "foo " * 5 * k + wordy + " bar" * 30) for k in range(64)]), [("long", long), ("none", "")]).collect()
+    assert len(got) == 64 and {(r.labels, r.score) for r in got} == {("long", 1.0)}
 
 
 def test_license_twin_states_the_query(spark, tmp_path):
@@ -202,10 +206,6 @@ def test_license_twin_states_the_query(spark, tmp_path):
     want = rel.fetchall()
     assert sorted(map(str, got.select(names).collect())) == sorted(str(Row(**dict(zip(names, r)))) for r in want)
     assert {r[names.index("labels")] for r in want} >= {"lgpl,mpl-2", "apache-2"}
-    long = " ".join(f"word{k}" for k in range(100))
-    wordy = long.replace("word50", "some other words here word50")
-    got = licenses.scan(frame([(k, "foo " * 5 * k + wordy + " bar" * 30) for k in range(64)]), [("long", long), ("none", "")]).collect()
-    assert len(got) == 64 and {(r.labels, r.score) for r in got} == {("long", 1.0)}
 
 
 def test_language(spark):
@@ -253,6 +253,15 @@ def test_language_sample_is_not_crowded_out(spark, monkeypatch):
         assert all(n <= 3 * langid.PER_LANGUAGE and distinct > least for n, distinct in learned(with_ids + [(i, t, "aa")] * 5000))
 
 
+def test_languages_are_bounded(spark):
+    """A dirty column has many values; those with most rows are learned."""
+    rows = [(i, ["ba bo tata bi ", "xyz kry zzk wq "][i % 2] * 9, ["aa", "bb"][i % 2]) for i in range(120)]
+    rows += [(1000 + i, "some other text", f"junk{i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = langid.train(df, ~langid.held_out(), languages=2)
+    assert net.languages == ["aa", "bb"]
+
+
 def test_language_windows_cover_all_bytes():
     net = langid.ByteNet(["a", "b"], {w: np.random.default_rng(w).normal(size=(w, 256, langid.FILTERS)).astype(np.float32) for w in langid.WIDTHS},
                          np.zeros(24, np.float32), np.random.default_rng(1).normal(size=(24, 2)).astype(np.float32), np.zeros(2, np.float32))
