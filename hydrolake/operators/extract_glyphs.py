@@ -80,9 +80,13 @@ def train_glyphs(pairs: DataFrame, run: list[str], encoded: str, truth: str, ord
 
 
 def glyph_maps(maps: DataFrame, run: list[str]) -> DataFrame:
-    """One map per run; its size is bounded by the characters of one font."""
-    entries = F.collect_list(F.struct("glyph", "ch"))
-    return maps.groupBy(*run).agg(F.map_from_entries(entries).alias("glyph_map"))
+    """One map per run as two strings of equal length, bounded by the characters of one font; entries
+    that are not one character each way stay in a map of their own."""
+    single = (F.length("glyph") == 1) & (F.length("ch") == 1)
+    entries = F.array_sort(F.collect_list(F.when(single, F.struct("glyph", "ch"))))
+    return maps.groupBy(*run).agg(
+        F.array_join(entries["glyph"], "").alias("glyphs"), F.array_join(entries["ch"], "").alias("chars"),
+        F.map_from_entries(F.collect_list(F.when(~single, F.struct("glyph", "ch")))).alias("others"))
 
 
 def decode_glyphs(df: DataFrame, maps: DataFrame, run: list[str], cols: list[str],
@@ -90,25 +94,26 @@ def decode_glyphs(df: DataFrame, maps: DataFrame, run: list[str], cols: list[str
     """Decoded columns and, per row, what stayed unresolved.
 
     Blanks inside encoded text disappear, glyphs without an entry stay. Characters
-    of the ``unresolved`` class in the result are counted and listed. The maps are
-    written first: Spark then knows how small they are and need not shuffle the
-    rows by their run, of which there are few.
+    of the ``unresolved`` class in the result are counted and listed. A cell is one
+    ``translate`` with its run's two strings. The maps, which come from an
+    aggregation, are written first: Spark then knows how small they are and need
+    not shuffle the rows by their run, of which there are few.
     """
     path = scratch_path(df.sparkSession, "glyphs")
-    glyph_maps(maps, run).coalesce(1).write.parquet(path)
-    joined = df.join(df.sparkSession.read.parquet(path), run, "left")
-    known = F.coalesce("glyph_map", F.create_map().cast("map<string,string>"))
-    out = joined.withColumn("__m", known)
+    glyph_maps(maps, run).write.parquet(path)
+    out = df.join(df.sparkSession.read.parquet(path), run, "left")
 
     def decode(c: str) -> Column:
         parts = split_tag(c)
-        chars = F.filter(F.split(parts["text"], ""), lambda ch: ~ch.rlike(r"^\s*$"))
-        plain = F.array_join(F.transform(chars, lambda ch: F.coalesce(F.try_element_at("__m", ch), ch)), "")
-        return F.when(parts["font"].isNull(), parts["text"]).otherwise(plain)
+        bare = F.regexp_replace(parts["text"], r"\s+", "")
+        plain = F.call_function("translate", bare, F.coalesce("glyphs", F.lit("")), F.coalesce("chars", F.lit("")))
+        each = F.array_join(F.transform(F.split(bare, ""), lambda ch: F.coalesce(
+            F.try_element_at("others", ch), F.call_function("translate", ch, F.col("glyphs"), F.col("chars")))), "")
+        return F.when(parts["font"].isNull(), parts["text"]).when(F.size("others") > 0, each).otherwise(plain)
 
     for c in cols:
         out = out.withColumn(c, decode(c))
-    left = F.filter(F.split(F.concat_ws("", *cols), ""), lambda ch: ch.rlike(unresolved))
+    left = F.regexp_extract_all(F.concat_ws("", *cols), F.lit(f"({unresolved})"), F.lit(1))
     return (out.withColumn("unresolved_count", F.size(left))
             .withColumn("unresolved_chars", F.array_join(F.array_sort(F.array_distinct(left)), ""))
-            .drop("glyph_map", "__m"))
+            .drop("glyphs", "chars", "others"))

@@ -94,10 +94,30 @@ def full_reference(reference: DataFrame, observed: DataFrame, key: str) -> DataF
             .withColumn("observed", F.coalesce("observed", F.lit(False))))
 
 
+def held_among(held: DataFrame, candidates: DataFrame, on: list[str]) -> DataFrame:
+    """The keys of a large archive that any candidate has, cut down before they are shuffled.
+
+    The candidates' smallest and largest keys (one job, one row) bound the archive's scan as
+    literals, which reach partitions and row groups; the semi join behind them is one that Spark
+    may precede with a Bloom filter of the candidates' keys at run time. Null keys match nothing.
+    """
+    keys = candidates.select(*on)
+    bounds = keys.agg(*[f(F.col(c)) for c in on for f in (F.min, F.max)]).first()
+    if any(b is None for b in bounds):
+        return held.select(*on).where(F.lit(False))
+    inside = reduce(lambda x, y: x & y, [F.col(c).between(F.lit(lo), F.lit(hi)) for c, lo, hi in zip(on, bounds[::2], bounds[1::2])])
+    return held.select(*on).where(inside).join(keys.where(inside), on, "left_semi")
+
+
 def not_yet_held(candidates: DataFrame, held: DataFrame, on: list[str], limit: int | None = None,
-                 order: list[str] | None = None) -> DataFrame:
-    """Candidates not in the archive, optionally the first n of them."""
-    todo = candidates.join(held.select(*on).distinct(), on, "left_anti")
+                 order: list[str] | None = None, large: bool = False) -> DataFrame:
+    """Candidates not in the archive, optionally the first n of them.
+
+    ``large``: the archive is first cut to the candidates' keys (:func:`held_among`), for few
+    candidates against an archive too large to be shuffled for them.
+    """
+    known = held_among(held, candidates, on) if large else held.select(*on)
+    todo = candidates.join(known.distinct(), on, "left_anti")
     return todo if limit is None else cap(todo, limit, order or on)
 
 

@@ -105,6 +105,13 @@ def not_yet_held(spark, sf):
     return joins.not_yet_held(table(spark, sf, "orders").select("o_orderkey"), held, ["o_orderkey"])
 
 
+@query(f"SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT {_HELD_ID} FROM lineitem)")
+def not_yet_held_large(spark, sf):
+    """The archive is cut to the candidates' keys before it is shuffled."""
+    held = table(spark, sf, "lineitem").select(F.expr(_HELD_ID).alias("o_orderkey"))
+    return joins.not_yet_held(table(spark, sf, "orders").select("o_orderkey"), held, ["o_orderkey"], large=True)
+
+
 @query(f"SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT {_HELD_ID} FROM lineitem) ORDER BY o_orderkey LIMIT 40")
 def not_yet_held_capped(spark, sf):
     held = table(spark, sf, "lineitem").select(F.expr(_HELD_ID).alias("o_orderkey"))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from hydrolake.operators import quality
 from hydrolake.plans.registry import query, table, text
-from hydrolake.session import local_table
+from hydrolake.session import local_table, scratch_path
+from hydrolake.sources import read_footers
 
 
 @query("""WITH m AS (SELECT concat('R', CASE WHEN c_custkey % 50 = 1 THEN c_custkey - 1 ELSE c_custkey END) AS id, c_custkey AS k FROM customer)
@@ -130,14 +131,26 @@ def freshness(spark, sf):
     return out.select("source_id", "state", "latest_observation", "observation_age_hours", "stale_after_hours", "latest_run_status", "is_problem")
 
 
-@query("""SELECT o_orderstatus, strftime(max(o_orderdate), '%Y-%m-%d') AS latest_date, date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '2002-01-10') AS lag_days,
- date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '2002-01-10') <= 10 AS ok FROM orders GROUP BY ALL""")
+_LAG = """SELECT o_orderstatus, strftime(max(o_orderdate), '%Y-%m-%d') AS latest_date, date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '2002-01-10') AS lag_days,
+ date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '2002-01-10') <= 10 AS ok FROM orders GROUP BY ALL"""
+
+
+@query(_LAG)
 def assert_lag(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderstatus", F.to_date("o_orderdate").alias("d"))
     df = quality.assert_lag(orders, "d", F.lit("2002-01-10").cast("date"), 10, ["o_orderstatus"])
     return df.select("o_orderstatus", text("latest_date").alias("latest_date"), F.col("lag_days").cast("bigint").alias("lag_days"), "ok")
 
 
+@query(_LAG)
+def assert_lag_from_footers(spark, sf):
+    """A table partitioned by source: the newest day of each comes from file footers alone."""
+    path = scratch_path(spark, "by_source")
+    table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", F.to_date("o_orderdate").alias("d")).write.partitionBy("o_orderstatus").parquet(path)
+    df = quality.assert_lag(read_footers(spark, path), "d", F.lit("2002-01-10").cast("date"), 10, ["o_orderstatus"])
+    return df.select("o_orderstatus", text("latest_date").alias("latest_date"), F.col("lag_days").cast("bigint").alias("lag_days"), "ok")
+
+
 @query("""SELECT event_id, CASE WHEN fetched = 0 AND unavailable > 0 THEN 'source_unavailable' WHEN fetched = 0 AND skipped <> expected THEN 'error' WHEN new_items > 0 AND r = 0 THEN 'error'
  WHEN unavailable > 0 THEN 'partial' WHEN failures > 0 THEN 'ok_with_warnings' WHEN new_items = 0 THEN 'no_new' ELSE 'ok' END AS status FROM
  (SELECT event_id, 3 AS expected, event_id % 3 AS fetched, event_id % 4 AS skipped, event_id % 5 // 4 AS unavailable, event_id % 7 AS r, event_id % 2 AS new_items, event_id % 11 // 10 AS failures FROM events)""")

@@ -1,7 +1,7 @@
 """Readers and writers of bronze, silver and gold tables."""
 
 from hydrolake.sources.files import (
-    inventory, read_lookup, read_pages, read_payloads, read_registry, read_run_logs,
+    inventory, read_footers, read_lookup, read_pages, read_payloads, read_registry, read_run_logs,
     read_snapshots, run_log_fields, write_long, write_snapshots,
 )
 

@@ -229,6 +229,23 @@ def write_long(df: DataFrame, path: str, date_col: str = "date") -> None:
      .partitionBy("year").parquet(path))
 
 
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table whose smallest, largest and number of values come from file footers.
+
+    Aggregates of whole columns, or per partition of the table, then read no data pages: A6, Q7 and
+    the newest day of a table that S2 or S8 partitioned. It opens the table with Spark's second
+    parquet reader, the one that aggregates are pushed to, and switches the push-down on.
+    """
+    name, conf = "spark.sql.sources.useV1SourceList", spark.conf
+    before = conf.get(name)
+    conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        conf.set(name, ",".join(s for s in before.split(",") if s != "parquet"))
+        return spark.read.parquet(path)
+    finally:
+        conf.set(name, before)
+
+
 def lookup_rows(df: DataFrame, key: str) -> DataFrame:
     """Trim all text cells and drop rows without an id."""
     text = [c for c, t in df.dtypes if t == "string"]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hydrolake import streaming
+from hydrolake import sources, streaming
 from hydrolake.operators import archive, bucketed, joins, merge
 
 SCHEMA = "id string, date string, value double"
@@ -219,3 +219,37 @@ def test_a_key_with_very_many_periods(spark):
     n = np.searchsorted(i, days, "right") - np.searchsorted(np.sort(end), days, "left")
     assert {r[0]: r[1] for r in got} == {False: int(n.sum()), True: int((n == 0).sum())}
     assert took < 60
+
+
+def test_a_large_archive_is_cut_before_it_is_shuffled(spark, tmp_path):
+    spark.range(200_000).selectExpr("id AS k", "repeat('x', 20) AS pad").write.parquet(f"{tmp_path}/held")
+    spark.range(1000).selectExpr("id * 150 + 7 AS k").write.parquet(f"{tmp_path}/todo")
+    held, todo = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("held", "todo"))
+    odd = held.where("k % 2 = 1")
+    for name, value in (("autoBroadcastJoinThreshold", "-1"), ("optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1")):
+        spark.conf.set(f"spark.sql.{name}", value)
+    try:
+        plan = joins.held_among(held, todo, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan and "<= 149857" in plan and ">= 7" in plan, plan
+        got = joins.not_yet_held(todo, odd, ["k"], large=True)
+        assert sorted(r.k for r in got.collect()) == sorted(r.k for r in joins.not_yet_held(todo, odd, ["k"]).collect()) == [k for k in range(7, 150000, 150) if k % 2 == 0]
+    finally:
+        for name in ("autoBroadcastJoinThreshold", "optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"):
+            spark.conf.unset(f"spark.sql.{name}")
+    assert joins.not_yet_held(todo, odd.where("false"), ["k"], large=True).count() == 1000
+    assert joins.not_yet_held(todo.where("false"), odd, ["k"], large=True).count() == 0
+
+
+def test_footers_answer_newest_days_without_data_pages(spark, tmp_path):
+    from hydrolake.operators import quality, select
+
+    df = spark.range(5000).selectExpr("id % 3 AS source", "date_add(DATE '2026-01-01', int(id % 40)) AS date", "id AS v")
+    df.write.partitionBy("source").parquet(f"{tmp_path}/t")
+    plain, footers = spark.read.parquet(f"{tmp_path}/t"), sources.read_footers(spark, f"{tmp_path}/t")
+    lag = lambda d: quality.assert_lag(d, "date", F.lit("2026-02-20").cast("date"), 10, ["source"])
+    record = lambda d: select.period_of_record(d, ["source"], "date")
+    for query in (lag, record):
+        plan = plan_of(query(footers))
+        assert "PushedAggregation: [" in plan and "MAX(date)" in plan, plan
+        assert sorted(query(footers).collect()) == sorted(query(plain).collect())
+    assert "FileScan parquet" in plan_of(plain)  # other readers are as before

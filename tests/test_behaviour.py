@@ -408,3 +408,30 @@ def test_learned_maps_are_joined_without_shuffling_rows(spark):
     out = extract_glyphs.decode_glyphs(rows, maps, ["run"], ["t"])
     assert {(r.run, r.t) for r in out.collect()} == {(0, "b"), (1, "c")}
     assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_times_are_repaired_by_the_rules_alone(spark):
+    # dashes with a colon, or blanks alone; mixed forms are no times
+    texts = ["03-2608:00", "03 — 26 08：00", "O3-26 O8:00", "03 26 08 00", "03-26 08 00", "03 26 08:00", "03 2608 00", "a 12 34 56 7"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(extract_words.normalize_time("t")).collect()]
+    assert got == ["03-26 08:00"] * 4 + ["03-26 08 00", "03 26 08:00", "03 2608 00", "a 12 34 56 7"]
+    line = spark.createDataFrame([(["B", "12 34", "56:78", "03-26", "08:00", "12.5"],)], "t array<string>")
+    assert line.select(extract_words.repair_tokens("t")).first()[0] == ["B", "12 34", "56:78", "03-26 08:00", "12.5"]
+
+
+def test_long_lists_in_prose(spark):
+    names = {f"DAM {k}": f"D{k}" for k in range(40)}
+    listed = ", ".join(f"Dam {k}" for k in range(39)) + " e Dam 39"
+    shares = ", ".join(f"{k},5%" for k in range(40))
+    text = f"A albufeira de Outra mantém o nivel, as albufeiras de {listed} registam níveis de enchimento de {shares}, respectivamente."
+    assert len(listed) > 300
+    out = extract_text.prose_pairs(spark.createDataFrame([(1, text)], "i int, t string"), "t", ["i"], names).collect()
+    assert {(r.dam, r.value) for r in out} == {(f"D{k}", k + 0.5) for k in range(40)}
+
+
+def test_glyphs_of_several_characters(spark):
+    rows = spark.createDataFrame([(0, "#f1otltaga bc#FontTag"), (1, "#f1otltagabc#FontTag"), (2, "#f1otltagab#FontTag"), (0, "abc")], "run long, t string")
+    maps = spark.createDataFrame([(0, "a", "x"), (0, "b", "㐀"), (1, "a", "long"), (1, "c", "z")], "run long, glyph string, ch string")
+    got = {(r.run, r.t, r.unresolved_count, r.unresolved_chars) for r in extract_glyphs.decode_glyphs(rows, maps, ["run"], ["t"]).collect()}
+    assert got == {(0, "x㐀c", 1, "㐀"), (1, "longbz", 0, ""), (2, "ab", 0, ""), (0, "abc", 0, "")}
