@@ -101,6 +101,15 @@ def publish_merge(spark: SparkSession, path: str, new: DataFrame, keys: list[str
     """
     if partition not in keys:
         raise ValueError(f"{partition} must be one of the keys {keys}")
+    new = new.persist()  # read for its partitions and its rows
+    try:
+        return _publish(spark, path, new, keys, partition, volatile, window_days, keep)
+    finally:
+        new.unpersist()
+
+
+def _publish(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition: str, volatile: list[str] | None,
+             window_days: int | None, keep: int) -> Published:
     known = heads(spark, path)
     held = head(spark, path, known[-1]) if known else {}
     number = known[-1] + 1 if known else 0

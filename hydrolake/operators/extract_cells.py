@@ -26,46 +26,50 @@ def carry_rowspan(rows: DataFrame, doc: list[str], row: str, cells: str, anchor:
     row that no other date has taken yet.
     """
     c = F.col(cells)
-    n = F.size(c)
-    first = F.get(c, F.lit(0))
+    n, first = F.size(c), F.get(c, F.lit(0))
     kind = (F.when((n == parent_width) & (first != "") & (first != heading), "parent")
             .when(n == child_width, "child").when((n == 1) & (first != ""), "date"))
-    df = rows.withColumn("__kind", kind).where("__kind is not null")
-    order = Window.partitionBy(*doc).orderBy(row)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("__block", F.count(F.when(F.col("__kind") == "parent", 1)).over(upto))
-    df = df.where("__block > 0")
-
-    inside = Window.partitionBy(*doc, "__block").orderBy(row)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    is_date = F.col("__kind") == "date"
-    df = df.withColumn("__nth", F.count(F.when(is_date, 1)).over(so_far))
-    df = (df.withColumn("__parent", F.last(F.when(F.col("__kind") == "parent", c), True).over(so_far))
-          .withColumn("__child", F.last(F.when(F.col("__kind") == "child", c), True).over(before))
-          .withColumn("__child_row", F.max(F.when(F.col("__kind") == "child", F.col(row))).over(before))
-          .withColumn("__taken_row", F.max(F.when(is_date & (F.col("__nth") >= 2), F.col(row))).over(before)))
-    from_parent = F.col("__nth") == 1
-    from_child = (F.col("__nth") >= 2) & F.col("__child_row").isNotNull() & (
-        F.col("__taken_row").isNull() | (F.col("__child_row") > F.col("__taken_row")))
-    date = resolve_year(first, anchor, 0, "MMM-d")
+    marked = rows.select(*doc, F.struct(F.col(row).alias("row"), kind.alias("kind"), c.alias("cells")).alias("__r")).where("__r.kind is not null")
+    docs = marked.groupBy(*doc).agg(F.array_sort(F.collect_list("__r")).alias("__rows"))
+    r = F.col("__rows")
+    opens = F.filter(F.sequence(F.lit(0), F.size(r) - 1), lambda i: F.get(r, i)["kind"] == "parent")
+    blocks = let(opens, lambda at: F.transform(at, lambda i, k: F.slice(r, i + 1, F.coalesce(F.get(at, k + 1), F.size(r)) - i)))
+    found = docs.select(*doc, F.inline(F.flatten(F.transform(blocks, lambda b: _dated(b, dict(rows.dtypes)[row])))))
 
     def field(in_parent: int, in_child: int | None) -> Column:
-        child = F.lit(None).cast("string") if in_child is None else F.get("__child", F.lit(in_child))
-        return F.when(from_parent, F.get("__parent", F.lit(in_parent))).otherwise(child)
+        child = F.lit(None).cast("string") if in_child is None else F.get("source", F.lit(in_child))
+        return F.when(F.col("from_parent"), F.get("source", F.lit(in_parent))).otherwise(child)
 
-    return (df.where(is_date & (from_parent | from_child)).withColumn("date", date)
-            .where("date is not null")
-            .select(*doc, row, F.get("__parent", F.lit(0)).alias("dam"), "date",
+    return (found.withColumn("date", resolve_year(F.col("text"), anchor, 0, "MMM-d")).where("date is not null")
+            .select(*doc, F.col("row").alias(row), F.get("parent", F.lit(0)).alias("dam"), "date",
                     field(1, 0).alias("observation_time"), field(2, 1).alias("water_level"),
                     field(4, None).alias("level_change"),
-                    F.get("__parent", F.lit(5)).alias("normal_high_level"),
+                    F.get("parent", F.lit(5)).alias("normal_high_level"),
                     field(6, 2).alias("normal_level_deviation"), field(7, 3).alias("rule_curve"),
                     field(8, 4).alias("rule_curve_deviation"), field(9, 5).alias("gates_open"),
                     field(10, 6).alias("gate_opening_m"), field(11, 7).alias("inflow"),
                     field(12, 8).alias("outflow")))
 
 
+def _dated(block: Column, row_type: str) -> Column:
+    """The dates of one block, a parent's row and all up to the next parent, with the cells each
+    belongs to: the state is how many dates came, and the child row that still waits for one."""
+    parent = F.get(block, F.lit(0))["cells"]
+    out = f"array<struct<row:{row_type},text:string,from_parent:boolean,source:array<string>,parent:array<string>>>"
+    start = F.struct(F.lit(0).alias("dates"), F.lit(None).cast("array<string>").alias("child"), F.array().cast(out).alias("out"))
+
+    def step(state: Column, x: Column) -> Column:
+        is_date, is_first = x["kind"] == "date", state["dates"] == 0
+        source = F.when(is_first, parent).otherwise(state["child"])
+        entry = F.array(F.struct(x["row"].alias("row"), F.get(x["cells"], F.lit(0)).alias("text"), is_first.alias("from_parent"),
+                                 source.alias("source"), parent.alias("parent")))
+        child = F.when(~is_date, x["cells"]).when(is_first, state["child"])
+        return F.struct((state["dates"] + is_date.cast("int")).alias("dates"), child.alias("child"),
+                        F.when(is_date & source.isNotNull(), F.concat(state["out"], entry)).otherwise(state["out"]).alias("out"))
+
+    return F.aggregate(F.slice(block, 2, F.size(block)), start, step, lambda state: state["out"])
+
+
 def segment_blocks(df: DataFrame, keys: list[str], order: list[str], date: str, name: str,
                    slice_by: Column) -> DataFrame:
     """A date that does not increase opens the next reservoir's block.

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hydrolake.functions._base import blank_to_null
 from hydrolake.functions.names import match_key
 from hydrolake.operators.select import cap, dedup_first
+from hydrolake.session import scratch_path
 
 
 def coalesce_feeds(feeds: dict[str, DataFrame], keys: list[str],
@@ -47,6 +48,9 @@ def match_join(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     The report has ``(kind, name)`` with kinds ``unmatched`` (no such name on the
     right), ``missing_at_date`` (no reading) and ``duplicate_station`` (another
     row already gave that station; the first in ``order`` wins).
+
+    The join runs once and its rows, each with its state, are written to the shared folder; rows
+    and report are read from there. The report meets one row per station, however many ask for it.
     """
     right_cols = [c for c in right.columns]
     keyed = right.withColumn("__key", match_key(right_name))
@@ -54,18 +58,16 @@ def match_join(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     left_cols = left.columns
     joined = left.withColumn("__key", match_key(left_name)).join(unique, "__key", "left")
     state = F.when(F.col("__r").isNull(), "unmatched").when(F.col(reading).isNull(), "missing_at_date")
-    joined = joined.withColumn("__state", state)
-    candidates = joined.where("__state is null").select(
-        *left_cols, *[F.col(f"__r.{c}").alias(c) for c in right_cols if c not in left_cols])
-    rows = dedup_first(candidates, [station], [order])
-    duplicates = (candidates.join(rows.select(F.col(station).alias("__s"), F.col(order).alias("__o")),
-                                  (F.col(station) == F.col("__s")) & (F.col(order) == F.col("__o")),
-                                  "left_anti")
-                  .select(F.lit("duplicate_station").alias("kind"), F.col(left_name).alias("name")))
-    report = (joined.where("__state is not null")
-              .select(F.col("__state").alias("kind"), F.col(left_name).alias("name"))
-              .unionByName(duplicates))
-    return rows, report
+    joined = joined.select(*left_cols, *[F.col(f"__r.{c}").alias(c) for c in right_cols if c not in left_cols], state.alias("__state"))
+    path = scratch_path(left.sparkSession, "matched")
+    joined.write.parquet(path)
+    placed = left.sparkSession.read.schema(joined.schema).parquet(path)
+    rows = dedup_first(placed.where("__state is null").drop("__state"), [station], [order])
+    firsts = placed.where("__state is null").groupBy(F.col(station).alias("__s")).agg(F.min(order).alias("__first"))
+    named = placed.select(F.when(F.col("__state").isNull(), F.col(station)).alias("__k"), F.col(order).alias("__o"), "__state", F.col(left_name).alias("name"))
+    later = named.join(firsts, F.col("__k") == F.col("__s"), "left")
+    kind = F.coalesce("__state", F.when(F.col("__o") != F.col("__first"), "duplicate_station"))
+    return rows, later.select(kind.alias("kind"), "name").where("kind is not null")
 
 
 def apply_overrides(df: DataFrame, overrides: DataFrame, key: str, cols: list[str]) -> DataFrame:

@@ -160,11 +160,15 @@ def merge_into_path(spark: SparkSession, path: str, new: DataFrame, keys: list[s
     """
     if partition not in keys:
         raise ValueError(f"{partition} must be one of the keys {keys}")
-    if not path_exists(spark, path):
-        rows = new
-    else:
-        touched = touched_partitions(spark.read.schema(new.schema).parquet(path), new, partition)
-        rows = upsert(touched.select(*new.columns), new, keys, volatile).rows.drop("merge_action")
-    (rows.hint("rebalance", F.col(partition)).sortWithinPartitions(*keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
+    new = new.persist()  # read for its bounds, its partitions and its rows
+    try:
+        if not path_exists(spark, path):
+            rows = new
+        else:
+            touched = touched_partitions(spark.read.schema(new.schema).parquet(path), new, partition)
+            rows = upsert(touched.select(*new.columns), new, keys, volatile).rows.drop("merge_action")
+        (rows.hint("rebalance", F.col(partition)).sortWithinPartitions(*keys)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition).parquet(path))
+    finally:
+        new.unpersist()

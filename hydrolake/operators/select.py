@@ -8,8 +8,9 @@ costs one row per task in the shuffle.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from hydrolake.functions import fixed
 from hydrolake.functions._base import col
@@ -104,6 +105,19 @@ def reject_counts(df: DataFrame, reason: Column | str, keys: list[str] | None =
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def observed_counts(df: DataFrame, reason: Column | str, reasons: Sequence[str], keep: Column | None = None) -> tuple[DataFrame, Observation]:
+    """A5 from the pass that writes: the rows, and counts of known reasons (and ``other``) that the
+    write of these rows observes. ``keep`` drops refused rows after they are counted.
+
+    For rows that are only scanned before the write; behind a shuffle a task that a lost executor
+    makes run again could count twice.
+    """
+    seen, why = Observation(), col(reason)
+    counts = [F.count(F.when(why == r, 1)).alias(r) for r in reasons]
+    out = df.observe(seen, *counts, F.count(F.when(~F.coalesce(why.isin(*reasons), F.lit(False)), 1)).alias("other"))
+    return (out if keep is None else out.where(keep)), seen
+
+
 def period_of_record(df: DataFrame, keys: list[str], date: str) -> DataFrame:
     """First day, last day and number of rows per id."""
     return df.groupBy(*keys).agg(F.min(date).alias("period_start"), F.max(date).alias("period_end"),

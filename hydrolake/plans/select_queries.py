@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hydrolake.operators import ordered, select
 from hydrolake.plans.registry import mean4, query, table, text
+from hydrolake.session import scratch_path
 
 DAY = "strftime(ts, '%Y-%m-%d')"
 
@@ -83,10 +84,27 @@ def complete_day_mean(spark, sf):
 @query("""SELECT CASE WHEN coalesce(event_id % 4 <> 1, true) THEN 'excluded_simulated_or_unknown' WHEN event_id % 7 = 0 THEN 'excluded_malformed' ELSE 'accepted' END AS reason,
  count(*) AS n FROM events GROUP BY ALL""")
 def reject_counts(spark, sf):
-    df = table(spark, sf, "events").select(
-        F.expr("CASE event_id % 4 WHEN 1 THEN false WHEN 2 THEN true END").alias("simulated"), "ts",
+    return select.reject_counts(_points(spark, sf), select.point_reason("simulated", "ts", "value"))
+
+
+def _points(spark, sf):
+    return table(spark, sf, "events").select(
+        "event_id", F.expr("CASE event_id % 4 WHEN 1 THEN false WHEN 2 THEN true END").alias("simulated"), "ts",
         F.expr("CASE WHEN event_id % 7 > 0 THEN value END").alias("value"))
-    return select.reject_counts(df, select.point_reason("simulated", "ts", "value"))
+
+
+@query("""SELECT reason, n, (SELECT count(*) FROM events WHERE event_id % 4 = 1 AND event_id % 7 > 0) AS n_written FROM (
+ SELECT unnest(['accepted', 'excluded_malformed', 'excluded_simulated_or_unknown', 'other']) AS reason,
+ unnest([count(*) FILTER (event_id % 4 = 1 AND event_id % 7 > 0), count(*) FILTER (event_id % 4 = 1 AND event_id % 7 = 0), count(*) FILTER (coalesce(event_id % 4 <> 1, true)), 0]) AS n FROM events)""")
+def reject_counts_observed(spark, sf):
+    """Accepted points are written; the counts of all reasons come with that write."""
+    reason = select.point_reason("simulated", "ts", "value")
+    kept, seen = select.observed_counts(_points(spark, sf), reason, ["excluded_simulated_or_unknown", "excluded_malformed", "accepted"], reason == "accepted")
+    path = scratch_path(spark, "accepted")
+    kept.write.parquet(path)
+    written = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_written"))
+    pairs = F.array(*[F.struct(F.lit(k).alias("reason"), F.lit(n).cast("bigint").alias("n")) for k, n in seen.get.items()])
+    return written.select(F.inline(pairs), "n_written")
 
 
 @query("""SELECT o_custkey, strftime(min(o_orderdate), '%Y-%m-%d') AS period_start, strftime(max(o_orderdate), '%Y-%m-%d') AS period_end,

@@ -219,14 +219,18 @@ def write_long(df: DataFrame, path: str, date_col: str = "date") -> None:
     The other dates of a year stay: a daily run brings one day, not its year. Only
     the years that the batch touches are read and rewritten.
     """
-    spark, new = df.sparkSession, df.withColumn("year", F.year(date_col))
-    if path_exists(spark, path):
-        held = touched_partitions(spark.read.schema(new.schema).parquet(path), new, "year")
-        brought = new.select(F.col(date_col).alias("__d")).distinct()
-        kept = held.join(brought, F.col(date_col).eqNullSafe(F.col("__d")), "left_anti")
-        new = kept.select(new.columns).unionByName(new)
-    (new.hint("rebalance", F.col("year")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year").parquet(path))
+    spark, new = df.sparkSession, df.withColumn("year", F.year(date_col)).persist()  # read for its bounds, years, days and rows
+    try:
+        rows = new
+        if path_exists(spark, path):
+            held = touched_partitions(spark.read.schema(new.schema).parquet(path), new, "year")
+            brought = new.select(F.col(date_col).alias("__d")).distinct()
+            kept = held.join(brought, F.col(date_col).eqNullSafe(F.col("__d")), "left_anti")
+            rows = kept.select(new.columns).unionByName(new)
+        (rows.hint("rebalance", F.col("year")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year").parquet(path))
+    finally:
+        new.unpersist()
 
 
 def read_footers(spark: SparkSession, path: str) -> DataFrame:

@@ -65,14 +65,9 @@ def upsert_stream(df: DataFrame, target: str, keys: list[str], partition: str, o
     batch's number.
     """
     def write(batch: DataFrame, number: int) -> None:
-        # the merge reads the batch more than once: for its partitions and for its rows
-        latest = collapse(batch, keys, order).persist()
-        try:
-            done = publish_merge(batch.sparkSession, target, latest, keys, partition, volatile, window_days)
-            if late is not None and done.late is not None:
-                late(done.late, number)
-        finally:
-            latest.unpersist()
+        done = publish_merge(batch.sparkSession, target, collapse(batch, keys, order), keys, partition, volatile, window_days)
+        if late is not None and done.late is not None:
+            late(done.late, number)
 
     return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -253,3 +253,18 @@ def test_footers_answer_newest_days_without_data_pages(spark, tmp_path):
         assert "PushedAggregation: [" in plan and "MAX(date)" in plan, plan
         assert sorted(query(footers).collect()) == sorted(query(plain).collect())
     assert "FileScan parquet" in plan_of(plain)  # other readers are as before
+
+
+def test_matched_join_runs_once(spark):
+    left = spark.createDataFrame([(1, "Dám A"), (2, "dam a"), (3, "Dam B"), (4, "Dam C"), (5, "nowhere")] + [(k, "Dam H") for k in range(100, 400)], "pos int, l string")
+    right = spark.createDataFrame([("DAM A", "s1", 1.0), ("dam b", "s2", 2.0), ("dam c", "s3", None), ("dam h", "s4", 4.0)], "r string, station string, reading double")
+    rows, report = joins.match_join(left, right, "l", "r", "station", "reading", "pos")
+    assert sorted((r.pos, r.station, r.reading) for r in rows.collect()) == [(1, "s1", 1.0), (3, "s2", 2.0), (100, "s4", 4.0)]
+    got = sorted((r.kind, r.name) for r in report.collect())
+    assert got == sorted([("duplicate_station", "dam a"), ("missing_at_date", "Dam C"), ("unmatched", "nowhere")] + [("duplicate_station", "Dam H")] * 299)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(joins.match_join(left, right, "l", "r", "station", "reading", "pos")[1])
+        assert plan.count("FileScan") == 2 and plan.count("Exchange") <= 3, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

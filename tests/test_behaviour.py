@@ -435,3 +435,32 @@ def test_glyphs_of_several_characters(spark):
     maps = spark.createDataFrame([(0, "a", "x"), (0, "b", "㐀"), (1, "a", "long"), (1, "c", "z")], "run long, glyph string, ch string")
     got = {(r.run, r.t, r.unresolved_count, r.unresolved_chars) for r in extract_glyphs.decode_glyphs(rows, maps, ["run"], ["t"]).collect()}
     assert got == {(0, "x㐀c", 1, "㐀"), (1, "longbz", 0, ""), (2, "ab", 0, ""), (0, "abc", 0, "")}
+
+
+def test_rowspan_blocks_in_order(spark):
+    """Random documents against a plain walk over the rows."""
+    rng = random.Random(11)
+    cells = {"parent": lambda i: [f"D{i}"] + [f"p{i}.{k}" for k in range(1, 13)], "child": lambda i: [f"c{i}.{k}" for k in range(9)],
+             "date": lambda i: [rng.choice(["Apr-23", "Dec-31", "Foo-99"])], "blank": lambda i: [""], "head": lambda i: ["Dam Name"] + [""] * 12}
+    rows, want = [], []
+    for doc in range(150):
+        dam = child = None
+        dates = 0
+        for i in range(rng.randint(0, 25)):
+            kind = rng.choice(["parent", "child", "child", "date", "date", "blank", "head"])
+            c = cells[kind](i)
+            rows.append((doc, i, c))
+            if kind == "parent":
+                dam, child, dates = c, None, 0
+            elif kind == "child":
+                child = c
+            elif kind == "date" and dam:
+                dates += 1
+                source = dam if dates == 1 else child
+                if source and c[0] != "Foo-99":
+                    want.append((doc, i, dam[0], "2026-04-23" if c[0] == "Apr-23" else "2025-12-31", source[2] if dates == 1 else source[1], source[12] if dates == 1 else source[8]))
+                child = child if dates == 1 else None
+    rng.shuffle(rows)
+    out = extract_cells.carry_rowspan(spark.createDataFrame(rows, "doc int, row int, c array<string>"), ["doc"], "row", "c", F.lit("2026-04-30").cast("date"))
+    assert sorted((r.doc, r.row, r.dam, str(r.date), r.water_level, r.outflow) for r in out.collect()) == sorted(want) and len(want) > 100
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
