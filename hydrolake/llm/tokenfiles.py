@@ -127,9 +127,17 @@ class TokenFile:
         return None if number < 0 else self.tokens(number)
 
 
+def _filesystem(uri: str):
+    """File system and path of a folder or file named as Hadoop names it."""
+    for scheme, known in (("s3a://", "s3://"), ("s3n://", "s3://"), ("dbfs:/", "/dbfs/")):
+        if uri.startswith(scheme):
+            uri = known + uri.removeprefix(scheme).lstrip("/")
+    return pyarrow.fs.FileSystem.from_uri(uri)
+
+
 def _put(folder: str, name: str, data: bytes) -> str:
     """Written under a name of this attempt, then moved: a retried or doubled task leaves whole files."""
-    fs, root = pyarrow.fs.FileSystem.from_uri(folder)
+    fs, root = _filesystem(folder)
     fs.create_dir(root, recursive=True)
     path, mine = f"{root}/{name}", f"{root}/.{name}-{TaskContext.get().taskAttemptId()}"
     with fs.open_output_stream(mine) as f:
@@ -139,11 +147,73 @@ def _put(folder: str, name: str, data: bytes) -> str:
 
 
 def _get(path: str) -> bytes:
-    fs, at = pyarrow.fs.FileSystem.from_uri(path)
+    fs, at = _filesystem(path)
     with fs.open_input_stream(at) as f:
         return f.read()
 
 
+class KeyedReader:
+    """Keyed access to one file without reading it: a key takes the header, one displacement, one slot
+    (fingerprint and document number), the document's own key and bounds, and its ids, by place."""
+
+    def __init__(self, path: str):
+        fs, at = _filesystem(path)
+        self.file = fs.open_input_file(at)
+        head = self.file.read_at(48, 0)
+        if head[:8] != MAGIC:
+            raise ValueError("not a token file")
+        version, self.width, self.n, self.total, self.buckets = np.frombuffer(head, "<u8", 5, 8).tolist()
+        if version != VERSION:
+            raise ValueError(f"version {version} is not known")
+        sizes = [4 * self.buckets, 4 * self.n, 4 * self.n, 8 * self.n, self.n, 4 * self.n, 8 * (self.n + 1)]
+        self.displaced, self.prints, self.doc, self.ids, self.known, self.nth, self.starts, self.payload = (
+            48 + np.concatenate([[0], np.cumsum(sizes)])).tolist()
+
+    def _at(self, base: int, kind: str, i: int, n: int = 1) -> np.ndarray:
+        size = np.dtype(kind).itemsize
+        return np.frombuffer(self.file.read_at(n * size, base + i * size), kind)
+
+    def get(self, doc_id: int | None, nth: int = 0) -> np.ndarray | None:
+        """Token ids of a document, or None if the file does not hold it."""
+        if not self.n:
+            return None
+        h = key_hash(np.array([doc_id or 0]), np.array([doc_id is not None]), np.array([nth]))
+        one = PerfectHash(np.zeros(self.buckets, np.uint32), self.n)
+        slot = int(one.slots(h, self._at(self.displaced, "<u4", int(one.bucket(h)[0])))[0])
+        if self._at(self.prints, "<u4", slot)[0] != _mix(h + np.uint64(1)).astype(np.uint32)[0]:
+            return None
+        number = int(self._at(self.doc, "<u4", slot)[0])
+        if (self._at(self.ids, "<i8", number)[0], self._at(self.known, "?", number)[0], self._at(self.nth, "<u4", number)[0]) != (
+                doc_id or 0, doc_id is not None, nth):
+            return None  # the fingerprints agree by chance
+        a, b = self._at(self.starts, "<u8", number, 2).tolist()
+        return self._at(self.payload, f"<u{self.width}", a, b - a).astype("<u4")
+
+    def close(self) -> None:
+        self.file.close()
+
+
+def lookup(files: DataFrame, ids: list[int | None], nth: int = 0) -> list[np.ndarray | None]:
+    """Token ids of some documents of a list of files (``write``), None for those it does not hold.
+
+    One aggregation over the list finds for all ids the file each must lie in, that of the greatest
+    first id not above it; of each file only the places of the key are read. For a handful of ids,
+    which the caller holds anyway. Null asks for rows without id, ``nth`` for one of repeated rows.
+    """
+    if not ids:
+        return []
+    place = F.struct("known", "first", "seq", "path")
+    # a file that starts with rows without id may hold the first ids too
+    wanted = [F.max(F.when(~F.col("known") if i is None else ~F.col("known") | (F.col("first") <= i), place)).alias(f"f{k}") for k, i in enumerate(ids)]
+    out = []
+    for i, at in zip(ids, files.agg(*wanted).first()):
+        reader = KeyedReader(at.path) if at else None
+        out.append(reader.get(i, nth) if reader else None)
+        if reader:
+            reader.close()
+    return out
+
+
 FILES = "path string, known boolean, first long, seq int, n_docs long, n_tokens long"
 
 

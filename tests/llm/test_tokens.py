@@ -52,6 +52,26 @@ def test_token_files_round_trip(frame, tmp_path):
     assert read.get(one.first) is not None and read.get(10**15) is None and read.get(one.first, 99) is None
 
 
+def test_lookup_reads_only_its_places(frame, tmp_path, monkeypatch):
+    docs = EDGE + [(i * 3, f"text number {i} " * (i % 30)) for i in range(20, 400)]
+    files = tokenfiles.write(frame(docs), WORDS, str(tmp_path), file_tokens=500, part_bytes=3000)
+    tok = Tokenizer.from_file(WORDS)
+    monkeypatch.setattr(tokenfiles, "_get", None)  # no file is read whole
+    wanted = [60, 61, 1197, 5, None, 1, 10**9, -5, 8]
+    got = tokenfiles.lookup(files, wanted)
+    for i, ids in zip(wanted, got):
+        texts = [t for d, t in docs if d == i]
+        want = [tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+        assert ids is None if not texts else ids.tolist() in want
+    assert tokenfiles.lookup(files, [5], 1)[0] is not None and tokenfiles.lookup(files, [5], 2) == [None] and tokenfiles.lookup(files, []) == []
+    one = next(f for f in files.collect() if f.n_docs > 3)
+    held, read = tokenfiles.KeyedReader(one.path), []
+    at = held.file
+    held.file = type("Counted", (), {"read_at": lambda self, n, o: (read.append(n), at.read_at(n, o))[1]})()
+    ids = held.get(one.first)
+    assert len(ids) and sum(read) < 64 + 4 * len(ids)
+
+
 def test_token_files_of_nothing(frame, tmp_path):
     files = tokenfiles.write(frame([]), WORDS, str(tmp_path))
     assert files.collect() == [] and tokenfiles.read(files).collect() == []
