@@ -101,6 +101,7 @@ class FreshnessMonitor:
         """Merge landed rows into the state under the batch's number."""
         spark = batch.sparkSession
         before = [k for k in self.states(spark) if k < number]
+        batch = batch.persist()  # read for its runs and for its observations
         runs, days = self.runs_of(batch), self.observations_of(batch)
         if before:
             last = f"{self.seen}/state-{before[-1]}"
@@ -111,6 +112,7 @@ class FreshnessMonitor:
         days = days.groupBy("source_id").agg(F.max("latest_observation").alias("latest_observation"))
         runs.write.mode("overwrite").parquet(f"{self.seen}/state-{number}/runs")
         days.write.mode("overwrite").parquet(f"{self.seen}/state-{number}/days")
+        batch.unpersist()
         for k in before[:-1]:
             delete_path(spark, f"{self.seen}/state-{k}")
 
