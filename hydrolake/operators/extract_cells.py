@@ -145,16 +145,16 @@ def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int
     names_both = F.col("__text").contains("station") & F.col("__text").contains("reservoir")
     if header_rows is not None:
         names_both = (F.col("row_no") < header_rows) & names_both
-    header = F.struct("row_no", header_columns(F.col("cells"), as_of, rules).alias("columns"))
+    columns = let(header_columns(F.col("cells"), as_of, rules), lambda m: F.struct(*[m[n].alias(n) for n, _ in rules]))
+    header = F.struct("row_no", columns.alias("columns"))
     rows = rows.withColumn("__h", F.when(names_both, header))
     first = F.min_by("__h", F.when(names_both, F.col("row_no"))).over(Window.partitionBy(*table))
     rows = rows.withColumn("__header", first).where(
         "row_no > __header.row_no and not __text rlike 'subtotal|grand total'")
-    rows = rows.withColumn("__m", F.map_from_entries("cells"))
 
     def value(label: str) -> Column:
-        text = F.try_element_at("__m", F.col("__header.columns")[label])
-        return F.replace(F.trim(text), F.lit("\n"), F.lit(""))
+        place = F.array_position("cells.col_no", F.col(f"__header.columns.{label}"))
+        return F.replace(F.trim(F.get("cells.text", place.cast("int") - 1)), F.lit("\n"), F.lit(""))
 
     station = r"^([A-Z]\d[A-Z]\d{3})"
     wide = rows.where(value("station_id").rlike(station)).select(

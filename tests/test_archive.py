@@ -93,9 +93,8 @@ def test_bucketed_archive_is_not_shuffled(spark, tmp_path):
         for how in (merge.upsert, lambda a, b, k: merge.upsert_ranked(a, b, k, "kind", {"current": 1}), lambda a, b, k: merge.overlay(a, b, k)):
             out = how(spark.table(name), bucketed.beside(new, f"{name}_v0"), ["k"])
             plan = plan_of(out.rows if isinstance(out, merge.Merged) else out)
-            scan = plan[:plan.index("FileScan")].splitlines()[-8:]
+            # the one exchange is the batch's
             assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "SortMergeJoin" in plan, plan
-            assert scan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for n in (1, 2, 3):
