@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from sentencepiece import SentencePieceProcessor
 
-from hydrolake.llm.common import keyed, slices, written
+from hydrolake.llm.common import CACHES, keyed, slices, written
 from hydrolake.llm.encode import _RUN, encoder
 
 #: Text bytes merged together; bytes of one lane of the state vector; pieces kept per worker.
@@ -122,6 +122,9 @@ def pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
+CACHES.append(pair.cache_clear)
+
+
 def _lanes(end_a: np.ndarray, end_b: np.ndarray, ends: np.ndarray, lane: int) -> np.ndarray:
     """Ends of lanes: those of documents, and in long ones the first end that both sides share at or
     after each multiple of ``lane`` bytes. No link crosses a shared end, so lanes are independent."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +14,17 @@ from pyspark.sql.types import StructType
 from hydrolake.session import scratch_path
 
 
+#: Clears what a module keeps in a worker from task to task.
+CACHES: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Let go of what other operators left in this worker, which Spark hands from stage to stage."""
+    for clear in CACHES:
+        clear()
+    gc.collect()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts lineage, and what is
     expensive is computed once. The files outlive lost executors."""

@@ -15,6 +15,8 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
+from hydrolake.llm.common import CACHES
+
 #: Letters, and the punctuation after them: all of ASCII but the apostrophe, which may start a piece.
 _WORD = "([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)"
 _CORE, _LINES = re.compile(_WORD), re.compile(f"{_WORD}\n{_WORD}")
@@ -113,3 +115,6 @@ class Encoder:
 def encoder(path: str, plain: bool = False) -> Encoder:
     """One per worker process and vocabulary."""
     return Encoder(path, plain)
+
+
+CACHES.append(encoder.cache_clear)

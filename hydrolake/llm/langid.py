@@ -9,14 +9,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hydrolake.llm.common import free
+from hydrolake.llm.common import free, release
 
 #: Bytes of a window; filter widths; filters of each width.
 LENGTH, WIDTHS, FILTERS = 128, (2, 3, 4), 8
 #: Training rows per language, windows of each, and languages: the bound of what the driver collects.
 PER_LANGUAGE, PER_TEXT, LANGUAGES = 600, 3, 200
-#: Windows scored at once.
-CHUNK = 512
+#: Windows scored at once, and bytes of text cut into windows at once.
+CHUNK, STEP = 512, 2 << 20
 
 
 @dataclass
@@ -158,13 +158,17 @@ def language(net: ByteNet | None, text: str = "text") -> Column:
     a letter, and for all texts if nothing was learned. Every byte of a text is read."""
     @F.pandas_udf("lang_pred string, score double")
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release()
         tables = net.tables() if net else []
         for texts in series:
             pred, score = np.full(len(texts), "und", object), np.zeros(len(texts))
-            known = np.flatnonzero(texts.notna().to_numpy())
-            if net and len(known):
-                which, score[known] = predict(net, tables, texts.iloc[known].tolist())
-                pred[known] = np.array(net.languages, object)[which]
+            known = np.flatnonzero(texts.notna().to_numpy()) if net else []
+            # some megabytes of text at a time
+            part = np.cumsum([len(t) for t in texts.iloc[known]]) // STEP if len(known) else np.zeros(0, int)
+            for at in np.split(np.asarray(known, int), np.flatnonzero(np.diff(part)) + 1):
+                if len(at):
+                    which, score[at] = predict(net, tables, texts.iloc[at].tolist())
+                    pred[at] = np.array(net.languages, object)[which]
             yield pd.DataFrame({"lang_pred": pred, "score": score})
 
     whole = F.col(text).cast("string")

@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 from xxhash import xxh3_64_intdigest
 
-from hydrolake.llm.common import bucket, nullable, parts, text_bytes
+from hydrolake.llm.common import CACHES, bucket, nullable, parts, text_bytes
 
 #: Text bytes of one block of documents; anchors or windows of one bucket that meet in a task.
 BLOCK_BYTES, BUCKET = 4 << 20, 1 << 20
@@ -33,6 +33,7 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+CACHES.append(_HASHES.clear)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
