@@ -155,21 +155,32 @@ def reading_at(latest: DataFrame, history: DataFrame, key: str, date: Column,
 BASE, CLASSES = 16, 6
 
 
-def _filed(periods: DataFrame, keys: list[str]) -> tuple[DataFrame, list[int], int]:
-    """Periods with their first and last day as numbers and their class, the classes in use, and the
-    horizon up to which open periods are filed. One job over the periods, which returns one row."""
+def _filed(periods: DataFrame, keys: list[str]) -> tuple[DataFrame, list[int], int | None, int]:
+    """Periods with their first and last day as numbers and their class, the classes in use, the
+    horizon up to which open periods are filed, and the most periods of one key. One job over the
+    periods, which returns one row."""
     first, end = F.unix_date(F.to_date("start_date")), F.unix_date(F.to_date("end_date"))
     p = periods.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "start_date", "end_date", "quality_state",
                        first.alias("first"), end.alias("last")).where("first IS NOT NULL AND (end_date IS NULL OR first <= last)")
-    horizon = p.agg(F.max(F.greatest("first", "last"))).first()[0]
+
+    def class_of(days: Column) -> Column:
+        return F.lit(CLASSES) - sum(F.when(days <= BASE ** (c + 1), 1).otherwise(0) for c in range(CLASSES))
+
+    open_first = F.when(F.col("last").isNull(), F.col("first"))
+    each = p.groupBy(*[f"__k{i}" for i in range(len(keys))]).agg(
+        F.count("*").alias("n"), F.max(F.greatest("first", "last")).alias("h"), F.min(open_first).alias("lo"), F.max(open_first).alias("hi"),
+        *[F.max(class_of(F.col("last") - F.col("first") + 1) == c).alias(f"c{c}") for c in range(CLASSES + 1)])
+    found = each.agg(F.max("n"), F.max("h"), F.min("lo"), F.max("hi"), *[F.max(f"c{c}") for c in range(CLASSES + 1)]).first()
+    most, horizon, lo, hi = found[:4]
+    used = {c for c, there in enumerate(found[4:]) if there}
+    if lo is not None:  # open periods last from their first day to the horizon
+        plain = lambda days: sum(days > BASE ** (c + 1) for c in range(CLASSES))
+        used |= set(range(plain(horizon - hi + 1), plain(horizon - lo + 1) + 1))
     p = p.withColumn("last", F.coalesce("last", F.lit(horizon)))
-    days = F.col("last") - F.col("first") + 1
-    p = p.withColumn("class", F.lit(CLASSES) - sum(F.when(days <= BASE ** (c + 1), 1).otherwise(0) for c in range(CLASSES)))
-    used = sorted(r[0] for r in p.select("class").distinct().collect())
-    return p, used, horizon
+    return p.withColumn("class", class_of(F.col("last") - F.col("first") + 1)), sorted(used), horizon, most or 0
 
 
-def attach_quality(obs: DataFrame, periods: DataFrame, keys: list[str], date: str) -> DataFrame:
+def attach_quality(obs: DataFrame, periods: DataFrame, keys: list[str], date: str, few: int = 16) -> DataFrame:
     """Quality state of the period a reading falls in; open periods have no end.
 
     An interval join by time buckets. A period is filed under the few buckets it touches, of a
@@ -177,12 +188,18 @@ def attach_quality(obs: DataFrame, periods: DataFrame, keys: list[str], date: st
     meets at most one row per class of lengths, by equality, and looks in it for the exact
     range. However many periods a key has, a reading sees only those near its date, and the
     readings of a key spread over its buckets. Open periods are filed up to the horizon, the last
-    day any period names; later readings look there.
+    day any period names; later readings look there. Where no key has more than ``few`` periods,
+    which is counted, a reading is simply compared with all of its key's.
 
     A reading in several periods gives a row for each; one in none, without a date or with a null
     key keeps a null state. Periods without a start, or that end before they start, hold nothing.
     """
-    p, used, horizon = _filed(periods, keys)
+    p, used, horizon, most = _filed(periods, keys)
+    if most <= few:
+        same = reduce(lambda a, b: a & b, [F.col(f"__k{i}") == F.col(k) for i, k in enumerate(keys)])
+        inside = (F.col(date) >= F.col("__start")) & (F.col("__end").isNull() | (F.col(date) <= F.col("__end")))
+        p = p.select(*[f"__k{i}" for i in range(len(keys))], F.col("start_date").alias("__start"), F.col("end_date").alias("__end"), "quality_state")
+        return obs.join(p, same & inside, "left").select(*[obs[f"`{c}`"] for c in obs.columns], "quality_state")
     names = set(obs.columns)
     free = lambda stem: next(n for n in (f"{stem}{'_' * i}" for i in range(len(names) + 1)) if n not in names)
     found, left = [], obs

@@ -198,8 +198,8 @@ def test_quality_periods_against_brute_force(spark):
     periods += [("a", None, day(5), "no start"), ("a", day(9), day(5), "backwards"), (None, day(0), None, "no key"), ("b", dt.date(1950, 1, 1), dt.date(1969, 12, 31), "before epoch")]
     obs = [(i, str(rng.choice(list("abc"))), day(d)) for i, d in enumerate(rng.integers(-9000, 20000, 600))] + [(900, None, day(3)), (901, "a", None), (902, "b", dt.date(1955, 5, 5))]
     schema = "k string, start_date date, end_date date, quality_state string"
-    for some in (periods, periods[:1], []):
-        got = joins.attach_quality(spark.createDataFrame(obs, "o int, k string, date date"), spark.createDataFrame(some, schema), ["k"], "date")
+    for some, few in ((periods, 16), (periods, 1000), (periods[:9], 0), (periods[:9], 16), ([], 16), ([], -1)):
+        got = joins.attach_quality(spark.createDataFrame(obs, "o int, k string, date date"), spark.createDataFrame(some, schema), ["k"], "date", few)
         assert got.columns == ["o", "k", "date", "quality_state"]
         assert sorted(((str(r.o), r.quality_state) for r in got.collect()), key=str) == sorted(plain_quality(obs, some), key=str)
 
