@@ -171,17 +171,23 @@ def layout_by_width(cells: DataFrame, table: list[str], kind: str | None = None,
 
     ``kind`` is the column that says which of ``layouts`` a table may use (flow
     bulletin or situation page); without it every table is a flow bulletin.
-    ``layouts``: kind to ``(min_width, max_width or None, col_no, variable)``; the
-    few entries are unnested per table and meet the cells in an equi-join.
+    ``layouts``: kind to ``(min_width, max_width or None, col_no, variable)``.
+
+    The width is a window over the table's own cells, which are shuffled once; a join would let
+    Spark broadcast one side by the size of what the cells were unnested from.
     """
-    of = F.max(kind).alias("__kind") if kind else F.lit(next(iter(layouts))).alias("__kind")
-    widths = cells.where("row_no = 0").groupBy(*table).agg((F.max("col_no") + 1).alias("width"), of)
-    entries = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(lo).alias("lo"), F.lit(hi).cast("int").alias("hi"), F.lit(c).alias("col_no"),
-                                 F.lit(v).alias("variable")) for k, entry in layouts.items() for lo, hi, c, v in entry])
-    fitting = F.filter(entries, lambda e: (F.col("__kind") == e["kind"]) & (F.col("width") >= e["lo"]) & (
-        e["hi"].isNull() | (F.col("width") <= e["hi"])))
-    columns = widths.select(*table, "width", F.inline(fitting)).drop("kind", "lo", "hi")
-    return cells.join(columns, [*table, "col_no"])
+    entries = [(k, *e) for k, entry in layouts.items() for e in entry]
+    heads, named = F.col("row_no") == 0, F.col("col_no").isin(*sorted({c for _, _, _, c, _ in entries}))
+    held = cells.where(heads | named).dropna(subset=table)
+    whole = Window.partitionBy(*table)
+    of = F.max(F.when(heads, F.col(kind))).over(whole) if kind else F.lit(next(iter(layouts)))
+    sized = held.withColumns({"width": F.max(F.when(heads, F.col("col_no"))).over(whole) + 1, "__kind": of}).where(named)
+    width = F.col("width")
+    fitting = F.array_compact(F.array(*[F.when(
+        (F.col("__kind") == k) & (width >= lo) & (F.lit(True) if hi is None else width <= hi) & (F.col("col_no") == c), v)
+        for k, lo, hi, c, v in entries]))
+    rest = [c for c in cells.columns if c not in (*table, "col_no")]
+    return sized.select(*table, "col_no", *rest, "width", F.explode(fitting).alias("variable"))
 
 
 def name_word_columns(cells: DataFrame, line: list[str], width: int = 13, min_cells: int = 7) -> DataFrame:

@@ -464,3 +464,19 @@ def test_rowspan_blocks_in_order(spark):
     out = extract_cells.carry_rowspan(spark.createDataFrame(rows, "doc int, row int, c array<string>"), ["doc"], "row", "c", F.lit("2026-04-30").cast("date"))
     assert sorted((r.doc, r.row, r.dam, str(r.date), r.water_level, r.outflow) for r in out.collect()) == sorted(want) and len(want) > 100
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_layout_by_width_joins_nothing(spark):
+    from hydrolake.plans import QUERIES, load_all
+
+    load_all()
+    plan = QUERIES["layout_by_width"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+    cells = [(1, r, c, f"{r}.{c}", "situation" if r == 0 else None) for r in range(2) for c in range(27)]
+    cells += [(2, 0, c, str(c), "flows") for c in range(13)] + [(2, 1, 13, "wider below", None)]
+    cells += [(None, 0, c, str(c), "flows") for c in range(18)] + [(3, 1, c, str(c), "flows") for c in range(18)] + [(4, 0, c, str(c), "other") for c in range(18)]
+    out = extract_cells.layout_by_width(spark.createDataFrame(cells, "doc int, row_no int, col_no int, text string, kind string"), ["doc"], "kind")
+    assert out.columns == ["doc", "col_no", "row_no", "text", "kind", "width", "variable"]
+    got = {(r.doc, r.row_no, r.col_no, r.width, r.variable) for r in out.collect()}
+    assert {x for x in got if x[0] == 2} == {(2, 0, 1, 13, "inflow_day_mcm"), (2, 0, 8, 13, "outflow_day_mcm"), (2, 1, 13, 13, "storage_p1_mcm")}
+    assert len(got) == 3 + 2 * 6 and {x[0] for x in got} == {1, 2}
