@@ -62,7 +62,8 @@ def train_glyphs(pairs: DataFrame, run: list[str], encoded: str, truth: str, ord
     ``pairs`` holds row-aligned encoded and true texts; only equal lengths vote.
     Equal votes go to the character seen first in ``order``. ``skip`` lists
     glyphs already known (digits); signs and blanks never vote. ``rivals``
-    counts the characters that got a vote.
+    counts the characters that got a vote. With one whole number as ``order`` every character goes
+    straight to a hash table; other orders are sorted before they are tallied.
     """
     enc, tru = F.col(encoded), F.trim(truth)
     usable = pairs.where((F.length(enc) == F.length(tru)) & (enc != ""))
@@ -72,13 +73,22 @@ def train_glyphs(pairs: DataFrame, run: list[str], encoded: str, truth: str, ord
     if skip is not None:
         votes = votes.join(skip.select(*run, "glyph"), [*run, "glyph"], "left_anti")
     tally = votes.groupBy(*run, "glyph", "ch").agg(
-        F.count(F.lit(1)).alias("votes"), F.min(F.struct(*order, "pos")).alias("seen"))
+        F.count(F.lit(1)).alias("votes"), F.min(_sighting(order, dict(votes.dtypes))).alias("seen"))
     # most votes first, then the earliest sighting
     ranked = F.min(F.struct((-F.col("votes")).alias("v"), "seen", "ch"))
     top = tally.groupBy(*run, "glyph").agg(ranked.alias("top"), F.count(F.lit(1)).alias("rivals"))
     return top.select(*run, "glyph", (-F.col("top.v")).alias("votes"), "rivals", F.col("top.ch").alias("ch"))
 
 
+def _sighting(order: list[str], types: dict[str, str]) -> Column:
+    """Where a character stands, as a value whose least is the earliest (null orders first). One whole
+    number and the place make one decimal, since Spark sorts all rows for the least of a struct."""
+    if len(order) > 1 or types[order[0]] not in ("tinyint", "smallint", "int", "bigint"):
+        return F.struct(*order, "pos")
+    whole = F.coalesce(F.col(order[0]).cast("decimal(20,0)"), F.lit(f"-{10**19}").cast("decimal(20,0)"))
+    return whole * F.lit(2**31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+
+
 def glyph_maps(maps: DataFrame, run: list[str]) -> DataFrame:
     """One map per run as two strings of equal length, bounded by the characters of one font; entries
     that are not one character each way stay in a map of their own."""

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -490,3 +491,16 @@ def test_nearest_centre_of_two_as_near_up_to_rounding(spark):
     centres = spark.createDataFrame([(1, left), (1, right)], "page int, centre double")
     got = {r.x: r.col_index for r in extract_words.assign_columns(words, centres, ["page"], "x").collect()}
     assert got == {x: 0, x + 0.001: 1, None: None, float("inf"): 0}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_glyph_votes_are_tallied_without_a_sort(spark, kind):
+    big = 9223372036854775807
+    rows = [(1, -big - 1, "㐁㐂", "bx"), (1, None, "㐁㐂", "ay"), (1, 5, "㐃", "n"), (1, 4, "㐃", "m"), (1, big, "㐄㐄", "pq"), (1, 7, "㐅㐅", "ut"), (1, 7, "㐅", "t")]
+    pairs = spark.createDataFrame(rows, "run int, row bigint, enc string, truth string").withColumn("row", F.col("row").cast(kind))
+    out = extract_glyphs.train_glyphs(pairs, ["run"], "enc", "truth", ["row"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sorted_by_character = re.search(r"SortAggregate\(key=\[run#\w+, glyph#\w+, ch#\w+\]", plan)
+    assert bool(sorted_by_character) == (kind == "string")
+    got = {r.glyph: (r.ch, r.votes, r.rivals) for r in out.collect()}
+    assert got == {"㐁": ("a", 1, 2), "㐂": ("y", 1, 2), "㐃": ("m", 1, 2), "㐄": ("p", 1, 2), "㐅": ("t", 2, 2)}
