@@ -17,8 +17,9 @@ from sentencepiece import SentencePieceProcessor
 from hydrolake.llm.common import CACHES, keyed, slices, written
 from hydrolake.llm.encode import _RUN, encoder
 
-#: Text bytes merged together; bytes of one lane of the state vector; pieces kept per worker.
-BATCH, LANE, KEPT = 4 << 20, 8192, 300_000
+#: Text bytes merged together, whose arrays take about a hundred times as much of a worker for a moment;
+#: bytes of one lane of the state vector; pieces kept per worker.
+BATCH, LANE, KEPT = 2 << 20, 4096, 300_000
 
 #: A space of the vocabulary, and an entry that stands for one byte.
 _SPACE, _BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
@@ -91,7 +92,8 @@ class Pair:
         """Of each text, whether the bytes of its ids are these."""
         table, first, size = self.spelling[side]
         many = size[ids]
-        place = np.repeat(first[ids] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        place = np.repeat(first[ids] - np.cumsum(many) + many, many)
+        place += np.arange(len(place))
         got, text = table[place], np.frombuffer(b"".join(want), np.uint8)
         total = np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(counts)])]
         wanted = np.array(list(map(len, want)), np.int64)
@@ -147,8 +149,8 @@ def merge(end_a: np.ndarray, end_b: np.ndarray, ends: np.ndarray, lane: int = LA
     """
     last = _lanes(end_a, end_b, ends, lane) if len(ends) else ends
     stop = np.searchsorted(end_a, last) + 1
-    i = np.concatenate([[0], stop[:-1]]).astype(np.int64)
-    j = np.concatenate([[0], np.searchsorted(end_b, last)[:-1] + 1]).astype(np.int64)
+    i = np.concatenate([[0], stop[:-1]]).astype(np.int32)
+    j = np.concatenate([[0], np.searchsorted(end_b, last)[:-1] + 1]).astype(np.int32)
     if not len(ends):
         i = j = stop = np.zeros(0, np.int64)
     cut_a, cut_b = np.zeros(len(end_a), bool), np.zeros(len(end_b), bool)

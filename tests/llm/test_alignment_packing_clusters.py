@@ -202,3 +202,20 @@ def test_progressive_search_is_exact_and_saves_work():
     assert (centroids.inverse(centroids.transform(x)) == x).all()
     h = centroids.transform(np.eye(64, dtype=int)).T
     assert (h @ h.T == 64 * np.eye(64)).all() and ((np.diff(h) != 0).sum(1) == np.arange(64)).all()
+
+
+def test_a_batch_of_texts_fits_a_worker():
+    import tracemalloc
+
+    import numpy as np
+
+    from hydrolake.llm import alignment
+
+    n = alignment.BATCH // 4  # tokens of four bytes on one side, of five on the other
+    end_a = np.arange(1, n + 1) * 4
+    end_b = np.append(np.arange(5, 4 * n, 5), 4 * n)
+    tracemalloc.start()
+    left, right, _, _ = alignment.merge(end_a, end_b, end_a[-1:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(left) == len(right) >= n and peak < 24 << 20
