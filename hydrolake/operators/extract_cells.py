@@ -40,7 +40,9 @@ def carry_rowspan(rows: DataFrame, doc: list[str], row: str, cells: str, anchor:
         child = F.lit(None).cast("string") if in_child is None else F.get("source", F.lit(in_child))
         return F.when(F.col("from_parent"), F.get("source", F.lit(in_parent))).otherwise(child)
 
-    return (found.withColumn("date", resolve_year(F.col("text"), anchor, 0, "MMM-d")).where("date is not null")
+    # unnesting a one-element array keeps the filter below from resolving each date a second time
+    dated = found.select("*", F.explode(F.array(resolve_year(F.col("text"), anchor, 0, "MMM-d"))).alias("date"))
+    return (dated.where("date is not null")
             .select(*doc, F.col("row").alias(row), F.get("parent", F.lit(0)).alias("dam"), "date",
                     field(1, 0).alias("observation_time"), field(2, 1).alias("water_level"),
                     field(4, None).alias("level_change"),

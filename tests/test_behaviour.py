@@ -504,3 +504,10 @@ def test_glyph_votes_are_tallied_without_a_sort(spark, kind):
     assert bool(sorted_by_character) == (kind == "string")
     got = {r.glyph: (r.ch, r.votes, r.rivals) for r in out.collect()}
     assert got == {"㐁": ("a", 1, 2), "㐂": ("y", 1, 2), "㐃": ("m", 1, 2), "㐄": ("p", 1, 2), "㐅": ("t", 2, 2)}
+
+
+def test_rowspan_dates_are_resolved_once(spark):
+    rows = spark.createDataFrame([(1, 0, ["x"])], "doc int, row int, c array<string>")
+    out = extract_cells.carry_rowspan(rows, ["doc"], "row", "c", F.lit("2026-04-30").cast("date"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "MMM-d" in line]
