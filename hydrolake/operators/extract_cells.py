@@ -132,39 +132,80 @@ def header_columns(header: Column, as_of: Column, rules: tuple = HEADER_RULES) -
 
 
 def map_header(cells: DataFrame, doc: list[str], as_of: Column, header_rows: int | None = None,
-               rules: tuple = HEADER_RULES) -> DataFrame:
+               rules: tuple = HEADER_RULES, nested: str | None = None) -> DataFrame:
     """Bulletin cells ``(doc, table_no, row_no, col_no, text)`` to one row per station.
 
     The header is the first row that names both station and reservoir (of the
     first ``header_rows``, for sources whose later rows may do so too); it is read
-    once per table. Everything happens inside one document, after a
-    single shuffle by document.
+    once per table. A document's cells are gathered in one shuffle, and all else
+    happens on its own row, without a window or sort of unnested cells; a task holds
+    one document at a time. ``nested``: column of one row per document that has its
+    cells together as an array of the four fields, as landed; then nothing shuffles.
     """
-    table = [*doc, "table_no"]
-    rows = (cells.repartition(*doc).groupBy(*table, "row_no")
-            .agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("cells")))
-    rows = rows.withColumn("__text", F.lower(F.array_join("cells.text", " | ")))
-    names_both = F.col("__text").contains("station") & F.col("__text").contains("reservoir")
-    if header_rows is not None:
-        names_both = (F.col("row_no") < header_rows) & names_both
-    columns = let(header_columns(F.col("cells"), as_of, rules), lambda m: F.struct(*[m[n].alias(n) for n, _ in rules]))
-    header = F.struct("row_no", columns.alias("columns"))
-    rows = rows.withColumn("__h", F.when(names_both, header))
-    first = F.min_by("__h", F.when(names_both, F.col("row_no"))).over(Window.partitionBy(*table))
-    rows = rows.withColumn("__header", first).where(
-        "row_no > __header.row_no and not __text rlike 'subtotal|grand total'")
-
-    def value(label: str) -> Column:
-        place = F.array_position("cells.col_no", F.col(f"__header.columns.{label}"))
-        return F.replace(F.trim(F.get("cells.text", place.cast("int") - 1)), F.lit("\n"), F.lit(""))
-
+    four = F.struct("table_no", "row_no", "col_no", "text")
+    docs = (cells.select(*doc, F.col(nested).alias("__cells")) if nested
+            else cells.groupBy(*doc).agg(F.collect_list(four).alias("__cells")))
     station = r"^([A-Z]\d[A-Z]\d{3})"
-    wide = rows.where(value("station_id").rlike(station)).select(
-        *table, "row_no", *[value(n).alias(n) for n, _ in rules])
-    wide = wide.withColumn("station_id", F.regexp_extract("station_id", station, 1))
-    rest = [c for c in wide.columns if c not in (*doc, "station_id")]
-    first = F.min_by(F.struct(*rest), F.struct("table_no", "row_no")).alias("__r")
-    return wide.groupBy(*doc, "station_id").agg(first).select(*doc, "station_id", "__r.*")
+    ordered = F.sort_array(F.filter("__cells", lambda c: c["row_no"].isNotNull()))
+    rest = [n for n, _ in rules if n != "station_id"]
+
+    def value(row: Column, columns: Column, label: str) -> Column:
+        place = F.array_position(row["col_no"], columns[label])
+        return F.replace(F.trim(F.get(row["text"], place.cast("int") - 1)), F.lit("\n"), F.lit(""))
+
+    def stations(rows: Column) -> Column:
+        return let(_headers(rows, as_of, header_rows, rules), lambda heads: F.array_compact(F.transform(rows, lambda r: below(r, heads))))
+
+    def below(row: Column, heads: Column) -> Column:
+        """The row, its station and its header's columns, if it stands below its table's header."""
+        at, text = F.get(row, F.lit(0)), _row_text(row)
+
+        def found(head: Column) -> Column:
+            name = value(row, head["columns"], "station_id")
+            return F.when((at["row_no"] > head["row_no"]) & ~text.rlike("subtotal|grand total") & name.rlike(station), F.struct(
+                F.regexp_extract(name, station, 1).alias("station_id"), at["table_no"].alias("table_no"), at["row_no"].alias("row_no"),
+                row.alias("__row"), head["columns"].alias("__columns")))
+
+        return let(F.get(F.filter(heads, lambda h: h["table_no"].eqNullSafe(at["table_no"])), F.lit(0)), found)
+
+    def first_of_each(found: Column) -> Column:
+        return F.filter(found, lambda x, i: (i == 0) | (F.get(found, i - 1)["station_id"] != x["station_id"]))
+
+    kept = let(let(let(ordered, _rows), stations), lambda found: let(F.sort_array(found), first_of_each))
+    wide = docs.select(*doc, F.inline(kept))
+    return wide.select(*doc, "station_id", "table_no", "row_no", *[value(F.col("__row"), F.col("__columns"), n).alias(n) for n in rest])
+
+
+def _rows(cells: Column) -> Column:
+    """Ordered cells of a document cut into rows, each an array of its cells."""
+    def opens(c: Column, i: Column) -> Column:
+        before = F.get(cells, i - 1)
+        return (i == 0) | ~c["table_no"].eqNullSafe(before["table_no"]) | (c["row_no"] != before["row_no"])
+
+    starts = F.array_compact(F.transform(cells, lambda c, i: F.when(opens(c, i), i)))
+    return let(starts, lambda at: F.transform(at, lambda i, k: F.slice(cells, i + 1, F.coalesce(F.get(at, k + 1), F.size(cells)) - i)))
+
+
+def _row_text(row: Column) -> Column:
+    return F.lower(F.array_join(row["text"], " | "))
+
+
+def _headers(rows: Column, as_of: Column, header_rows: int | None, rules: tuple) -> Column:
+    """``table_no, row_no, columns`` of each table's header row; tables without one are left out."""
+    def names_both(row: Column) -> Column:
+        both = let(_row_text(row), lambda t: t.contains("station") & t.contains("reservoir"))
+        return both if header_rows is None else (F.get(row, F.lit(0))["row_no"] < header_rows) & both
+
+    def header(row: Column) -> Column:
+        at = F.get(row, F.lit(0))
+        columns = let(header_columns(row, as_of, rules), lambda m: F.struct(*[m[n].alias(n) for n, _ in rules]))
+        return F.struct(at["table_no"].alias("table_no"), at["row_no"].alias("row_no"), columns.alias("columns"))
+
+    def table_of(row: Column) -> Column:
+        return F.get(row, F.lit(0))["table_no"]
+
+    return let(F.filter(rows, names_both), lambda named: F.transform(F.filter(
+        named, lambda r, i: (i == 0) | ~table_of(r).eqNullSafe(table_of(F.get(named, i - 1)))), header))
 
 
 def layout_by_width(cells: DataFrame, table: list[str], kind: str | None = None,

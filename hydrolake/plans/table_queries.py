@@ -60,15 +60,16 @@ def bulletins(spark, sf):
         F.lit("50"), x["l_quantity"].cast("int").cast("string"), F.lit("1"), F.lit("P")))
     rows = F.concat(F.array(F.array(F.lit("Weekly bulletin"))), F.array(F.expr(_HEAD)), body,
                     F.array(F.array(F.lit("A9Z999"), F.lit("Subtotal"))))
-    numbered = lines.select("l_orderkey", F.lit(0).alias("table_no"), F.posexplode(rows).alias("row_no", "cells"))
-    return numbered.select("l_orderkey", "table_no", "row_no", F.posexplode("cells").alias("col_no", "text"))
+    cells = F.transform(rows, lambda row, row_no: F.transform(row, lambda text, col_no: F.struct(
+        F.lit(0).alias("table_no"), row_no.alias("row_no"), col_no.alias("col_no"), text.alias("text"))))
+    return lines.select("l_orderkey", F.flatten(cells).alias("cells"))
 
 
 @query("""SELECT l_orderkey, concat('A2R', lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0')) AS station_id, concat('Dam', l_suppkey) AS reservoir, CAST(l_suppkey AS DOUBLE) AS fsc_mcm, l_quantity AS pct_full, 50.0 AS pct_last_year, 'P' AS prov
  FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey % 1000 ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1""".replace("50.0 AS", "50.0::DOUBLE AS"))
 def map_header(spark, sf):
     from hydrolake import functions as P
-    out = extract_cells.map_header(bulletins(spark, sf), ["l_orderkey"], F.lit("2026-06-29").cast("date"))
+    out = extract_cells.map_header(bulletins(spark, sf), ["l_orderkey"], F.lit("2026-06-29").cast("date"), nested="cells")
     return out.select("l_orderkey", "station_id", "reservoir", *[P.num_hash(c).alias(c) for c in ("fsc_mcm", "pct_full", "pct_last_year")], "prov")
 
 

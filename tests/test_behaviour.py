@@ -217,6 +217,29 @@ def test_percent_columns_are_ranked(spark):
     assert extract_cells.map_header(no_today, ["doc"], as_of).first()["pct_full"] == "3"
 
 
+def test_headers_are_read_on_a_documents_own_row(spark):
+    def rows(title, stations):
+        return [[title], ["Station", "River", "Reservoir", "% Full"], *stations, ["A9Z999", "Grand Total", "x", "9"]]
+
+    first = rows("Bulletin", [["A2R001 x", "r", "Dam\n1", "50"], ["A2R001", "r", "later", "51"], ["note"], ["A2R002", None, "n", None]])
+    second = [["A2R009", "above", "its", "header"], ["Reservoir", "Station"], ["m", "A2R003"], ["again", "A2R002"]]
+    flat = [(d, t, r, c, x) for d in (1, 2, None) for t, table in ((0, first), (None, second), (3, [["no", "header"], ["A2R004", "x"]]))
+            for r, row in enumerate(table) for c, x in enumerate(row)] + [(9, 0, None, 0, "Station reservoir"), (9, 0, None, 1, "A2R001")]
+    schema, as_of = "doc int, table_no int, row_no int, col_no int, text string", F.lit("2026-06-29").cast("date")
+    cells = spark.createDataFrame(flat, schema).repartition(3)
+    together = cells.groupBy("doc").agg(F.collect_list(F.struct("table_no", "row_no", "col_no", "text")).alias("all"))
+    want = {(d, *x) for d in (1, 2, None) for x in (
+        ("A2R001", 0, 2, "Dam1", "r", "50"), ("A2R002", None, 3, "again", None, None), ("A2R003", None, 2, "m", None, None))}
+    unnested, nested = extract_cells.map_header(cells, ["doc"], as_of), extract_cells.map_header(together, ["doc"], as_of, nested="all")
+    for out in (unnested, nested):
+        got = [(r.doc, r.station_id, r.table_no, r.row_no, r.reservoir, r.river, r.pct_full) for r in out.collect()]
+        assert len(got) == 9 and set(got) == want
+    # the cells of a document are gathered once, not sorted again by row, table and station
+    held = spark.createDataFrame([], "doc int, all array<struct<table_no: int, row_no: int, col_no: int, text: string>>")
+    plans = [extract_cells.map_header(x, ["doc"], as_of, nested=n)._jdf.queryExecution().executedPlan().toString() for x, n in ((spark.createDataFrame([], schema), None), (held, "all"))]
+    assert [p.count("Exchange") for p in plans] == [1, 0] and not any("Window" in p or "Sort " in p or "SortAggregate" in p for p in plans)
+
+
 def test_block_names_attach_to_the_open_block(spark):
     lines = [(1, None, "CHICAMBA"), (2, 5, None), (3, 6, None), (4, None, "MUDA"), (5, 5, None), (6, 6, "MAVUZI"), (7, 5, None)]
     df = spark.createDataFrame([("d", *x) for x in lines], "doc string, line int, date int, name string")
