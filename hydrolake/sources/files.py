@@ -187,9 +187,14 @@ def read_run_logs(spark: SparkSession, glob: str) -> DataFrame:
                        F.element_at(F.split("__p", "/"), -1).alias("run_file"))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Raw HTML or text files as ``url`` (file path), ``fetched_at``, ``html``."""
-    return spark.read.text(path, wholetext=True).select(
+def read_pages(spark: SparkSession, path: str, boundary: str | None = None) -> DataFrame:
+    """Raw HTML or text files as ``url`` (file path), ``fetched_at``, ``html``.
+
+    A file is one page. ``boundary``: text that ends each page in archives that hold many; a page
+    then takes no file of its own to be opened and listed, and a large archive is read by several tasks.
+    """
+    files = spark.read.text(path, lineSep=boundary) if boundary else spark.read.text(path, wholetext=True)
+    return files.select(
         F.col("_metadata.file_path").alias("url"),
         F.col("_metadata.file_modification_time").alias("fetched_at"), F.col("value").alias("html"))
 

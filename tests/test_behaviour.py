@@ -349,6 +349,25 @@ def test_whole_files_are_one_row(spark, tmp_path):
     assert [r.html for r in rows] == ["<p>\none\ntwo</p>\n"] and rows[0].fetched_at is not None
 
 
+def test_archives_hold_many_pages(spark, tmp_path):
+    from hydrolake import sources
+    from hydrolake.plans import QUERIES, load_all
+
+    pages = ["<p>\none\r\n\n</p>\n", "", "\n", "--x", "é\n--x"] + [f"page {i}\n--\n" for i in range(2000)]
+    (tmp_path / "a.txt").write_bytes("".join(p + "\n--x--\n" for p in pages).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")  # pages across the bounds of splits
+        rows = sources.read_pages(spark, str(tmp_path), "\n--x--\n").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.html for r in rows) == sorted(pages) and all(r.fetched_at and r.url.endswith("/a.txt") for r in rows)
+    # and the query's pages have no file or folder each
+    load_all()
+    landed = QUERIES["read_pages"](spark, "/root/testdata/sf0.001")
+    assert landed.count() == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count() > 10 * len(landed.inputFiles())
+
+
 def test_header_in_any_row_and_tables_of_any_width(spark):
     from hydrolake.operators import extract_cells
 
