@@ -8,13 +8,18 @@ from hydrolake.operators import extract_json
 from hydrolake.plans.registry import query, table, text
 
 
+#: Order lines a task nests and unnests; a larger table gets more tasks, not larger ones.
+LINES_A_TASK = 250_000
+
+
 @query("""SELECT CAST(l_orderkey // 10 AS BIGINT) AS payload, l_orderkey AS region, l_partkey AS dam_id, l_quantity AS storage, count(*) AS n FROM lineitem GROUP BY ALL""")
 def flatten_nested(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", F.struct(F.col("l_partkey").alias("DAM_ID"),
-                                                                       F.col("l_quantity").alias("DMD_QUse")).alias("dam"))
-    regions = lines.groupBy("l_orderkey").agg(F.collect_list("dam").alias("dams"))
-    payloads = regions.groupBy(F.floor(F.col("l_orderkey") / 10).alias("payload")).agg(
-        F.collect_list(F.struct(F.col("l_orderkey").alias("region_name"), "dams")).alias("regions"))
+    lines = table(spark, sf, "lineitem").select(F.floor(F.col("l_orderkey") / 10).alias("payload"), "l_orderkey", F.struct(
+        F.col("l_partkey").alias("DAM_ID"), F.col("l_quantity").alias("DMD_QUse")).alias("dam"))
+    # the lines are counted from file footers; a payload's lines meet once, and all steps behind keep to its task
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines.count() // LINES_A_TASK))
+    regions = lines.repartition(tasks, "payload").groupBy("payload", "l_orderkey").agg(F.collect_list("dam").alias("dams"))
+    payloads = regions.groupBy("payload").agg(F.collect_list(F.struct(F.col("l_orderkey").alias("region_name"), "dams")).alias("regions"))
     flat = extract_json.flatten_nested(payloads, "regions", "dams", {"region": "region_name"},
                                        {"dam_id": "DAM_ID", "storage": "DMD_QUse"}, ["payload"])
     return flat.groupBy("payload", "region", "dam_id", "storage").agg(F.count(F.lit(1)).alias("n"))

@@ -206,6 +206,18 @@ def test_zip_series_refuses_other_labels(spark):
     assert [r.s for r in extract_json.zip_series(df, ["k"], "l", {"s": "s"}).orderBy("pos").collect()] == [1.0, None]
 
 
+def test_nested_payloads_get_more_tasks_not_larger_ones(spark, monkeypatch):
+    from hydrolake.plans import QUERIES, json_queries, load_all
+
+    load_all()
+    monkeypatch.setattr(json_queries, "LINES_A_TASK", 500, raising=False)
+    out = QUERIES["flatten_nested"](spark, "/root/testdata/sf0.001")
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert out.agg(F.sum("n")).first()[0] == lines
+    assert out.rdd.getNumPartitions() == -(-lines // 500) > 8
+
+
 def test_percent_columns_are_ranked(spark):
     head = ["Station", "Reservoir", "% Full 2026-06-22", "%Full Today", "% full 2026-06-29", "% Full Last Year"]
     table = [head, ["A2R001", "X", "1", "2", "3", "4"]]
